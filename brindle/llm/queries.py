@@ -4,18 +4,46 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
+import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
-from brindle.llm import jaccard_join, quality_rules
+from brindle.llm import byte_bpe, decontamination, jaccard_join, pii, quality_rules
 from brindle.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+#: The vocabulary file that the byte-level BPE query reads.
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return byte_bpe.digests(byte_bpe.round_trip(docs, RANKS, public_tokenizers.PATTERN))
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontamination.scan(docs, table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join(table(spark, sf_dir, "documents"))
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.find(docs).select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone",
+        F.sha2(pii.listed("base").cast("binary"), 256).alias("base_sha256"), pii.listed("found").alias("spans"),
+    )
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged.select(
@@ -24,7 +52,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op7_jaccard_join, op10_quality_rules)}
+    return {f.__name__: f for f in (op2_byte_bpe, op6_decontamination, op7_jaccard_join, op8_pii, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
