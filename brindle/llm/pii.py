@@ -50,20 +50,20 @@ KINDS = (
     Kind(
         "email",
         r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
-        "contains(t, '@')",
+        "contains({t}, '@')",
         "true",
     ),
-    Kind("ip", r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", "t rlike '[0-9]'", rf"x rlike r'^(?:{_OCTET}\.){{3}}{_OCTET}$'"),
+    Kind("ip", r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", "{t} rlike '[0-9]'", rf"x rlike r'^(?:{_OCTET}\.){{3}}{_OCTET}$'"),
     Kind(
         "card",
         r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){11,18}+(?![\x20-]?[0-9])",
-        "t rlike '[0-9]'",
+        "{t} rlike '[0-9]'",
         "luhn_check(translate(x, ' -', ''))",
     ),
-    Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", "contains(t, '+')", "length(translate(x, '+ ().-', '')) between 9 and 15"),
-    Kind("secret", r"(?<![A-Za-z0-9])[A-Fa-f0-9]{32,128}+(?![A-Za-z0-9])", "t rlike '[0-9]'"),
-    Kind("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", "contains(t, '-')"),
-    Kind("tel", r"(?<![0-9(+])(?<!\+[0-9]{1,3}[\x20.-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[\x20.-])[0-9]{3}[.-][0-9]{4}(?![0-9-])", "t rlike '[0-9]'"),
+    Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", "contains({t}, '+')", "length(translate(x, '+ ().-', '')) between 9 and 15"),
+    Kind("secret", r"(?<![A-Za-z0-9])[A-Fa-f0-9]{32,128}+(?![A-Za-z0-9])", "{t} rlike '[0-9]'"),
+    Kind("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", "contains({t}, '-')"),
+    Kind("tel", r"(?<![0-9(+])(?<!\+[0-9]{1,3}[\x20.-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[\x20.-])[0-9]{3}[.-][0-9]{4}(?![0-9-])", "{t} rlike '[0-9]'"),
 )
 BASE = KINDS[:4]
 
@@ -109,26 +109,29 @@ FEATURES = {
 RESULTS = [*(f"n_{k.name}" for k in BASE), "base", "found"]
 
 
+_SPAN = "array<struct<kind:int,start:int,end:int,ok:boolean,value:string,before:string,after:string>>"
+
+
+def _let(name: str, value: str, body: str) -> str:
+    """SQL for ``body`` with ``name`` bound to ``value``, which is then evaluated once wherever the optimizer puts it."""
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
+def _spans(k: int, kind: Kind, t: str) -> str:
+    """SQL for the candidates of one kind: matches, the pieces between them, and starts as a running sum of lengths."""
+    starts = """aggregate(sequence(1, size(m)), named_struct('at', 0, 'out', cast(array() as array<int>)),
+        (s, i) -> named_struct('at', s.at + length(p[i - 1]) + length(m[i - 1]), 'out', concat(s.out, array(s.at + length(p[i - 1])))), s -> s.out)"""
+    each = f"""transform(m, (x, i) -> named_struct('kind', {k}, 'start', b[i], 'end', b[i] + length(x), 'ok', {kind.base},
+        'value', x, 'before', right(p[i], 24), 'after', left(p[i + 1], 1)))"""
+    found = _let("p", f"split({t}, r'{kind.pattern}', -1)", _let("b", starts, each))
+    some = _let("m", f"regexp_extract_all({t}, r'{kind.pattern}', 0)", f"if(size(m) = 0, cast(array() as {_SPAN}), {found})")
+    return f"if({kind.needs.format(t=t)}, {some}, cast(array() as {_SPAN}))"
+
+
 def candidates(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` plus ``_c``, an array of (kind, start, end, ok, value, before, after)."""
-    out = docs.withColumn("_t", F.coalesce(text, F.lit("")))
-    expr = lambda sql, k: F.expr(sql.replace("{k}", str(k)))
-    out = out.withColumns(
-        {f"_m{k}": F.expr(f"case when {kind.needs.replace('t ', '_t ').replace('(t,', '(_t,')} then regexp_extract_all(_t, r'{kind.pattern}', 0) else array() end") for k, kind in enumerate(KINDS)}
-    )
-    out = out.withColumns(
-        {f"_p{k}": F.expr(f"case when size(_m{k}) > 0 then split(_t, r'{kind.pattern}', -1) end") for k, kind in enumerate(KINDS)}
-    )
-    starts = """case when size(_m{k}) > 0 then aggregate(sequence(1, size(_m{k})),
-        named_struct('at', 0, 'out', cast(array() as array<int>)),
-        (s, i) -> named_struct('at', s.at + length(_p{k}[i - 1]) + length(_m{k}[i - 1]), 'out', concat(s.out, array(s.at + length(_p{k}[i - 1])))),
-        s -> s.out) end"""
-    out = out.withColumns({f"_s{k}": expr(starts, k) for k in range(len(KINDS))})
-    spans = """case when size(_m{k}) > 0 then transform(_m{k}, (x, i) -> named_struct('kind', {k}, 'start', _s{k}[i], 'end', _s{k}[i] + length(x),
-        'ok', BASE, 'value', x, 'before', right(_p{k}[i], 24), 'after', left(_p{k}[i + 1], 1)))
-        else cast(array() as array<struct<kind:int,start:int,end:int,ok:boolean,value:string,before:string,after:string>>) end"""
-    every = F.concat(*[expr(spans.replace("BASE", kind.base), k) for k, kind in enumerate(KINDS)])
-    return out.withColumn("_c", every).drop("_t", *[f"_{a}{k}" for a in "mps" for k in range(len(KINDS))])
+    t = f"coalesce(`{text}`, '')"
+    return docs.withColumn("_c", F.concat(*[F.expr(_spans(k, kind, t)) for k, kind in enumerate(KINDS)]))
 
 
 @dataclass
@@ -150,7 +153,7 @@ class Classifier:
 
 def pattern_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """How many candidates have each pattern of votes and features; bounded by the values they can take."""
-    c = candidates(docs, text).select(F.explode("_c").alias("c"))
+    c = candidates(docs, text).select(F.explode_outer("_c").alias("c")).where("c IS NOT NULL")
     votes = {f"v_{k}": F.expr(v).cast("int") for k, v in LABELERS.items()}
     features = {f"f_{k}": F.expr(v).cast("int") for k, v in FEATURES.items()}
     names = {**votes, **features, "ok": F.col("c.ok")}
