@@ -303,14 +303,38 @@ def components(edges: DataFrame) -> DataFrame:
 
 def join(docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """``doc_id``, ``copy_key``, ``class_id``, ``n_links``: a row for each row of ``docs``."""
+    return classes(docs, chunk).select(
+        "doc_id",
+        F.lower(F.hex("key")).alias("copy_key"),
+        F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("class_id"),
+        F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links"),
+    )
+
+
+def one_of_each(docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """``docs`` with one document of each class: that of the least doc_id, ids that are null last.
+
+    A document without words is a class of its own. Rows equal in doc_id and
+    text are one document, of which one row stays.
+    """
+    docs = shaped(docs, ["doc_id", "text"], ["_tid", "_d", "_t"])
+    names = docs.columns
+    first = (F.col("tid") == F.col("first.tid")) & F.col("doc_id").eqNullSafe(F.col("first.doc_id"))
+    stay = classes(docs, chunk).where(F.col("key").isNull() | first).select(F.col("doc_id").alias("_d"), F.col("tid").alias("_t")).distinct()
+    met = docs.withColumn("_tid", F.xxhash64("text")).join(stay, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_tid") == F.col("_t")))
+    return met.dropDuplicates(["_d", "_t"]).select(*names)
+
+
+def classes(docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """For each row ``doc_id``, ``tid`` (a hash of the text), ``key``, ``first`` (of its class) and ``n_links``."""
     docs = shaped(docs, ["doc_id", "text"]).select("doc_id", F.xxhash64("text").alias("tid"), F.encode("text", "UTF-8").alias("bytes"))
     full = staged(signatures(docs), "signatures")
     reps = staged(
         full.where("key IS NOT NULL").groupBy("key")
-        .agg(F.count(F.lit(1)).alias("weight"), F.min("doc_id").alias("least_id"), F.min(F.struct("doc_id", "tid")).alias("of"), F.min("sig").alias("sig"), F.min("bands").alias("bands")),
+        .agg(F.count(F.lit(1)).alias("weight"), F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "tid")).alias("of"), F.min("sig").alias("sig"), F.min("bands").alias("bands")),
         "representatives",
     )
-    signed = staged(full.select("doc_id", "key"), "members")
+    signed = staged(full.select("doc_id", "tid", "key"), "members")
     dropped(full)
 
     spread = reps.select("key", F.posexplode("bands").alias("band", "bucket"))
@@ -341,17 +365,12 @@ def join(docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
     dropped(kept)
     links = verified.groupBy("key").agg(F.sum("links").alias("links"))
     roots = components(verified.select(F.col("key").alias("a"), F.col("least").alias("b")))
-    named = reps.select("key", "weight", "least_id").join(links, "key", "left").join(roots, "key", "left")
+    named = reps.select("key", "weight", "of").join(links, "key", "left").join(roots, "key", "left")
     named = named.withColumn("root", F.coalesce("root", "key"))
-    class_ids = named.groupBy("root").agg(F.min("least_id").alias("class_id"))
+    firsts = named.groupBy("root").agg(F.min("of").alias("first"))
     told = staged(
-        named.join(class_ids, "root").select("key", "class_id", (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")), "classes"
+        named.join(firsts, "root").select("key", "first", (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")), "classes"
     )
     dropped(reps)
     dropped(verified)
-    return signed.join(told, "key", "left").select(
-        "doc_id",
-        F.lower(F.hex("key")).alias("copy_key"),
-        F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
-        F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links"),
-    )
+    return signed.join(told, "key", "left")

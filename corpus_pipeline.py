@@ -1,10 +1,73 @@
-"""A corpus from raw documents to token ids, stage by stage."""
+"""A corpus from raw documents to token ids, stage by stage.
+
+Each stage takes (spark, docs, sf_dir), works on all that its predecessor kept
+and returns a DataFrame, which is written as Parquet and read again as the next
+stage's ``docs``. All but the last return the columns of ``documents``.
+
+* ``quality_rules``: documents that the base rule or the learned decision list
+  rejects go;
+* ``near_duplicates``: one document of each class of similar texts stays, that
+  of the least doc_id;
+* ``decontamination``: documents that hold a benchmark window go;
+* ``pii``: spans of personal data become their kind in brackets, ``n_chars`` follows;
+* ``byte_bpe``: texts become token ids, of which counts and digests are returned.
+
+Nulls, empty texts and repeated rows have the results that the operators define;
+rows equal in doc_id and text are one document from the second stage on. An
+empty table passes through.
+"""
 
 from __future__ import annotations
 
-STAGES = []
+import public_tokenizers
+import pyspark.sql.functions as F
+from pyspark.sql import DataFrame, SparkSession
+
+from brindle.llm import byte_bpe, decontamination, jaccard_join, pii, quality_rules
+from brindle.llm.common import staged, table
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(docs, table(spark, sf_dir, "labels")).where("kept").select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return jaccard_join.one_of_each(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontamination.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    masked = pii.find(docs).withColumn("text", pii.redacted())
+    if "n_chars" in docs.columns:
+        masked = masked.withColumn("n_chars", F.length(F.coalesce("text", F.lit(""))).cast(docs.schema["n_chars"].dataType))
+    return masked.select(*docs.columns)
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return byte_bpe.digests(byte_bpe.round_trip(docs.select("doc_id", "text"), path, public_tokenizers.PATTERN))
+
+
+STAGES = [
+    ("quality_rules", quality),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontaminate),
+    ("pii", redact),
+    ("byte_bpe", tokenize),
+]
+
+#: Learned rules, MinHash classes and token ids are beyond SQL; tests use brute force instead.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``."""
+    docs = table(spark, sf_dir, "documents")
+    for k, (name, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if k + 1 < len(STAGES):
+            docs = staged(docs, name)
+    return docs
