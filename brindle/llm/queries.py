@@ -8,7 +8,19 @@ import public_tokenizers
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
-from brindle.llm import byte_bpe, decontamination, jaccard_join, pii, quality_rules
+from brindle.llm import (
+    byte_bpe,
+    decontamination,
+    html_extraction,
+    jaccard_join,
+    license_scan,
+    line_dedup,
+    oracles,
+    pii,
+    quality_rules,
+    token_counts,
+    url_filter,
+)
 from brindle.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,11 +30,50 @@ Query = Callable[[SparkSession, str], DataFrame]
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
+#: Rules (verdict, host, path) and listed domains of the URL query.
+URL_RULES = [
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+]
+URL_BLOCK_LIST = [
+    "adult-x.example.net",
+    "ads-track.example.org",
+    "casino-win.example.org",
+    "cheap-pills.example.com",
+    "free-bets.example.com",
+    "spam-farm.example.org",
+]
+
+
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extracted(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return byte_bpe.digests(byte_bpe.round_trip(docs, RANKS, public_tokenizers.PATTERN))
 
 
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter.judge(pages, URL_RULES, URL_BLOCK_LIST).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.counted(docs, RANKS, public_tokenizers.PATTERN).select("doc_id", "n_pretokens", "n_tokens", "n_unknown")
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = line_dedup.deduplicated(docs)
+    spans = F.array_join(F.transform("removed", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))), ",")
+    return out.select("doc_id", "n_units", "n_removed", spans.alias("removed_spans"), "text")
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontamination.scan(docs, table(spark, sf_dir, "benchmark")).select(
@@ -44,6 +95,13 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return license_scan.scan(docs).select(
+        "doc_id", F.size("licenses").cast("bigint").alias("n_licenses"), F.array_join("licenses.license", ",").alias("licenses")
+    )
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged.select(
@@ -52,8 +110,27 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_byte_bpe, op6_decontamination, op7_jaccard_join, op8_pii, op10_quality_rules)}
+    every = (
+        op1_html_extraction,
+        op2_byte_bpe,
+        op3_url_filter,
+        op4_token_counts,
+        op5_line_dedup,
+        op6_decontamination,
+        op7_jaccard_join,
+        op8_pii,
+        op9_license_scan,
+        op10_quality_rules,
+    )
+    return {f.__name__: f for f in every}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """For queries that SQL can express; tests hold the others against brute force."""
+    return {
+        "op1_html_extraction": oracles.HTML_EXTRACTION,
+        "op3_url_filter": oracles.url_filter(URL_RULES, URL_BLOCK_LIST),
+        "op5_line_dedup": oracles.LINE_DEDUP,
+        "op6_decontamination": oracles.DECONTAMINATION,
+        "op9_license_scan": oracles.license_scan(),
+    }
