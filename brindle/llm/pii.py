@@ -9,8 +9,8 @@ features of the span is then fitted to the posteriors. Both work on counts of
 discrete patterns, whose number is bounded by the features, not by the data.
 
 Base spans follow the fixed definitions of their kinds and always stay. The
-classifier adds candidates that the base rules reject (an unchecked card number,
-say) and the further kinds ``secret``, ``ssn`` and ``tel``.
+classifier may add candidates that the base rules reject, and the further kinds
+``secret``, ``ssn`` and ``tel``.
 
 Matches are found whole and leftmost: quantifiers are possessive where nothing
 can be given back, so long runs neither recurse nor backtrack. Offsets are code
@@ -85,11 +85,11 @@ LABELERS = {
         when 3 then if(c.ok, 1, -1) when 4 then if(length(c.value) in (32, 40, 56, 64, 96, 128), 1, -1)
         when 5 then if(c.value rlike r'^(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)', 1, -1)
         when 6 then if(c.value rlike r'^\(?[2-9]', 1, -1) else 1 end""",
-    "check": r"""case c.kind when 2 then if(luhn_check(translate(c.value, ' -', '')), 1, 0)
+    "check": r"""case c.kind when 2 then if(luhn_check(translate(c.value, ' -', '')), 1, -1)
         when 4 then if(c.value rlike '[A-Fa-f]' and c.value rlike '[0-9]', 1, -1) else 0 end""",
     "gazetteer": rf"""case c.kind when 0 then if(lower(c.value) rlike r'\.(?:{_any(DOMAINS)})$', 1, -1)
         when 1 then if(c.value rlike r'^(?:0|127|255)\.', -1, 0)
-        when 2 then if(c.value rlike r'^(?:{_any(ISSUERS)})', 1, 0)
+        when 2 then if(c.value rlike r'^(?:{_any(ISSUERS)})', 1, -1)
         when 3 then if(c.value rlike r'^\+(?:{_any(COUNTRIES)})', 1, -1) else 0 end""",
     "cue": rf"""case when lower(c.before) rlike r'(?:^|[^a-z])(?:{_any(CUES)})[^a-z]*$' then 1
         when lower(c.before) rlike r'(?:^|[^a-z])(?:{_any(COUNTER_CUES)})[^a-z]*$' then -1 else 0 end""",
@@ -99,6 +99,8 @@ LABELERS = {
 #: Features of the span classifier, SQL over ``c``; each has few values.
 FEATURES = {
     "kind": "c.kind",
+    "check": LABELERS["check"],
+    "listed": LABELERS["gazetteer"],
     "size": "least(int(length(c.value) / 4), 16)",
     "digits": "int(4 * length(regexp_replace(c.value, '[^0-9]', '')) / length(c.value))",
     "parts": "least(length(regexp_replace(c.value, '[A-Za-z0-9]', '')), 4)",
