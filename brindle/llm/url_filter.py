@@ -10,7 +10,8 @@ Judging a row tests bits of constants: no join, and no shuffle.
 Levels are built from the distinct keys, which a partial aggregate makes before
 anything moves, so a host with a third of all pages costs one row per task. The
 bits of a level are gathered word by word with ``bit_or``. Their total is bounded
-by ``MAX_BITS``; beyond it an error says so before anything is collected.
+by ``MAX_BITS``, some three million listed hosts; for a longer list nothing is
+collected, and ``judge`` looks hosts up by a join with the distinct keys instead.
 
 Rules come first: a rule (verdict, host, path) fits its host and all subdomains
 if the path of the url starts with the rule's path; the longest host and path
@@ -32,12 +33,16 @@ from pyspark.sql import Column, DataFrame
 
 from brindle.llm.common import dropped, lower_ascii, shaped, staged
 
-#: Bits of all levels together that a plan may carry: 32 MB.
-MAX_BITS = 1 << 28
+#: Bits of all levels together that a plan may carry: 4 MB.
+MAX_BITS = 1 << 25
 #: False positive rate of level 0 and of the later ones.
 RATES = (0.01, 0.5)
 
 
+class TooLong(ValueError):
+    """The list needs more bits than a plan may carry."""
+
+
 @dataclass(frozen=True)
 class Level:
     bits: int
@@ -74,7 +79,8 @@ def cascade(keys: DataFrame, max_bits: int = MAX_BITS, rates: tuple[float, float
         hashes = max(1, round(bits / n * math.log(2))) if bits > 64 else 3
         spent += bits
         if spent > max_bits:
-            raise ValueError(f"the cascade needs over {max_bits} bits for {n} keys at level {len(levels)}")
+            dropped(left)
+            raise TooLong(f"the cascade needs over {max_bits} bits for {n} keys at level {len(levels)}")
         at = mine.select(F.explode(F.array(*_positions(F.col("key"), len(levels), bits, hashes))).alias("at"))
         word = F.shiftright("at", 6).alias("word")
         rows = at.groupBy(word).agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("bits")).collect()
@@ -133,8 +139,12 @@ def universe(pages: DataFrame, block_list: list[str]) -> DataFrame:
 
 def judge(pages: DataFrame, rules: list[tuple[str, str, str]], block_list: list[str], max_bits: int = MAX_BITS) -> DataFrame:
     """``pages`` plus ``host``, ``path``, ``rule`` and ``verdict``."""
-    levels = cascade(universe(pages, block_list), max_bits)
-    out = shaped(pages, ["url"], ["host", "path", "rule", "ruled", "verdict"])
+    out = shaped(pages, ["url"], ["host", "path", "rule", "ruled", "verdict", "_key", "_listed"])
     out = with_rules(out.withColumns({"host": host_of(), "path": path_of()}), rules)
-    method = F.when(listed_in(F.col("host"), levels), "block").otherwise("allow")
-    return out.withColumn("verdict", F.coalesce("ruled", method)).drop("ruled")
+    keys = universe(pages, block_list)
+    try:
+        out = out.withColumn("_listed", listed_in(F.col("host"), cascade(keys, max_bits)))
+    except TooLong:
+        out = out.join(keys.select(F.col("key").alias("_key"), F.col("listed").alias("_listed")), F.col("host") == F.col("_key")).drop("_key")
+    method = F.when(F.col("_listed"), "block").otherwise("allow")
+    return out.withColumn("verdict", F.coalesce("ruled", method)).drop("ruled", "_listed")
