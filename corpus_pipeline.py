@@ -19,6 +19,8 @@ empty table passes through.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import public_tokenizers
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
@@ -27,23 +29,39 @@ from brindle.llm import byte_bpe, decontamination, jaccard_join, pii, quality_ru
 from brindle.llm.common import staged, table
 
 
+def _apart(docs: DataFrame, stage: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``stage`` on ``docs`` whose other columns have names of their own meanwhile, so none can clash with its results."""
+    names = docs.columns
+    needed = {names.index(n) for n in ("doc_id", "text")}
+    inner = [n if i in needed else f"_column{i}" for i, n in enumerate(names)]
+    return stage(docs.toDF(*inner)).select(*inner).toDF(*names)
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality_rules.judge(docs, table(spark, sf_dir, "labels")).where("kept").select(*docs.columns)
+    labels = table(spark, sf_dir, "labels")
+    return _apart(docs, lambda d: quality_rules.judge(d, labels).where("kept"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return jaccard_join.one_of_each(docs)
+    return _apart(docs, jaccard_join.one_of_each)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return decontamination.clean(docs, table(spark, sf_dir, "benchmark"))
+    benchmark = table(spark, sf_dir, "benchmark")
+    return _apart(docs, lambda d: decontamination.clean(d, benchmark))
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    masked = pii.find(docs).withColumn("text", pii.redacted())
-    if "n_chars" in docs.columns:
-        masked = masked.withColumn("n_chars", F.length(F.coalesce("text", F.lit(""))).cast(docs.schema["n_chars"].dataType))
-    return masked.select(*docs.columns)
+    names = docs.columns
+
+    def mask(d: DataFrame) -> DataFrame:
+        masked = pii.find(d).withColumn("text", pii.redacted())
+        if "n_chars" not in names:
+            return masked
+        chars = d.columns[names.index("n_chars")]
+        return masked.withColumn(chars, F.length(F.coalesce("text", F.lit(""))).cast(d.schema[chars].dataType))
+
+    return _apart(docs, mask)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
