@@ -128,7 +128,7 @@ def test_html_joined_templates_equal_broadcast_ones(spark, data):
 
 @pytest.fixture(scope="module")
 def oracle():
-    return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=byte_bpe.read_ranks(RANKS), special_tokens={})
+    return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=pretokens.read_ranks(RANKS), special_tokens={})
 
 
 def test_bpe_equals_the_library(oracle):

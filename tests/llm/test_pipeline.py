@@ -9,7 +9,7 @@ import pyspark.sql.functions as F
 import tiktoken
 
 import corpus_pipeline
-from brindle.llm import byte_bpe, pii, quality_rules
+from brindle.llm import pii, pretokens, quality_rules
 
 from llm_brute import brute_hits, brute_links, brute_statistics
 
@@ -39,7 +39,7 @@ def brute(spark, folder):
     docs = {i: docs[i] for i, _, hit, _ in brute_hits(list(docs.items()), items) if not hit}
     frame = spark.createDataFrame(list(docs.items()), "doc_id bigint, text string")
     spans = {r.doc_id: [(s.start, s.end, pii.KINDS[s.kind].name) for s in r.found] for r in pii.find(frame).collect()}
-    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")), special_tokens={})
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=pretokens.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")), special_tokens={})
     out = set()
     for i, t in docs.items():
         parts, at = [], 0
