@@ -43,7 +43,7 @@ import numpy as np
 import pyarrow as pa
 import pyspark.sql.functions as F
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
 from brindle.llm.common import appended, dropped, runs, shaped, staged, words_of
 
@@ -317,24 +317,28 @@ def one_of_each(docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
     A document without words is a class of its own. Rows equal in doc_id and
     text are one document, of which one row stays.
     """
-    docs = shaped(docs, ["doc_id", "text"], ["_tid", "_d", "_t"])
+    docs = shaped(docs, ["doc_id", "text"], ["_row"])
     names = docs.columns
-    first = (F.col("tid") == F.col("first.tid")) & F.col("doc_id").eqNullSafe(F.col("first.doc_id"))
-    stay = classes(docs, chunk).where(F.col("key").isNull() | first).select(F.col("doc_id").alias("_d"), F.col("tid").alias("_t")).distinct()
-    met = docs.withColumn("_tid", F.xxhash64("text")).join(stay, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_tid") == F.col("_t")))
-    return met.dropDuplicates(["_d", "_t"]).select(*names)
+    stay = classes(docs, chunk).where(F.col("key").isNull() | (F.col("row") == F.col("first.row"))).select(F.col("row").alias("_row")).distinct()
+    # The rows are dealt by the one key of the join, which serves to drop repeats as well.
+    return docs.withColumn("_row", _row()).join(stay, "_row", "left_semi").dropDuplicates(["_row"]).select(*names)
+
+
+def _row() -> Column:
+    """A 128-bit digest of doc_id and text; a null text counts as empty."""
+    return F.unhex(F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.lit(":"), F.coalesce("text", F.lit("")))))
 
 
 def classes(docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """For each row ``doc_id``, ``tid`` (a hash of the text), ``key``, ``first`` (of its class) and ``n_links``."""
-    docs = shaped(docs, ["doc_id", "text"]).select("doc_id", F.xxhash64("text").alias("tid"), F.encode("text", "UTF-8").alias("bytes"))
+    """For each row ``doc_id``, ``row`` (a digest of doc_id and text), ``key``, ``first`` (of its class) and ``n_links``."""
+    docs = shaped(docs, ["doc_id", "text"]).select("doc_id", _row().alias("row"), F.encode("text", "UTF-8").alias("bytes"))
     full = staged(signatures(docs), "signatures")
     reps = staged(
         full.where("key IS NOT NULL").groupBy("key")
-        .agg(F.count(F.lit(1)).alias("weight"), F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "tid")).alias("of"), F.min("sig").alias("sig"), F.min("bands").alias("bands")),
+        .agg(F.count(F.lit(1)).alias("weight"), F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "row")).alias("of"), F.min("sig").alias("sig"), F.min("bands").alias("bands")),
         "representatives",
     )
-    signed = staged(full.select("doc_id", "tid", "key"), "members")
+    signed = staged(full.select("doc_id", "row", "key"), "members")
     dropped(full)
 
     spread = reps.select("key", F.posexplode("bands").alias("band", "bucket"))
@@ -354,7 +358,7 @@ def classes(docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
     )
 
     needed = kept.select("key").distinct().join(reps.select("key", "weight", "of"), "key")
-    found = docs.join(needed.select("key", "weight", F.col("of.tid").alias("t"), F.col("of.doc_id").alias("d")), (F.col("tid") == F.col("t")) & F.col("doc_id").eqNullSafe(F.col("d")))
+    found = docs.select("row", "bytes").join(needed.select("key", "weight", F.col("of.row").alias("row")), "row")
     sets = shingle_sets(found.select("key", "weight", "bytes"))
     verified = staged(
         kept.join(sets, "key").select(*group, "side", "key", "weight", "set")
