@@ -29,8 +29,8 @@ from pyspark.sql import DataFrame
 from brindle.llm.common import NON_WORD, appended, lower_ascii, shaped, words_of
 
 WINDOW = 10
-#: Words of all benchmark items together up to which the index is broadcast (some 100 bytes each).
-MAX_INDEX_WORDS = 2_000_000
+#: Words of all benchmark items together up to which the index is broadcast (some 250 bytes each in a worker).
+MAX_INDEX_WORDS = 500_000
 
 FOUND = {"n_words": "bigint", "n_hit": "bigint", "items": "array<string>", "hits": "array<struct<start:bigint,end:bigint>>"}
 
