@@ -6,8 +6,8 @@ normalised (A-Z lowered, white space squeezed and trimmed), digests of units of
 occurrence by rank stays and all others are removed. What stays keeps its
 offsets in the original text.
 
-Only digests, ranks and positions move; texts meet the removals once, by
-document. The winner of a digest is a minimum, combined on the map side, so a
+Texts are read once for their digests, which are staged; only digests, ranks and
+positions move, and texts meet the removals once, by document. The winner of a digest is a minimum, combined on the map side, so a
 line that a third of all rows share costs one row per task; digests that occur
 once are filtered out before the join, and a hot digest's join is split by
 adaptive execution (an inner join with no order or grouping right above it).
@@ -21,13 +21,14 @@ like a result are replaced by it.
 
 from __future__ import annotations
 
-import re
+import hashlib
+from collections.abc import Iterator
 
 import pyarrow as pa
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame
 
-from brindle.llm.common import appended, lower_ascii, shaped
+from brindle.llm.common import appended, pieces, shaped, staged
 
 #: Units of fewer words are too common by chance to count as copies.
 MIN_WORDS = 10
@@ -62,17 +63,43 @@ def rebuilt(text: str | None, gone: list[int], separator: str) -> tuple[int, int
     return len(units), len(removed), removed, kept, separator.join(text[s:e] for s, e in kept)
 
 
+def digests(texts: list[bytes | None], min_words: int, separator: bytes) -> tuple[list[int], list[int], list[bytes]]:
+    """Of each unit that counts: the number of its text, its position and the digest of its normal form."""
+    rows, places, found = [], [], []
+    for row, text in enumerate(texts):
+        for pos, unit in enumerate(text.split(separator) if text else ()):
+            words = unit.lower().split()  # bytes: A-Z and ASCII white space only
+            if len(words) >= min_words:
+                rows.append(row)
+                places.append(pos)
+                found.append(hashlib.md5(b" ".join(words), usedforsecurity=False).digest())
+    return rows, places, found
+
+
+def units(docs: DataFrame, min_words: int, separator: str) -> DataFrame:
+    """``doc_id``, ``text_hash``, ``pos`` and ``digest`` of each unit of ``min_words`` words or more."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in pieces(batch, 2):
+                rows, places, found = digests(part.column(2).to_pylist(), max(1, min_words), separator.encode())
+                taken = pa.array(rows, pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(taken), part.column(1).take(taken), pa.array(places, pa.int32()), pa.array(found, pa.binary())],
+                    names=["doc_id", "text_hash", "pos", "digest"],
+                )
+
+    source = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.encode("text", "UTF-8").alias("bytes"))
+    kind = source.schema["doc_id"].dataType.simpleString()
+    return source.mapInArrow(run, f"doc_id {kind}, text_hash bigint, pos int, digest binary")
+
+
 def removals(docs: DataFrame, min_words: int = MIN_WORDS, separator: str = "\n") -> DataFrame:
     """``doc_id``, ``text_hash`` and ``gone``, the positions of units that occur earlier in the corpus."""
-    units = (
-        docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", re.escape(separator), -1)).alias("pos", "unit"))
-        .withColumn("unit", F.trim(F.regexp_replace(lower_ascii(F.col("unit")), r"[\x20\x09-\x0D]+", " ")))
-        .where("unit <> ''").where(F.length("unit") - F.length(F.translate("unit", " ", "")) >= min_words - 1)
-        .select("doc_id", "text_hash", "pos", F.unhex(F.md5("unit")).alias("digest"))
-    )
+    every = staged(units(docs, min_words, separator), "units")
     rank = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_hash", "pos")
-    winners = units.groupBy("digest").agg(F.min(rank).alias("first"), F.max(rank).alias("last")).where("first <> last")
-    losers = units.join(winners.select("digest", "first"), "digest").where(rank != F.col("first"))
+    winners = every.groupBy("digest").agg(F.min(rank).alias("first"), F.max(rank).alias("last")).where("first <> last")
+    losers = every.join(winners.select("digest", "first"), "digest").where(rank != F.col("first"))
     return losers.groupBy("doc_id", "text_hash").agg(F.collect_set("pos").alias("gone"))
 
 
