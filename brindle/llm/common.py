@@ -10,6 +10,8 @@ Shapes that hold for every operator of this subpackage:
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator, Sequence
@@ -69,6 +71,7 @@ def shared_dir(spark: SparkSession) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = tempfile.mkdtemp(prefix="brindle-")
+        atexit.register(shutil.rmtree, base, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
 
