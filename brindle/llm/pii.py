@@ -24,7 +24,6 @@ repeated rows are all judged; input columns named like a result are replaced.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from functools import reduce
 
 import numpy as np
 import pyspark.sql.functions as F

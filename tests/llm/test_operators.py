@@ -6,7 +6,7 @@ import hashlib
 import html
 import random
 import re
-from collections import Counter, defaultdict
+from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
