@@ -51,7 +51,7 @@ SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 24, 3
 HASHES = BANDS * ROWS
 STEP, TOLERANCE = 12, 1e-6
-CHUNK = 512
+CHUNK = 256
 #: Bytes of dense shingle columns that one exact verification holds at once.
 SLAB = 64 << 20
 
