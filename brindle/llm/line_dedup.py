@@ -99,7 +99,8 @@ def removals(docs: DataFrame, min_words: int = MIN_WORDS, separator: str = "\n")
     every = staged(units(docs, min_words, separator), "units")
     rank = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_hash", "pos")
     winners = every.groupBy("digest").agg(F.min(rank).alias("first"), F.max(rank).alias("last")).where("first <> last")
-    losers = every.join(winners.select("digest", "first"), "digest").where(rank != F.col("first"))
+    winners = staged(winners.select("digest", "first"), "first-units")  # with no aggregate beside it, the join can be split
+    losers = every.join(winners, "digest").where(rank != F.col("first"))
     return losers.groupBy("doc_id", "text_hash").agg(F.collect_set("pos").alias("gone"))
 
 
