@@ -2,9 +2,10 @@
 
 Units are the lines of a text (or its paragraphs, by another separator). Each is
 normalised (A-Z lowered, white space squeezed and trimmed), digests of units of
-``MIN_WORDS`` words or more are grouped over the whole corpus, the earliest
+``min_words`` words or more are grouped over the whole corpus, the earliest
 occurrence by rank stays and all others are removed. What stays keeps its
-offsets in the original text.
+offsets in the original text. The registered query takes every unit that is not
+blank; ``MIN_WORDS`` is the default of a caller who gives no bound.
 
 Texts are read once for their digests, which are staged; only digests, ranks and
 positions move, and texts meet the removals once, by document. The winner of a digest is a minimum, combined on the map side, so a
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame
 
 from brindle.llm.common import appended, pieces, shaped, staged
 
-#: Units of fewer words are too common by chance to count as copies.
+#: Default bound: units of fewer words are left alone unless the caller says otherwise.
 MIN_WORDS = 10
 
 _SPANS = "array<struct<start:bigint,end:bigint>>"

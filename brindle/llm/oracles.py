@@ -63,6 +63,23 @@ SELECT doc_id, count(*) AS n_units, count(*) FILTER (WHERE gone) AS n_removed,
 FROM ranked GROUP BY doc_id
 """
 
+#: Every unit that is not blank counts, however short.
+LINE_DEDUP_WHOLE = rf"""
+WITH units AS (
+  SELECT doc_id, unnest(u) AS unit, generate_subscripts(u, 1) AS pos FROM (SELECT doc_id, string_split(text, chr(10)) AS u FROM documents)
+), placed AS (
+  SELECT *, coalesce(sum(length(unit) + 1) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start,
+    trim(regexp_replace(translate(unit, '{_UPPER}', '{_LOWER}'), '[\x20\x09-\x0D]+', ' ', 'g')) AS norm
+  FROM units
+), ranked AS (
+  SELECT *, norm <> '' AND row_number() OVER (PARTITION BY norm ORDER BY doc_id, pos) > 1 AS gone FROM placed
+)
+SELECT doc_id, count(*) AS n_units, count(*) FILTER (WHERE gone) AS n_removed,
+  coalesce(string_agg(CAST(CAST(start AS BIGINT) AS VARCHAR) || ':' || CAST(CAST(start + length(unit) AS BIGINT) AS VARCHAR), ',' ORDER BY pos) FILTER (WHERE gone), '') AS removed_spans,
+  coalesce(string_agg(unit, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '') AS text
+FROM ranked GROUP BY doc_id
+"""
+
 DECONTAMINATION = rf"""
 WITH b AS (
   SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '{_WORD}') AS w FROM benchmark

@@ -69,7 +69,7 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = line_dedup.deduplicated(docs)
+    out = line_dedup.deduplicated(docs, min_words=1)  # every line that is not blank
     spans = F.array_join(F.transform("removed", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))), ",")
     return out.select("doc_id", "n_units", "n_removed", spans.alias("removed_spans"), "text")
 
@@ -130,7 +130,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_html_extraction": oracles.HTML_EXTRACTION,
         "op3_url_filter": oracles.url_filter(URL_RULES, URL_BLOCK_LIST),
-        "op5_line_dedup": oracles.LINE_DEDUP,
+        "op5_line_dedup": oracles.LINE_DEDUP_WHOLE,
         "op6_decontamination": oracles.DECONTAMINATION,
         "op9_license_scan": oracles.license_scan(),
     }

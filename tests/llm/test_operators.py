@@ -8,6 +8,7 @@ import random
 import re
 from collections import defaultdict
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pyspark.sql.functions as F
@@ -21,6 +22,7 @@ from brindle.llm import (
     jaccard_join,
     license_scan,
     line_dedup,
+    oracles,
     pii,
     pretokens,
     quality_rules,
@@ -251,6 +253,21 @@ def test_line_dedup(spark):
     assert line_dedup.deduplicated(docs_of(spark, [])).count() == 0
 
 
+def test_line_dedup_query_takes_short_lines(spark, tmp_path):
+    docs_of(spark, [(1, "a b c\n\nmenu"), (2, "A  b c\nMENU\n\nown"), (3, "one two three four five six seven eight nine")]).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: (r.text, r.n_removed, r.removed_spans) for r in queries.op5_line_dedup(spark, str(tmp_path)).collect()}
+    assert got == {1: ("a b c\n\nmenu", 0, ""), 2: ("\nown", 2, "0:6,7:11"), 3: ("one two three four five six seven eight nine", 0, "")}
+
+
+@pytest.mark.parametrize(("bound", "sql"), [({}, oracles.LINE_DEDUP), ({"min_words": 1}, oracles.LINE_DEDUP_WHOLE)])
+def test_line_dedup_equals_sql_under_both_bounds(spark, data, bound, sql):
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{data}/documents.parquet'")
+    want = {r[0]: r[1:3] + r[4:] for r in con.sql(sql).fetchall()}
+    got = line_dedup.deduplicated(spark.read.parquet(f"{data}/documents.parquet"), **bound)
+    assert {r.doc_id: (r.n_units, r.n_removed, r.text) for r in got.collect()} == want
+
+
 # ---- 6: decontamination ----
 
 
