@@ -1,21 +1,26 @@
 """Main text of web pages by wrapper induction.
 
-Pages become trees of block elements, where siblings of one label (tag and class
-names) fold into one node. The trees of one host are aligned by simple tree
-matching and merged into a template: a node whose text is the same on every page
-that has it is constant, any other is a slot. Text that a template of
-``MIN_PAGES`` pages or more holds constant is boilerplate; slots are content.
+Pages become trees of block elements. The trees of one host are aligned by
+simple tree matching, sibling by sibling, and merged into a template: a node
+whose text is the same on every page that has it is constant, any other is a
+slot. Text that equals a constant of ``MIN_PAGES`` pages or more is boilerplate;
+slots are content. A constant among several siblings of its label (tag and class
+names) must also be on ``MIN_SHARE`` of the pages that have its parent, as the
+last places of long sequences are filled by few pages.
 
 What the page itself declares is told apart first: elements and class names of
 menus, headers, footers, sidebars, notices, adverts, forms and comments are left
 out, and where an ``article`` or ``main`` exists, only these count. If constants
 are all that is left, they stay: a host may show one article only.
 
-Templates form a semilattice ("same text" or "varies", pages added), so partial
-ones are made where pages lie, merged by (host, salt) and then by host, one
-at a time. A host with a third of all pages adds one partial per task. The
-number of nodes is bounded by ``MAX_NODES``, beyond which class names are left
-out of labels, and by ``MAX_DEPTH``, below which text belongs to the node above.
+Partial templates are made where pages lie, merged by (host, salt) and then by
+host, one at a time. A host with a third of all pages adds one partial per task.
+The texts of a node form a semilattice ("same text" or "varies", pages added);
+where siblings of one label tie, the alignment can depend on how pages are dealt.
+Sequences of over ``MAX_CELLS`` node pairs are aligned from both ends by label.
+The number of nodes is bounded by ``MAX_NODES``, beyond which class names are
+left out of labels and siblings of one label fold into one, and by ``MAX_DEPTH``,
+below which all text is content.
 Templates are broadcast only after their total size has been found to be within
 ``MAX_BROADCAST``; beyond it they are joined by host.
 
@@ -31,6 +36,7 @@ from __future__ import annotations
 import html as entities
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -41,6 +47,11 @@ from pyspark.sql import Column, DataFrame
 from brindle.llm.common import appended, pieces, shaped, staged
 
 MIN_PAGES, MAX_NODES, MAX_DEPTH = 5, 4_000, 48
+#: Share of the pages that must hold a constant which is one of several siblings of its label.
+MIN_SHARE = 0.8
+#: Node pairs up to which two sequences of siblings are aligned by dynamic programming; nodes of templates held at once.
+MAX_CELLS, MAX_HELD = 40_000, 200_000
+FOLDED = "folded"
 MAX_BROADCAST = 64 << 20
 SALTS = 16
 
@@ -196,24 +207,68 @@ def regions(root: Node) -> list[Node]:
 # A template node is [label, pages, text, children]: text is None (has none), 0 (varies) or the hash of a constant.
 
 
-def folded(node: Node, depth: int = 0) -> list:
-    """The template of one page: siblings of one label fold into one."""
+def tree(node: Node, depth: int = 0) -> list:
+    """The template of one page: every element that is not left out, in order."""
     own = _squeezed("".join(k for k in node.kids if isinstance(k, str)))
-    kids: dict[str, list] = {}
-    for k in node.kids:
-        if isinstance(k, Node) and not k.out and depth < MAX_DEPTH:
-            one = folded(k, depth + 1)
-            kids[one[0]] = merged(kids[one[0]], one, pages=1) if one[0] in kids else one
-    return [node.label, 1, xxhash.xxh64_intdigest(own) or 1 if own else None, list(kids.values())]
+    kids = [tree(k, depth + 1) for k in node.kids if isinstance(k, Node) and not k.out] if depth < MAX_DEPTH else []
+    return [node.label, 1, xxhash.xxh64_intdigest(own) or 1 if own else None, kids]
 
 
 def matching(a: list, b: list) -> tuple[int, list[tuple[int, int]]]:
-    """Simple tree matching of two nodes: the score, and the aligned pairs of their children."""
+    """Simple tree matching of two nodes: the score, and the aligned pairs of their children.
+
+    Nodes of one label score 1, and 1 more for the same constant text.
+    """
     if a[0] != b[0]:
         return 0, []
-    x, y = a[3], b[3]
-    if [k[0] for k in x] == [k[0] for k in y]:
-        return 1 + sum(_score(p, q) for p, q in zip(x, y, strict=True)), [(i, i) for i in range(len(x))]
+    pairs = _pairs(a[3], b[3])
+    return 1 + (bool(a[2]) and a[2] == b[2]) + sum(_score(a[3][i], b[3][j]) for i, j in pairs), pairs
+
+
+def _score(a: list, b: list) -> int:
+    """The simple tree matching score alone."""
+    return matching(a, b)[0]
+
+
+def _pairs(x: list[list], y: list[list]) -> list[tuple[int, int]]:
+    """The alignment of two sequences of siblings; equal subtrees at both ends are aligned first."""
+    n, lo, hi = min(len(x), len(y)), 0, 0
+    while lo < n and _equal(x[lo], y[lo]):
+        lo += 1
+    while hi < n - lo and _equal(x[-1 - hi], y[-1 - hi]):
+        hi += 1
+    middle = _aligned(x[lo : len(x) - hi], y[lo : len(y) - hi])
+    return [(i, i) for i in range(lo)] + [(lo + i, lo + j) for i, j in middle] + [(len(x) - k, len(y) - k) for k in range(hi, 0, -1)]
+
+
+def _equal(a: list, b: list) -> bool:
+    """Whether two subtrees have the same labels and constant texts."""
+    return a[0] == b[0] and a[2] == b[2] != 0 and len(a[3]) == len(b[3]) and all(map(_equal, a[3], b[3]))
+
+
+def _texts(nodes: list[list], found: set[int]) -> set[int]:
+    """The constants of subtrees."""
+    for n in nodes:
+        if n[2]:
+            found.add(n[2])
+        if n[3]:
+            _texts(n[3], found)
+    return found
+
+
+def _aligned(x: list[list], y: list[list]) -> list[tuple[int, int]]:
+    n = min(len(x), len(y))
+    if not n:
+        return []
+    if all(p[0] == q[0] for p, q in zip(x, y)) and (n == 1 == len(x) == len(y) or _texts(x, set()).isdisjoint(_texts(y, set()))):  # noqa: B905
+        return [(i, i) for i in range(n)]
+    if sum(map(_count, x)) * sum(map(_count, y)) > MAX_CELLS:
+        lo = hi = 0
+        while lo < (n + 1) // 2 and x[lo][0] == y[lo][0]:
+            lo += 1
+        while hi < n - lo and x[-1 - hi][0] == y[-1 - hi][0]:
+            hi += 1
+        return [(i, i) for i in range(lo)] + [(len(x) - k, len(y) - k) for k in range(hi, 0, -1)]
     m = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
     w = [[_score(p, q) if p[0] == q[0] else 0 for q in y] for p in x]
     for i in range(1, len(x) + 1):
@@ -228,68 +283,81 @@ def matching(a: list, b: list) -> tuple[int, list[tuple[int, int]]]:
             i -= 1
         else:
             j -= 1
-    return 1 + m[len(x)][len(y)], pairs[::-1]
-
-
-def _score(a: list, b: list) -> int:
-    """The simple tree matching score alone."""
-    return matching(a, b)[0]
+    return pairs[::-1]
+
+
+def _either(a: int | None, b: int | None) -> int | None:
+    """The text of two aligned nodes."""
+    return a if b is None or a == b else b if a is None else 0
+
+
+def merged(a: list, b: list) -> list:
+    """Two templates of one label as one; children that do not align keep their place."""
+    kids: list[list] = []
+    if a[3] and b[3]:
+        i = j = 0
+        for p, q in _pairs(a[3], b[3]):
+            kids += a[3][i:p]
+            kids += b[3][j:q]
+            kids.append(merged(a[3][p], b[3][q]))
+            i, j = p + 1, q + 1
+        kids += a[3][i:]
+        kids += b[3][j:]
+    else:
+        kids = a[3] or b[3]
+    return [a[0], a[1] + b[1], _either(a[2], b[2]), kids]
 
 
-def merged(a: list, b: list, pages: int = 0) -> list:
-    """Two templates of one label as one; children that do not align keep their place, once per label.
+def bounded(t: list) -> list:
+    """The template, folded if it has over MAX_NODES nodes."""
+    return t if t[0] == FOLDED or _count(t) <= MAX_NODES else _folded(t)
 
-    ``pages`` sets the number of pages where both come from the same page.
-    """
-    text = a[2] if b[2] is None or a[2] == b[2] else b[2] if a[2] is None else 0
-    kids: dict[str, list] = {}
 
-    def put(k: list) -> None:
-        kids[k[0]] = merged(kids[k[0]], k, pages) if k[0] in kids else k
+def joined(a: list, b: list) -> list:
+    """Two hosts' or pages' templates as one, within bounds."""
+    if a[0] == b[0] != FOLDED:
+        return bounded(merged(a, b))
+    a, b = _folded(a), _folded(b)
+    return _folded(merged(a, b))
 
-    _, pairs = matching(a, b)
-    i = j = 0
-    for p, q in [*pairs, (len(a[3]), len(b[3]))]:
-        for k in a[3][i:p]:
-            put(k)
-        for k in b[3][j:q]:
-            put(k)
-        if p < len(a[3]) and q < len(b[3]):
-            put(merged(a[3][p], b[3][q], pages))
-        i, j = p + 1, q + 1
-    return [a[0], pages or a[1] + b[1], text, list(kids.values())]
 
+def _count(t: list) -> int:
+    return 1 + sum(map(_count, t[3])) if t[3] else 1
 
-def bounded(t: list) -> list:
-    """The template, with class names left out of its labels if it has over MAX_NODES nodes."""
-    if _count(t) <= MAX_NODES:
-        return t
-    return _coarse(t)
 
+def _folded(t: list) -> list:
+    """The template with class names left out of labels and siblings of one label as one; its root says so."""
 
-def _count(t: list) -> int:
-    return 1 + sum(map(_count, t[3]))
+    def fold(node: list) -> list:
+        return [node[0].partition(".")[0], node[1], node[2], together(map(fold, node[3]))]
 
+    def together(nodes) -> list:
+        kids: dict[str, list] = {}
+        for k in nodes:
+            o = kids.get(k[0])
+            kids[k[0]] = k if o is None else [k[0], max(o[1], k[1]), _either(o[2], k[2]), together([*o[3], *k[3]])]
+        return list(kids.values())
 
-def _coarse(t: list) -> list:
-    kids: dict[str, list] = {}
-    for k in map(_coarse, t[3]):
-        kids[k[0]] = merged(kids[k[0]], k) if k[0] in kids else k
-    return [t[0].partition(".")[0], t[1], t[2], list(kids.values())]
+    return [FOLDED, *fold(t)[1:]]
 
 
 def _squeezed(s: str) -> str:
     return " ".join(s.split())
 
 
-def content(region: Node, template: list | None) -> tuple[list[str], list[str]]:
-    """Blocks of a region: those in slots of the template, and all."""
+def content(region: Node, one: list, template: list | None, needed: float, folded: bool = False) -> tuple[list[str], list[str]]:
+    """Blocks of a region with the tree ``one``: those that no constant of the template equals, and all.
+
+    ``needed`` pages make the region's own text a constant.
+    """
     slots: list[str] = []
     every: list[str] = []
 
-    def walk(node: Node, t: list | None) -> None:
-        kids = {k[0]: k for k in t[3]} if t else {}
-        constant = t is not None and bool(t[2]) and t[1] >= MIN_PAGES
+    def walk(node: Node, one: list | None, t: list | None, needed: float) -> None:
+        below = {}
+        if t and one and t[3] and one[3]:
+            below = _below(t, one, folded)
+        constant = t is not None and one is not None and bool(t[2]) and t[2] == one[2] and t[1] >= needed
         line: list[str] = []
 
         def flush() -> None:
@@ -300,6 +368,7 @@ def content(region: Node, template: list | None) -> tuple[list[str], list[str]]:
                 if not constant:
                     slots.append(s)
 
+        j = 0
         for k in node.kids:
             if isinstance(k, str):
                 line.append(k)
@@ -308,34 +377,50 @@ def content(region: Node, template: list | None) -> tuple[list[str], list[str]]:
                     flush()
             else:
                 flush()
-                walk(k, kids.get(k.label) or kids.get(k.tag))
+                known, least = below.get(j, (None, 0))
+                walk(k, one[3][j] if one and one[3] else None, known, least)
+                j += 1
         flush()
 
-    walk(region, template)
+    walk(region, one, template, needed)
     return slots, every
 
 
+def _below(t: list, one: list, folded: bool) -> dict[int, tuple[list, float]]:
+    """By the number of a page's child, the template's child aligned with it and the pages that make that a constant."""
+    if folded:
+        by = {k[0]: k for k in t[3]}
+        return {j: (by[tag], MIN_PAGES) for j, k in enumerate(one[3]) if (tag := k[0].partition(".")[0]) in by}
+    times = Counter(k[0] for k in t[3])
+    many = max(MIN_PAGES, MIN_SHARE * t[1])
+    return {j: (t[3][i], many if times[t[3][i][0]] > 1 else MIN_PAGES) for i, j in _pairs(t[3], one[3])}
+
+
 def extract(html: str | None, template: list | None = None) -> str:
     """The main text of one page under its host's template."""
     if not html:
         return ""
     slots: list[str] = []
     every: list[str] = []
-    for region in regions(parse(html)):
-        t = next((x for x in template[3] if x[0] in (region.label, region.tag)), None) if template else None
-        a, b = content(region, t)
+    found = regions(parse(html))
+    one = _rooted(found)
+    folded = bool(template) and template[0] == FOLDED
+    below = _below(template, one, folded) if template else {}
+    for j, region in enumerate(found):
+        t, least = below.get(j, (None, 0))
+        a, b = content(region, one[3][j], t, least, folded)
         slots += a
         every += b
     return "\n".join(slots or every)
 
 
+def _rooted(found: list[Node]) -> list:
+    return ["pages", 1, None, [tree(r) for r in found]]
+
+
 def page_template(html: str) -> list:
-    """A page's regions under one root, folded; region labels are those of their elements."""
-    kids: dict[str, list] = {}
-    for region in regions(parse(html)):
-        one = folded(region)
-        kids[one[0]] = merged(kids[one[0]], one, pages=1) if one[0] in kids else one
-    return ["pages", 1, None, list(kids.values())]
+    """A page's regions under one root; region labels are those of their elements."""
+    return _rooted(regions(parse(html)))
 
 
 def _partials(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -345,13 +430,11 @@ def _partials(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in pieces(batch, 1):
             for host, html in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                one = page_template(html)
-                if host in made:
-                    made[host] = bounded(merged(made[host], one))
-                else:
-                    made[host] = one
-                    weight += _count(one)
-            if weight > 200_000:
+                one = bounded(page_template(html))
+                before = made.get(host)
+                made[host] = one if before is None else joined(before, one)
+                weight += _count(made[host]) - (0 if before is None else _count(before))
+            if weight > MAX_HELD:
                 yield _named(made)
                 made, weight = {}, 0
     if made:
@@ -366,15 +449,17 @@ def _merge(keys: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """From (host[, salt], template) sorted by all columns, one template a key."""
         out: dict[str, list] = {}
+        weight = 0
         for key, rows in _streamed(batches, keys):
             t = None
             for row in rows:
                 one = json.loads(row)
-                t = one if t is None else bounded(merged(t, one))
+                t = one if t is None else joined(t, one)
             out[key[0]] = t
-            if len(out) >= 500:
+            weight += _count(t)
+            if len(out) >= 500 or weight > MAX_HELD:
                 yield _named(out)
-                out = {}
+                out, weight = {}, 0
         if out:
             yield _named(out)
 
@@ -416,6 +501,7 @@ def extracted(pages: DataFrame, max_broadcast: int = MAX_BROADCAST) -> DataFrame
         met = pages.withColumn("_host", host()).join(found.select(F.col("host").alias("_host"), F.col("template").alias("_template")), "_host", "left")
         keyed = met.withColumn("_in", F.struct(F.col("_host").alias("host"), "html", F.col("_template").alias("template")))
     cache: dict[str, list] = {}
+    held = [0]
 
     def batch(column: pa.Array) -> list[list[str]]:
         out = []
@@ -424,8 +510,10 @@ def extracted(pages: DataFrame, max_broadcast: int = MAX_BROADCAST) -> DataFrame
             if t is None:
                 text = known.value.get(r["host"]) if known is not None else r["template"]
                 t = json.loads(text) if text else []
-                if len(cache) > 2_000:
+                held[0] += _count(t) if t else 1
+                if len(cache) > 2_000 or held[0] > MAX_HELD:
                     cache.clear()
+                    held[0] = _count(t) if t else 1
                 cache[r["host"]] = t
             out.append(extract(r["html"], t or None))
         return [out]

@@ -84,6 +84,36 @@ def test_html_wrapper_drops_constants_and_keeps_slots():
     assert html_extraction.extract(pages[3]) == "Daily news of the town\nHead 3\nBody 3"
 
 
+def template_of(pages):
+    t = None
+    for p in pages:
+        one = html_extraction.page_template(p)
+        t = one if t is None else html_extraction.joined(t, one)
+    return t
+
+
+@pytest.mark.parametrize("frame", ["<div>Home News Contact</div>{}<div>All rights reserved</div>", "<div><ul><li>Home<li>News</ul></div>{}<div><ul><li>Terms<li>All rights reserved</ul></div>"])
+def test_html_wrapper_sees_unclassed_menus_and_footers(frame):
+    """Menus and footers are plain divs and lists among as many stories as a page has."""
+    stories = [[f"story {i} {k}" for k in range(1 + i % 3)] for i in range(9)]
+    pages = [f"<body>{frame.format(''.join(f'<div>{x}</div>' for x in s))}</body>" for s in stories]
+    for seed in range(4):
+        shuffled = list(pages)
+        random.Random(seed).shuffle(shuffled)
+        t = template_of(shuffled)
+        assert [html_extraction.extract(p, t) for p in pages] == ["\n".join(s) for s in stories]
+    few = template_of(pages[:4])
+    assert html_extraction.extract(pages[0], few) != "story 0 0"  # under MIN_PAGES nothing is constant
+
+
+def test_html_copies_of_the_longest_page_are_content(monkeypatch):
+    pages = [f"<main><p>a {i}</p><p>b {i}</p></main>" for i in range(10)] + ["<main><p>x</p><p>y</p><p>z</p></main>"] * 6
+    assert html_extraction.extract(pages[-1], template_of(pages)) == "x\ny\nz"
+    monkeypatch.setattr(html_extraction, "MAX_NODES", 3)
+    assert template_of(pages)[0] == html_extraction.FOLDED
+    assert html_extraction.extract(pages[-1], template_of(pages)) == "x\ny\nz"
+
+
 def test_html_merging_does_not_depend_on_order():
     pages = [f"<main><div class=a>same</div>{'<div class=b>x%d</div>' % i if i % 2 else ''}<p>{i % 3}</p></main>" for i in range(8)]
     ones = [html_extraction.page_template(p) for p in pages]
