@@ -1,7 +1,8 @@
 """License scans: MinHash bands over overlapping word windows, in DataFrame expressions only.
 
-A template is the wording of a license notice, as five-word shingles of its
-lower-cased words. For each template length n (in shingles) a text is cut into
+A template is a wording of a license (its text, header or a notice), as five-word
+shingles of its lower-cased words; the name up to a ``#`` is the license's. The
+registered query scans for the templates of ``license_bank``. For each template length n (in shingles) a text is cut into
 windows of 2n shingles that overlap by half, so every occurrence of such a
 template lies whole in one window. Windows and templates have ``BANDS`` MinHash
 values, each a band of one row; templates of that length that share a band with
@@ -12,8 +13,14 @@ A window that contains 0.8 of a template has a Jaccard similarity of at least
 0.8 n / 2.2 n = 0.36 with it and misses all 32 bands with a probability of
 0.64^32 = 5e-7; a verbatim occurrence (0.5 or more) with 2e-10.
 
-Windows without any shingle of any template have similarity 0 and cannot share
-a minimum with one, so only the others get MinHash values. Templates are a
+A match gives way to a better one in an overlapping window that explains most of
+it: one with more shingles met, or as many of a shorter template. So a text of
+three clauses is not also one of two, and a notice of one version not another's.
+
+Windows without any shingle of a template of their length have similarity 0 and
+cannot share a minimum with one, so only the others get MinHash values; for
+templates of ``LONG`` shingles or more, windows need as many places with such
+shingles as containment does, which loses nothing. Templates are a
 parameter of at most ``MAX_SHINGLES`` shingles; their bands are constants of the
 plan, and rows are judged where they lie, without a shuffle.
 
@@ -25,6 +32,8 @@ first window that has it; repeated rows are all judged; a column named
 
 from __future__ import annotations
 
+import json
+
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame
 
@@ -33,8 +42,11 @@ from brindle.llm.common import NON_WORD, shaped
 SHINGLE, CONTAINMENT, BANDS = 5, 0.8, 32
 #: Shingles of all templates together that a plan may carry.
 MAX_SHINGLES = 20_000
+#: Shingles of a template from which windows with too few of them get no MinHash values.
+LONG = 50
+_MATCH = "struct<license:string,word:int,n:int,m:array<bigint>>"
 
-#: Notices to scan for. Fixed values.
+#: One notice each of four licenses, the default of a caller who gives no templates. Fixed values.
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
@@ -71,28 +83,36 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, text: str = "te
         raise ValueError(f"templates of fewer than {SHINGLE} words: {short}")
     if sum(map(len, sets.values())) > MAX_SHINGLES:
         raise ValueError(f"templates of over {MAX_SHINGLES} shingles together")
-    none = "cast(array() as array<struct<license:string,word:int>>)"
     if not sets:
-        return docs.withColumn("licenses", F.expr(none))
-    longs = lambda s: "array(" + ", ".join(f"{x}L" if x > -(2**63) else "(-9223372036854775807L - 1L)" for x in s) + ")"
+        return docs.withColumn("licenses", F.expr("cast(array() as array<struct<license:string,word:int>>)"))
+    longs = lambda s: ", ".join(f"{x}L" if x > -(2**63) else "(-9223372036854775807L - 1L)" for x in sorted(s))
     bands = {r["name"]: r["b"] for r in rows.select("name", F.expr(_let("s", f"array_distinct({_shingles('t')})", _bands("s"))).alias("b")).collect()}
     by_length: dict[int, list[str]] = {}
     for name, s in sets.items():
         by_length.setdefault(len(s), []).append(name)
+    none = f"cast(array() as array<{_MATCH}>)"
     parts = []
     for n, names in sorted(by_length.items()):
-        tests = [
-            f"if(arrays_overlap(m, {longs(bands[k])}) and size(array_intersect(v, {longs(sets[k])})) >= {containment * n}D - 1e-9D,"
-            f" array(named_struct('license', '{k}', 'word', k * {n})), {none})"
-            for k in names
-        ]
-        inner = _let("v", f"array_distinct(slice(h, k * {n} + 1, {2 * n}))", _let("m", _bands("v"), f"concat({', '.join(tests)})"))
-        windows = f"filter(array_distinct(flatten(transform(p, i -> array(int(i div {n}) - 1, int(i div {n}))))), k -> k >= 0)"
-        parts.append(f"flatten(transform({windows}, k -> {inner}))")
-    every = ", ".join(str(x) + "L" if x > -(2**63) else "(-9223372036854775807L - 1L)" for x in sorted({x for s in sets.values() for x in s}))
+        known = json.dumps([{"l": name.partition("#")[0], "b": bands[name], "s": sets[name]} for name in sorted(names)])
+        # JSON makes one constant of the templates, whatever their number
+        kin = f"from_json('{known}', 'array<struct<l:string,b:array<bigint>,s:array<bigint>>>')"
+        met = f"""transform(
+            filter({kin}, t -> arrays_overlap(m, t.b) and size(array_intersect(v, t.s)) >= {containment * n}D - 1e-9D),
+            t -> named_struct('license', t.l, 'word', k * {n}, 'n', {n}, 'm', array_intersect(v, t.s)))"""
+        inner = _let("v", f"array_distinct(slice(h, k * {n} + 1, {2 * n}))", _let("m", _bands("v"), met))
+        able = "k >= 0"
+        if n >= LONG:
+            able += f" and size(filter(q, i -> i >= k * {n} and i < (k + 2) * {n})) >= {containment * n}D - 1e-9D"
+        windows = f"filter(array_distinct(flatten(transform(q, i -> array(int(i div {n}) - 1, int(i div {n}))))), k -> {able})"
+        own = f"filter(p, i -> h[i] in ({longs({x for name in names for x in sets[name]})}))"
+        parts.append(_let("q", own, f"if(size(q) = 0, {none}, flatten(transform({windows}, k -> {inner})))"))
+    every = longs({x for s in sets.values() for x in s})
     matches = f"if(size(p) = 0, {none}, concat({', '.join(parts)}))"
     near = _let("p", f"filter(sequence(0, size(h) - 1), i -> h[i] in ({every}))", matches)
     found = _let("h", _shingles(f"coalesce(`{text}`, '')"), f"if(size(h) = 0, {none}, {near})")
+    better = f"""b.word < a.word + 2 * a.n and a.word < b.word + 2 * b.n and (size(b.m) > size(a.m) or (size(b.m) = size(a.m) and b.n < a.n))
+        and 2 * size(array_intersect(a.m, b.m)) > size(a.m)"""
+    found = _let("g", found, f"filter(g, a -> not exists(g, b -> {better}))")
     first = """transform(array_sort(array_distinct(transform(f, x -> x.license))), n ->
         named_struct('license', n, 'word', array_min(transform(filter(f, x -> x.license = n), x -> x.word))))"""
     return docs.withColumn("licenses", F.expr(_let("f", found, first)))

@@ -13,6 +13,7 @@ from brindle.llm import (
     decontamination,
     html_extraction,
     jaccard_join,
+    license_bank,
     license_scan,
     line_dedup,
     oracles,
@@ -97,7 +98,7 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return license_scan.scan(docs).select(
+    return license_scan.scan(docs, license_bank.bank()).select(
         "doc_id", F.size("licenses").cast("bigint").alias("n_licenses"), F.array_join("licenses.license", ",").alias("licenses")
     )
 
@@ -132,5 +133,5 @@ def oracle_sql() -> dict[str, str]:
         "op3_url_filter": oracles.url_filter(URL_RULES, URL_BLOCK_LIST),
         "op5_line_dedup": oracles.LINE_DEDUP_WHOLE,
         "op6_decontamination": oracles.DECONTAMINATION,
-        "op9_license_scan": oracles.license_scan(),
+        "op9_license_scan": oracles.license_bank_scan(license_bank.bank()),
     }

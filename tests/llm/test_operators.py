@@ -20,6 +20,7 @@ from brindle.llm import (
     decontamination,
     html_extraction,
     jaccard_join,
+    license_bank,
     license_scan,
     line_dedup,
     oracles,
@@ -440,6 +441,51 @@ def test_license_scan(spark):
         license_scan.scan(docs_of(spark, rows), {"x": "too short"})
 
 
+def test_license_query_knows_texts_headers_and_reworded_notices(spark, tmp_path):
+    bank = license_bank.bank()
+    text = lambda name: bank[f"{name}#text"]
+    near = lambda t, every: " ".join("changed" if i % every == every - 1 else w for i, w in enumerate(t.split()))
+    filler = prose(2, 120)
+    cases = [
+        ("This code is licensed under the MIT License.", "MIT"),
+        ("Released under the terms of the MIT License.", "MIT"),
+        ("Licensed under the GNU General Public License, version 3.", "GPL-3.0"),
+        ("Licensed under the GNU General Public License, version 2.", "GPL-2.0"),
+        ("Licensed under the GNU General Public License, version 9.", ""),
+        ("Licensed under the Apache License 2.0", "Apache-2.0"),
+        ("Available under MIT License terms or under the Apache License, Version 2.0", "Apache-2.0"),
+        ("the license of the driver was renewed under the rules", ""),
+        (text("BSD-2-Clause"), "BSD-2-Clause"),
+        (text("BSD-3-Clause"), "BSD-3-Clause"),
+        (f"{text('BSD-2-Clause')} {filler * 5} {text('BSD-3-Clause')}", "BSD-2-Clause,BSD-3-Clause"),
+        (f"{filler} {near(text('MIT'), 40)} {filler}", "MIT"),
+        (near(text("MIT"), 8), ""),
+        (near(text("Apache-2.0"), 60), "Apache-2.0"),
+        (text("ISC"), "ISC"),
+        (text("0BSD"), "0BSD"),
+        (text("LGPL-3.0"), "LGPL-3.0"),
+        (text("MPL-2.0"), "MPL-2.0"),
+        (text("GPL-3.0"), "GPL-3.0"),
+        (bank["AGPL-3.0#header1"], "AGPL-3.0"),
+        (bank["GPL-2.0#header1"].replace("useful", "handy"), "GPL-2.0"),
+        (bank["LGPL-2.1#header0"], "LGPL-2.1"),
+        (None, ""),
+    ]
+    docs_of(spark, [(i, t) for i, (t, _) in enumerate(cases)]).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r.licenses for r in queries.op9_license_scan(spark, str(tmp_path)).collect()}
+    assert got == {i: want for i, (_, want) in enumerate(cases)}
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert {r[0]: r[2] for r in con.sql(queries.oracle_sql()["op9_license_scan"]).fetchall()} == got
+
+
+def test_license_scan_of_four_notices_equals_its_sql(spark, data):
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{data}/documents.parquet'")
+    got = license_scan.scan(spark.read.parquet(f"{data}/documents.parquet"))
+    assert {r.doc_id: ",".join(x.license for x in r.licenses) for r in got.collect()} == {r[0]: r[2] for r in con.sql(oracles.license_scan()).fetchall()}
+
+
 # ---- 10: quality rules ----
 
 
