@@ -277,6 +277,19 @@ FROM orders WHERE o_orderdate >= TIMESTAMP '1997-01-01' AND o_orderdate < TIMEST
 """)
 def order_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").where("o_orderdate >= timestamp_ntz'1997-01-01' AND o_orderdate < timestamp_ntz'1998-01-01'")
+    return _dates(orders)
+
+
+@query("""
+SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS y, CAST(month(o_orderdate) AS INTEGER) AS m, CAST(isodow(o_orderdate) AS INTEGER) AS dow,
+  CAST(date_diff('day', o_orderdate, TIMESTAMP '2002-01-01') AS INTEGER) AS age, strftime(o_orderdate, '%Y-%m') AS month
+FROM orders
+""")
+def order_dates_of_all_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _dates(table(spark, sf_dir, "orders"))
+
+
+def _dates(orders: DataFrame) -> DataFrame:
     return orders.select(
         "o_orderkey", F.year("o_orderdate").alias("y"), F.month("o_orderdate").alias("m"), (F.weekday("o_orderdate") + 1).alias("dow"),
         F.datediff(F.lit("2002-01-01").cast("date"), "o_orderdate").alias("age"), F.date_format("o_orderdate", "yyyy-MM").alias("month"),

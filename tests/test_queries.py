@@ -42,5 +42,11 @@ def test_every_query_is_known():
     assert entry.entry
 
 
+def test_order_dates_reach_every_order_and_year(spark, data, db):
+    got = entry.queries()["order_dates_of_all_years"](spark, data).toPandas()
+    n, years = db.sql("SELECT count(*), list_sort(list_distinct(list(year(o_orderdate)))) FROM orders").fetchall()[0]
+    assert len(got) == n and sorted(got["y"].unique()) == years and len(years) > 1
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
