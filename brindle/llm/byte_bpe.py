@@ -8,9 +8,10 @@ which buckets have entries, and find-first-set on the two gives the least rank
 stale and skipped when they come up. A pre-token of n bytes costs O(n log n),
 however long it is, where rescanning the list would cost O(n^2).
 
-Ids of frequent pre-tokens are kept per worker in a table of bounded size;
-every miss goes through the queue. Rows stay where they are: no shuffle, and
-what a worker holds is the vocabulary, that table and one slice of texts.
+Ids of pre-tokens are kept per worker, packed, in two generations of at most
+``KEPT_BYTES`` each; every miss goes through the queue. Rows stay where they are:
+no shuffle, and what a worker holds is the vocabulary, those tables and one slice
+of texts.
 
 Defined results: a null or empty text has no ids and decodes to no bytes. Texts
 are whole; no special tokens; repeated rows are all encoded. Rank files must
@@ -22,8 +23,8 @@ from __future__ import annotations
 from array import array
 from functools import cache
 from heapq import heappop, heappush
-from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame
@@ -31,8 +32,8 @@ from pyspark.sql import DataFrame
 from brindle.llm.common import appended, shaped
 from brindle.llm.pretokens import Splitter, read_ranks
 
-#: A worker keeps the ids of up to twice so many pre-tokens, of up to so many characters.
-KEPT, KEPT_LENGTH = 400_000, 40
+#: Bytes of a generation of kept pre-tokens, what an entry takes beside its own length, and characters of the longest kept.
+KEPT_BYTES, ENTRY_BYTES, KEPT_LENGTH = 40 << 20, 150, 40
 
 
 class Codec:
@@ -40,17 +41,22 @@ class Codec:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
-        self.pieces = {i: b for b, i in ranks.items()}
-        self.words = [0] * (max(ranks.values()) // 64 + 1)  # all zero between pre-tokens
+        most = max(ranks.values())
+        self.pieces: list[bytes | None] = [None] * (most + 1)
+        for b, i in ranks.items():
+            self.pieces[i] = b
+        self.words = [0] * (most // 64 + 1)  # all zero between pre-tokens
+        self.packed = np.dtype(np.uint16 if most < 1 << 16 else np.uint32)
         self.split = Splitter(pattern).split
-        self.known: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.held = 0
 
-    def merge(self, piece: bytes) -> tuple[int, ...]:
+    def merge(self, piece: bytes) -> list[int]:
         """Ids of one pre-token."""
         whole = self.ranks.get(piece)
         if whole is not None:
-            return (whole,)
+            return [whole]
         get, words, n = self.ranks.get, self.words, len(piece)
         right = list(range(1, n + 1))  # the end of the piece that begins here
         left = list(range(-1, n))  # the beginning of the piece before
@@ -117,32 +123,37 @@ class Codec:
         while i < n:
             out.append(self.ranks[piece[i : right[i]]])
             i = right[i]
-        return tuple(out)
+        return out
 
-    def encode(self, text: str | None) -> array:
+    def encode(self, text: str | None) -> np.ndarray:
+        return np.frombuffer(self.encode_packed(text), self.packed)
+
+    def encode_packed(self, text: str | None) -> bytes:
+        """The ids as unsigned numbers of the type ``packed``, one after another."""
         tokens = self.split(text) if text else []
         known = self.known
         try:
-            return array("i", chain.from_iterable(map(known.__getitem__, tokens)))
+            return b"".join(map(known.__getitem__, tokens))
         except KeyError:
-            if len(known) > KEPT:  # what is still in use comes back from the older half
-                self.older, self.known = known, {}
+            if self.held > KEPT_BYTES:  # what is still in use comes back from the older half
+                self.older, self.known, self.held = known, {}, 0
                 known = self.known
-            return array("i", chain.from_iterable([known.get(t) or self._learn(t) for t in tokens]))
+            return b"".join([known.get(t) or self._learn(t) for t in tokens])
 
-    def _learn(self, token: str) -> tuple[int, ...]:
-        ids = self.older.get(token) or self.merge(token.encode("utf-8"))
+    def _learn(self, token: str) -> bytes:
+        ids = self.older.get(token) or array(self.packed.char, self.merge(token.encode("utf-8"))).tobytes()
         if len(token) <= KEPT_LENGTH:
             self.known[token] = ids
+            self.held += ENTRY_BYTES + len(token) + len(ids)
         return ids
 
     def decode(self, ids) -> bytes:
-        return b"".join([self.pieces[i] for i in ids])
+        return b"".join(map(self.pieces.__getitem__, ids))
 
 
 @cache
 def codec(path: str, pattern: str) -> Codec:
-    """One codec per worker: it holds the vocabulary and the table of frequent pre-tokens."""
+    """One codec per worker: it holds the vocabulary and the tables of kept pre-tokens."""
     return Codec(read_ranks(path), pattern)
 
 
@@ -151,7 +162,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text") -> Data
 
     def batch(column: pa.Array) -> list[pa.Array]:
         c = codec(path, pattern)
-        return [_lists([c.encode(t) for t in column.to_pylist()])]
+        return [_lists([c.encode_packed(t) for t in column.to_pylist()], c.packed)]
 
     return appended(shaped(docs, [text], ["ids"]), {"ids": "array<int>"}, batch, text)
 
@@ -171,18 +182,15 @@ def round_trip(docs: DataFrame, path: str, pattern: str, text: str = "text") ->
 
     def batch(column: pa.Array) -> list:
         c = codec(path, pattern)
-        ids = [c.encode(t) for t in column.to_pylist()]
-        return [_lists(ids), [c.decode(x) for x in ids]]
+        ids = [c.encode_packed(t) for t in column.to_pylist()]
+        return [_lists(ids, c.packed), [c.decode(np.frombuffer(x, c.packed).tolist()) for x in ids]]
 
     return appended(shaped(docs, [text], ["ids", "decoded"]), {"ids": "array<int>", "decoded": "binary"}, batch, text)
 
 
-def _lists(ids: list[array]) -> pa.Array:
-    ends = [0]
-    for x in ids:
-        ends.append(ends[-1] + len(x))
-    values = pa.array(memoryview(array("i", chain.from_iterable(ids))) if ends[-1] else [], pa.int32())
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
+def _lists(ids: list[bytes], packed: np.dtype) -> pa.Array:
+    ends = np.cumsum([0, *map(len, ids)]) // packed.itemsize
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(ids), packed).astype(np.int32)))
 
 
 def digests(df: DataFrame) -> DataFrame:

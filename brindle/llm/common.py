@@ -66,6 +66,17 @@ def shaped(df: DataFrame, needed: Sequence[str], made: Iterable[str] = ()) -> Da
     return flat.select(*[F.col(f"c{i}").alias(n) for i, n in keep])
 
 
+#: Bytes of an Arrow batch where the session sets no bound; rows of any length then reach Python in small batches.
+BATCH_BYTES = 8 << 20
+
+
+def in_small_batches(spark: SparkSession) -> None:
+    """Bound Arrow batches by bytes, where the session has not done so."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not spark.conf.get(key, None):
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all machines share, from ``spark.checkpoint.dir``; a temporary one if that is unset."""
     base = spark.conf.get("spark.checkpoint.dir", None)
@@ -103,6 +114,7 @@ def appended(df: DataFrame, columns: dict[str, str], batch_fn, source: str) -> D
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType, _parse_datatype_string
 
+    in_small_batches(df.sparkSession)
     made = _parse_datatype_string(", ".join(f"`{k}` {t}" for k, t in columns.items()))
     kinds = [f.type for f in to_arrow_schema(made)]
     schema = StructType([*df.schema.fields, *made.fields])

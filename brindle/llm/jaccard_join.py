@@ -2,32 +2,38 @@
 
 Texts are sets of five-word shingles (``common.words_of``; a text of one to four
 words is one shingle).  The join finds all pairs of texts with Jaccard
-similarity of at least ``THRESHOLD`` and returns, for every row, its copy key,
+similarity of at least ``THRESHOLD`` and returns, for every row, its copies' id,
 its class (connected component of links) and its number of links.
 
 1. Texts with equal shingle sets fold into one representative, so copies are
    never expanded; their number becomes a weight.
 2. Representatives meet in buckets of ``BANDS`` x ``ROWS`` MinHash values. A pair
    at the threshold misses all bands with probability (1 - 0.8^3)^24 = 3e-8.
-3. A bucket of over ``CHUNK`` members is cut into chunks by a hash, and pairs of
-   chunks are separate groups, so no task holds a whole hot bucket. A pair is
-   judged in the first band it shares only, so no two groups judge it twice.
-4. MinHash values are compared ``STEP`` at a time; a pair is dropped when the
+   A bucket whose members are those of a bucket of an earlier band goes (told by
+   128-bit digests of the members): its pairs have met there.
+3. MinHash values are compared ``STEP`` at a time; a pair is dropped when the
    posterior P(J >= threshold | matches so far), from a uniform prior, falls
-   under ``TOLERANCE``. Groups emit the members that still have a partner, a row
-   each, never pairs.
-5. Those members' shingle sets, made again from their texts, meet in the same
-   groups, where survivors are verified exactly. A group emits, per member, the
-   weight of its links and the least member it is linked with, directly or not.
-6. Classes are the components of those star edges, by repeated minimum labels
+   under ``TOLERANCE``. A bucket of over ``CHUNK`` members is cut into chunks by a
+   hash, and pairs of chunks are separate groups. A pair is judged in the first
+   band it shares only, so no two groups judge it twice. Groups emit the members
+   that still have a partner, never pairs.
+4. Those members' shingle sets, made again from their texts, meet in groups of
+   their own, cut so that one has ``GROUP_BYTES`` of sets on average at most.
+   There the same pairs survive again and are verified exactly. A group emits,
+   per member, the weight of its links and the least member it is linked with,
+   directly or not.
+5. Classes are the components of those star edges, by repeated minimum labels
    with path halving over staged tables.
 
-Work is linear in rows plus the pairs that share a bucket; rows moved are linear
-in rows times chunks of their bucket.
+Work is linear in rows plus the pairs of different texts that share a bucket, of
+which every link must be counted; rows moved are linear in rows times chunks of
+their bucket.
 
 Defined results: null texts and texts without words have no shingles; such a row
-is alone in its class and has no links (``copy_key`` null, ``class_id`` its
-doc_id).  ``class_id`` is the least doc_id of the class, null ids left out.
+is alone in its class and has no links (``copy_id`` null, ``class_id`` its
+doc_id). ``copy_id`` is the least doc_id of the texts with the same shingles and
+``class_id`` that of the class, null ids left out. Very long texts are sets of as
+many shingles, verified whole.
 ``n_links`` counts the other rows that are linked, copies included, so repeated
 rows count each other.  An empty table gives an empty result.
 """
@@ -45,15 +51,17 @@ import pyspark.sql.functions as F
 import xxhash
 from pyspark.sql import Column, DataFrame
 
-from brindle.llm.common import appended, dropped, runs, shaped, staged, words_of
+from brindle.llm.common import appended, dropped, in_small_batches, runs, shaped, staged, words_of
 
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 24, 3
 HASHES = BANDS * ROWS
 STEP, TOLERANCE = 12, 1e-6
-CHUNK = 256
-#: Bytes of dense shingle columns that one exact verification holds at once.
-SLAB = 64 << 20
+CHUNK = 2048
+#: Bytes of shingle sets that a group of exact verification has on average at most.
+GROUP_BYTES = 8 << 20
+#: Bytes of dense shingle columns, and pairs of members, that one group holds at once.
+SLAB, BLOCK = 16 << 20, 1 << 20
 
 _rng = np.random.default_rng(20_240_229)
 _A = _rng.integers(1, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -115,10 +123,8 @@ def least_matches(threshold: float = THRESHOLD, tolerance: float = TOLERANCE) ->
     return out
 
 
-def survivors(sigs: np.ndarray, keys: np.ndarray, band: int, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (i, j) whose first shared band is ``band`` and that Bayesian pruning keeps."""
-    first = np.concatenate([(keys[i[a : a + 65_536]] == keys[j[a : a + 65_536]]).argmax(1) for a in range(0, len(i), 65_536)])
-    i, j = i[first == band], j[first == band]
+def survivors(sigs: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs (i, j) that Bayesian pruning keeps."""
     need = least_matches()
     matches = np.zeros(len(i), np.int32)
     for n in range(0, HASHES, STEP):
@@ -130,29 +136,45 @@ def survivors(sigs: np.ndarray, keys: np.ndarray, band: int, i: np.ndarray, j: n
     return i, j
 
 
-def alive(band: int, own: bool, sides: list[int], sigs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Surviving index pairs of a group: within it, or between its two chunks."""
-    if own:
-        i, j = np.triu_indices(len(sides), 1)
-    else:
-        side = np.array(sides)
-        left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        i, j = np.repeat(left, len(right)), np.tile(right, len(left))
-    if len(i) == 0:
-        return i, j
-    return survivors(sigs, band_keys(sigs), band, i, j)
+def alive(band: int, own: bool, sides: list[int], sigs: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Blocks of surviving index pairs of a group, within it or between its two chunks.
+
+    Pairs that share an earlier band are left to it.
+    """
+    keys = band_keys(sigs)[:, :band]
+    side = np.array(sides)
+    left, right = (np.arange(len(side)),) * 2 if own else (np.flatnonzero(side == 0), np.flatnonzero(side == 1))
+    step = max(1, BLOCK // max(1, len(right)))
+    for start in range(0, len(left), step):
+        some = left[start : start + step]
+        fresh = some[:, None] < right[None, :] if own else np.ones((len(some), len(right)), bool)
+        for b in range(min(band, 2)):
+            fresh &= keys[some, b][:, None] != keys[right, b][None, :]
+        i, j = np.nonzero(fresh)
+        i, j = some[i], right[j]
+        for b in range(2, band):
+            apart = keys[i, b] != keys[j, b]
+            i, j = i[apart], j[apart]
+        i, j = survivors(sigs, i, j)
+        if len(i):
+            yield i, j
 
 
 def _prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From sorted (bucket, c1, c2, band, side, key, sig), the members that keep a partner."""
+    """From sorted (bucket, c1, c2, band, side, key, sig, cuts), the members that keep a partner, by group of verification."""
     out: list[tuple] = []
     for (bucket, c1, c2, band), rows in runs(batches, 4):
         if len(rows) < 2:
             continue
         sigs = np.frombuffer(b"".join(r[2] for r in rows), np.uint16).reshape(-1, HASHES)
-        i, j = alive(band, c1 == c2, [r[0] for r in rows], sigs)
-        if len(i):
-            out += [(rows[k][1], bucket, c1, c2, band, rows[k][0]) for k in np.unique(np.concatenate([i, j])).tolist()]
+        cuts = rows[0][3]
+        part = np.array([int.from_bytes(r[1][:8], "little") % cuts for r in rows])
+        met = np.empty(0, np.int64)  # member and the other's part, as one number
+        for i, j in alive(band, c1 == c2, [r[0] for r in rows], sigs):
+            met = np.unique(np.concatenate([met, i * cuts + part[j], j * cuts + part[i]]))
+        for k, other in zip((met // cuts).tolist(), (met % cuts).tolist(), strict=True):
+            own = int(part[k])
+            out.append((rows[k][1], bucket, min(own, other), max(own, other), band, int(own > other), rows[k][2]))
         if len(out) > 10_000:
             yield _batch(out, _MEMBER)
             out = []
@@ -160,7 +182,7 @@ def _prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _batch(out, _MEMBER)
 
 
-_MEMBER = pa.schema([("key", pa.binary()), ("bucket", pa.int64()), ("c1", pa.int32()), ("c2", pa.int32()), ("band", pa.int32()), ("side", pa.int32())])
+_MEMBER = pa.schema([("key", pa.binary()), ("bucket", pa.int64()), ("c1", pa.int32()), ("c2", pa.int32()), ("band", pa.int32()), ("side", pa.int32()), ("sig", pa.binary())])
 _LINKED = pa.schema([("key", pa.binary()), ("links", pa.int64()), ("least", pa.binary())])
 
 
@@ -168,13 +190,13 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema)
 
 
-def similar(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray, threshold: float = THRESHOLD) -> tuple[np.ndarray, np.ndarray]:
-    """The pairs whose exact Jaccard similarity reaches the threshold."""
+def similar(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray, crossings: np.ndarray | None = None, threshold: float = THRESHOLD) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs whose exact Jaccard similarity reaches the threshold; ``crossings``: sizes of all intersections, if known."""
     size = np.array([len(s) for s in sets])
     fit = np.minimum(size[i], size[j]) >= threshold * np.maximum(size[i], size[j]) - 1e-9
     i, j = i[fit], j[fit]
-    if len(i) > 4 * len(sets):
-        both = _crossings(sets)[i, j]
+    if crossings is not None:
+        both = crossings[i, j]
     else:
         both = np.array([len(np.intersect1d(sets[a], sets[b], assume_unique=True)) for a, b in zip(i, j, strict=True)], np.int64)
     ok = both >= threshold * (size[i] + size[j] - both) - 1e-9
@@ -185,43 +207,52 @@ def _crossings(sets: list[np.ndarray]) -> np.ndarray:
     """Sizes of all intersections, by products of dense slabs of shingle columns."""
     n = len(sets)
     every = np.concatenate(sets)
-    rows = np.repeat(np.arange(n), [len(s) for s in sets])
-    _, column, count = np.unique(every, return_inverse=True, return_counts=True)
+    order = np.argsort(every, kind="stable")
+    rows = np.repeat(np.arange(n, dtype=np.int32), [len(s) for s in sets])[order]
+    every = every[order]
+    del order
+    fresh = np.concatenate([[True], every[1:] != every[:-1]])
+    count = np.diff(np.append(np.flatnonzero(fresh), len(every)))
     everywhere = count == n
     shared = (count > 1) & ~everywhere
-    number = np.cumsum(shared) - 1
-    use = shared[column]
-    rows, column = rows[use], number[column[use]]
+    use = np.repeat(shared, count)
+    column = np.repeat((np.cumsum(shared) - 1).astype(np.int32), count)[use]
+    rows = rows[use]
+    del every, fresh, use
     out = np.full((n, n), float(everywhere.sum()), np.float32)
     width = max(1, SLAB // (4 * n))
-    order = np.argsort(column, kind="stable")
-    rows, column = rows[order], column[order]
+    dense = np.zeros((n, width), np.float32)
     for start in range(0, int(shared.sum()), width):
         a, b = np.searchsorted(column, [start, start + width])
-        dense = np.zeros((n, width), np.float32)
+        dense[:] = 0
         dense[rows[a:b], column[a:b] - start] = 1
         out += dense @ dense.T
-    return np.rint(out).astype(np.int64)
+    return np.rint(out).astype(np.int32)
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From sorted (bucket, c1, c2, band, side, key, weight, set), links and star edges per member."""
+    """From sorted (bucket, c1, c2, band, side, key, sig, weight, set), links and star edges per member."""
     out: list[tuple] = []
     for (_, c1, c2, band), rows in runs(batches, 4):
-        if len(rows) < 2:
-            continue
         rows = list({r[1]: r for r in rows}.values())
-        sets = [np.frombuffer(r[3], np.uint64) for r in rows]
-        i, j = alive(band, c1 == c2, [r[0] for r in rows], np.stack([minhash(s) for s in sets]))
-        i, j = similar(sets, i, j)
-        if len(i) == 0:
+        if len(rows) < 2:
             continue
-        weight = np.array([r[2] for r in rows])
+        sets = [np.frombuffer(r[4], np.uint64) for r in rows]
+        sigs = np.frombuffer(b"".join(r[2] for r in rows), np.uint16).reshape(-1, HASHES)
+        weight = np.array([r[3] for r in rows])
+        names = [r[1] for r in rows]
         links = np.zeros(len(rows), np.int64)
-        np.add.at(links, i, weight[j])
-        np.add.at(links, j, weight[i])
-        least = _roots(len(rows), i, j, [r[1] for r in rows])
-        out += [(rows[k][1], int(links[k]), rows[least[k]][1]) for k in np.flatnonzero(links).tolist()]
+        up = list(range(len(rows)))
+        crossings = None
+        for i, j in alive(band, c1 == c2, [r[0] for r in rows], sigs):
+            if crossings is None and len(i) > 4 * len(sets):
+                crossings = _crossings(sets)
+            i, j = similar(sets, i, j, crossings)
+            np.add.at(links, i, weight[j])
+            np.add.at(links, j, weight[i])
+            _unite(up, i, j, names)
+        out += [(names[k], int(links[k]), names[_root(up, k)]) for k in np.flatnonzero(links).tolist()]
+        del rows, sets, crossings
         if len(out) > 10_000:
             yield _batch(out, _LINKED)
             out = []
@@ -229,39 +260,38 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _batch(out, _LINKED)
 
 
-def _roots(n: int, i: np.ndarray, j: np.ndarray, names: list[bytes]) -> list[int]:
-    """For each member, the member with the least name in its component of pairs."""
-    up = list(range(n))
+def _root(up: list[int], x: int) -> int:
+    while up[x] != x:
+        up[x] = up[up[x]]
+        x = up[x]
+    return x
 
-    def find(x: int) -> int:
-        while up[x] != x:
-            up[x] = up[up[x]]
-            x = up[x]
-        return x
 
+def _unite(up: list[int], i: np.ndarray, j: np.ndarray, names: list[bytes]) -> None:
+    """Joins the components of pairs; the member of the least name is the root."""
     for a, b in zip(i.tolist(), j.tolist(), strict=True):
-        x, y = find(a), find(b)
+        x, y = _root(up, a), _root(up, b)
         if x != y:
             if names[y] < names[x]:
                 x, y = y, x
             up[y] = x
-    return [find(x) for x in range(n)]
 
 
 def signatures(texts: DataFrame) -> DataFrame:
-    """``texts`` (bytes) plus ``key`` (128-bit digest of the shingle set), ``sig`` and ``bands``; null without words."""
+    """``texts`` (bytes) plus ``key`` (128-bit digest of the shingle set), ``sig``, ``bands`` and ``size``; null without words."""
 
     def batch(column: pa.Array) -> list[list]:
-        keys, sigs, bands = [], [], []
+        keys, sigs, bands, sizes = [], [], [], []
         for t in column:
             s = shingles(t.as_py())
             keys.append(_key(s) if len(s) else None)
             sig = minhash(s) if len(s) else None
             sigs.append(None if sig is None else sig.tobytes())
             bands.append(None if sig is None else band_keys(sig)[0].view(np.int64))
-        return [keys, sigs, bands]
+            sizes.append(len(s))
+        return [keys, sigs, bands, sizes]
 
-    return appended(texts, {"key": "binary", "sig": "binary", "bands": "array<bigint>"}, batch, "bytes").drop("bytes")
+    return appended(texts, {"key": "binary", "sig": "binary", "bands": "array<bigint>", "size": "bigint"}, batch, "bytes").drop("bytes")
 
 
 def _key(s: np.ndarray) -> bytes:
@@ -302,10 +332,10 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def join(docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """``doc_id``, ``copy_key``, ``class_id``, ``n_links``: a row for each row of ``docs``."""
+    """``doc_id``, ``copy_id``, ``class_id``, ``n_links``: a row for each row of ``docs``."""
     return classes(docs, chunk).select(
         "doc_id",
-        F.lower(F.hex("key")).alias("copy_key"),
+        F.col("of.doc_id").alias("copy_id"),
         F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("class_id"),
         F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links"),
     )
@@ -329,31 +359,40 @@ def _row() -> Column:
     return F.unhex(F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.lit(":"), F.coalesce("text", F.lit("")))))
 
 
-def classes(docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """For each row ``doc_id``, ``row`` (a digest of doc_id and text), ``key``, ``first`` (of its class) and ``n_links``."""
+def classes(docs: DataFrame, chunk: int = CHUNK, group_bytes: int = GROUP_BYTES) -> DataFrame:
+    """For each row ``doc_id``, ``row`` (a digest of doc_id and text), ``key``, ``of`` (the first of its copies), ``first`` (of its class) and ``n_links``."""
+    in_small_batches(docs.sparkSession)
     docs = shaped(docs, ["doc_id", "text"]).select("doc_id", _row().alias("row"), F.encode("text", "UTF-8").alias("bytes"))
     full = staged(signatures(docs), "signatures")
     reps = staged(
         full.where("key IS NOT NULL").groupBy("key")
-        .agg(F.count(F.lit(1)).alias("weight"), F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "row")).alias("of"), F.min("sig").alias("sig"), F.min("bands").alias("bands")),
+        .agg(
+            F.count(F.lit(1)).alias("weight"), F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "row")).alias("of"),
+            F.min("sig").alias("sig"), F.min("bands").alias("bands"), F.min("size").alias("size"),
+        ),
         "representatives",
     )
     signed = staged(full.select("doc_id", "row", "key"), "members")
     dropped(full)
 
-    spread = reps.select("key", F.posexplode("bands").alias("band", "bucket"))
-    crowded = spread.groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    spread = reps.select("key", "size", F.posexplode("bands").alias("band", "bucket"))
+    crowded = spread.groupBy("band", "bucket").agg(
+        F.count(F.lit(1)).alias("members"), F.sum("size").alias("volume"),
+        *[F.bit_xor(F.xxhash64(F.lit(i), "key")).alias(f"d{i}") for i in (1, 2)],
+    ).where("members > 1")
+    apart = crowded.groupBy("members", "d1", "d2").agg(F.min(F.struct("band", "bucket", "volume")).alias("of")).select("of.band", "of.bucket", "of.volume", "members")
     n = F.ceil(F.col("members") / F.lit(chunk)).cast("int")
+    cuts = F.ceil(F.col("volume") * 8 / F.lit(group_bytes)).cast("int")
     met = (
-        spread.join(crowded, ["band", "bucket"]).select("key", "band", "bucket", n.alias("n"), F.pmod(F.xxhash64("key"), n).cast("int").alias("own"))
-        .select("key", "band", "bucket", "own", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("other"))
-        .select("bucket", F.least("own", "other").alias("c1"), F.greatest("own", "other").alias("c2"), "band", (F.col("own") > F.col("other")).cast("int").alias("side"), "key")
+        spread.join(apart, ["band", "bucket"]).select("key", "band", "bucket", cuts.alias("cuts"), n.alias("n"), F.pmod(F.xxhash64("key"), n).cast("int").alias("own"))
+        .select("key", "band", "bucket", "cuts", "own", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("other"))
+        .select("bucket", F.least("own", "other").alias("c1"), F.greatest("own", "other").alias("c2"), "band", (F.col("own") > F.col("other")).cast("int").alias("side"), "key", "cuts")
     )
     group = ["bucket", "c1", "c2", "band"]
     kept = staged(
-        met.join(reps.select("key", "sig"), "key").select(*group, "side", "key", "sig")
+        met.join(reps.select("key", "sig"), "key").select(*group, "side", "key", "sig", "cuts")
         .repartition(*group).sortWithinPartitions(*group)
-        .mapInArrow(_prune, "key binary, bucket bigint, c1 int, c2 int, band int, side int"),
+        .mapInArrow(_prune, "key binary, bucket bigint, c1 int, c2 int, band int, side int, sig binary"),
         "paired",
     )
 
@@ -361,7 +400,7 @@ def classes(docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
     found = docs.select("row", "bytes").join(needed.select("key", "weight", F.col("of.row").alias("row")), "row")
     sets = shingle_sets(found.select("key", "weight", "bytes"))
     verified = staged(
-        kept.join(sets, "key").select(*group, "side", "key", "weight", "set")
+        kept.join(sets, "key").select(*group, "side", "key", "sig", "weight", "set")
         .repartition(*group).sortWithinPartitions(*group)
         .mapInArrow(_verify, "key binary, links bigint, least binary"),
         "links",
@@ -373,7 +412,7 @@ def classes(docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
     named = named.withColumn("root", F.coalesce("root", "key"))
     firsts = named.groupBy("root").agg(F.min("of").alias("first"))
     told = staged(
-        named.join(firsts, "root").select("key", "first", (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")), "classes"
+        named.join(firsts, "root").select("key", "of", "first", (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")), "classes"
     )
     dropped(reps)
     dropped(verified)

@@ -340,12 +340,15 @@ def near_group(seed, base, n, edits, start):
     return out
 
 
-@pytest.mark.parametrize("chunk", [512, 7])
+@pytest.mark.parametrize("chunk", [2048, 7])
 def test_jaccard_join_equals_brute_force(spark, chunk):
     rows = near_group(1, prose(1, 120), 60, 5, 0) + near_group(2, prose(2, 60), 20, 2, 100) + [(200 + i, prose(50 + i, 80)) for i in range(20)]
     rows += [(300, "a b c"), (301, "A, b. C"), (302, None), (303, ""), (304, "..."), (305, "a b c d e"), (None, "a b c d e"), (None, "z y x"), (0, rows[0][1]), (0, rows[0][1]), (306, prose(9, 20_000)), (307, prose(9, 20_000) + " end")]
     random.Random(4).shuffle(rows)
     got = jaccard_join.join(docs_of(spark, rows).withColumn("KEY", F.lit("k")), chunk)
+    if chunk == 7:  # and groups of verification of a few sets each
+        small = jaccard_join.classes(docs_of(spark, rows), chunk, 8_000).select("n_links", "first.doc_id").where("doc_id IS NOT NULL")
+        assert sorted(map(str, small.collect())) == sorted(map(str, jaccard_join.classes(docs_of(spark, rows)).select("n_links", "first.doc_id").where("doc_id IS NOT NULL").collect()))
     assert sorted(map(str, ((r.doc_id, r.class_id, r.n_links) for r in got.collect()))) == sorted(map(str, brute_links(rows)))
 
 
