@@ -14,14 +14,14 @@ no shuffle, and what a worker holds is the vocabulary, those tables and one slic
 of texts.
 
 Defined results: a null or empty text has no ids and decodes to no bytes. Texts
-are whole; no special tokens; repeated rows are all encoded. Rank files must
+are whole; no special tokens; repeated rows are all encoded; an empty table
+gives an empty result. Rank files must
 hold all 256 single bytes. ``decode`` gives null for null ids.
 """
 
 from __future__ import annotations
 
 from array import array
-from functools import cache
 from heapq import heappop, heappush
 
 import numpy as np
@@ -29,7 +29,7 @@ import pyarrow as pa
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame
 
-from brindle.llm.common import appended, shaped
+from brindle.llm.common import appended, held, shaped
 from brindle.llm.pretokens import Splitter, read_ranks
 
 #: Bytes of a generation of kept pre-tokens, what an entry takes beside its own length, and characters of the longest kept.
@@ -151,10 +151,9 @@ class Codec:
         return b"".join(map(self.pieces.__getitem__, ids))
 
 
-@cache
 def codec(path: str, pattern: str) -> Codec:
     """One codec per worker: it holds the vocabulary and the tables of kept pre-tokens."""
-    return Codec(read_ranks(path), pattern)
+    return held(("bpe", path, pattern), lambda: Codec(read_ranks(path), pattern))
 
 
 def encode(docs: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
@@ -164,7 +163,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text") -> Data
         c = codec(path, pattern)
         return [_lists([c.encode_packed(t) for t in column.to_pylist()], c.packed)]
 
-    return appended(shaped(docs, [text], ["ids"]), {"ids": "array<int>"}, batch, text)
+    return appended(shaped(docs, [text], ["ids"]), {"ids": "array<int>"}, batch, text, holds=True)
 
 
 def decode(docs: DataFrame, path: str, pattern: str, ids: str = "ids") -> DataFrame:
@@ -174,7 +173,7 @@ def decode(docs: DataFrame, path: str, pattern: str, ids: str = "ids") -> DataFr
         c = codec(path, pattern)
         return [[None if x is None else c.decode(x) for x in column.to_pylist()]]
 
-    return appended(shaped(docs, [ids], ["decoded"]), {"decoded": "binary"}, batch, ids)
+    return appended(shaped(docs, [ids], ["decoded"]), {"decoded": "binary"}, batch, ids, holds=True)
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
@@ -185,7 +184,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str, text: str = "text") ->
         ids = [c.encode_packed(t) for t in column.to_pylist()]
         return [_lists(ids, c.packed), [c.decode(np.frombuffer(x, c.packed).tolist()) for x in ids]]
 
-    return appended(shaped(docs, [text], ["ids", "decoded"]), {"ids": "array<int>", "decoded": "binary"}, batch, text)
+    return appended(shaped(docs, [text], ["ids", "decoded"]), {"ids": "array<int>", "decoded": "binary"}, batch, text, holds=True)
 
 
 def _lists(ids: list[bytes], packed: np.dtype) -> pa.Array:

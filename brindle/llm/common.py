@@ -11,10 +11,13 @@ Shapes that hold for every operator of this subpackage:
 from __future__ import annotations
 
 import atexit
+import contextlib
+import gc
+import re
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pyarrow as pa
 import pyspark.sql.functions as F
@@ -77,20 +80,35 @@ def in_small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_BYTES))
 
 
+_local: list[str] = []
+_staged: dict[str, SparkSession] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all machines share, from ``spark.checkpoint.dir``; a temporary one if that is unset."""
+    """The folder all machines share, from ``spark.checkpoint.dir``.
+
+    Where that is unset, a temporary folder of this machine serves a local
+    master; with any other master it is an error.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="brindle-")
-        atexit.register(shutil.rmtree, base, ignore_errors=True)
-        spark.conf.set("spark.checkpoint.dir", base)
-    return base.rstrip("/")
+    if base:
+        return base.rstrip("/")
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all machines share: staged tables go there")
+    if not _local:
+        _local.append(tempfile.mkdtemp(prefix="brindle-"))
+        atexit.register(shutil.rmtree, _local[0], ignore_errors=True)
+    return _local[0]
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: lineage ends in files that outlive executors."""
+    """Write ``df`` to the shared folder and read it back: lineage ends in files that outlive executors.
+
+    The table lasts until ``dropped``, ``clear_staged`` or the end of this process.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    _staged[path] = spark
     df.write.parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
     back._staged_at = path
@@ -99,17 +117,52 @@ def staged(df: DataFrame, label: str) -> DataFrame:
 
 def dropped(df: DataFrame) -> None:
     """Delete a staged table that no later result is derived from."""
-    spark = df.sparkSession
-    at = spark._jvm.org.apache.hadoop.fs.Path(df._staged_at)
+    _delete(df._staged_at, df.sparkSession)
+
+
+def clear_staged() -> None:
+    """Delete every staged table of this process; results that are derived from them can't be read any more."""
+    for path, spark in list(_staged.items()):
+        _delete(path, spark)
+
+
+def _delete(path: str, spark: SparkSession) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    _staged.pop(path, None)
+
+
+@atexit.register
+def _at_end() -> None:
+    with contextlib.suppress(Exception):  # the JVM may have ended before
+        clear_staged()
 
 
-def appended(df: DataFrame, columns: dict[str, str], batch_fn, source: str) -> DataFrame:
+_held: dict = {}
+
+
+def held(key: tuple, make: Callable[[], object]) -> object:
+    """What ``make`` gives, kept in this worker under ``key`` until another key or ``let_go`` takes its place."""
+    if key not in _held:
+        let_go()
+        _held[key] = make()
+    return _held[key]
+
+
+def let_go() -> None:
+    """Give up the tables that an earlier stage left in this worker, which Spark uses again."""
+    if _held:
+        _held.clear()
+        gc.collect()
+    pa.default_memory_pool().release_unused()
+
+
+def appended(df: DataFrame, columns: dict[str, str], batch_fn, source: str, holds: bool = False) -> DataFrame:
     """``df`` plus ``columns`` (name to DDL type), computed from the column ``source``.
 
     ``batch_fn`` gets an Arrow array of the source column and returns one list
     or Arrow array per new column.  The other columns pass through untouched,
-    and rows neither move nor change in number.
+    and rows neither move nor change in number. ``holds``: it uses ``held``.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType, _parse_datatype_string
@@ -122,6 +175,8 @@ def appended(df: DataFrame, columns: dict[str, str], batch_fn, source: str) -> D
     names = [*df.columns, *columns]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not holds:
+            let_go()
         for batch in batches:
             for part in pieces(batch, at):
                 got = batch_fn(part.column(at))
@@ -154,5 +209,21 @@ def runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tuple,
         yield key, rows
 
 
+def let(name: str, value: str, body: str) -> str:
+    """SQL for ``body`` with ``name`` bound to ``value``, which is then evaluated once wherever the optimizer puts it."""
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
+def running(values: str, step: str) -> str:
+    """SQL for the running results of ``step`` (over ``a`` and ``x``, 0 at first) on an array of ints.
+
+    In blocks of about the root of its length, as a growing array is copied at every step.
+    """
+    within = f"aggregate({{}}, cast(array() as array<int>), (s, x) -> concat(s, array({let('a', 'if(size(s) = 0, 0, s[size(s) - 1])', step)})))"
+    blocks = f"transform(sequence(0, (size(v) - 1) div w), k -> {within.format('slice(v, int(k) * w + 1, w)')})"
+    before = let("t", within.format("transform(r, y -> y[size(y) - 1])"), f"flatten(transform(r, (y, k) -> {let('a', 'if(k = 0, 0, t[k - 1])', f'transform(y, x -> {step})')}))")
+    return let("v", values, f"if(size(v) = 0, v, {let('w', 'int(ceil(sqrt(size(v))))', let('r', blocks, before))})")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

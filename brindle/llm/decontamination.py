@@ -8,12 +8,13 @@ word. Documents are scanned where they lie: no shuffle.
 
 The broadcast index is built only after the benchmark's words have been counted
 and stay within ``MAX_INDEX_WORDS``. Beyond it windows and documents meet by a
-shuffle on the window's digest instead (``scan_by_join``), with equal results.
+shuffle on the window's hash instead (``scan_by_join``), with equal results.
 
 Defined results: null and empty texts have no words and are clean; items without
 words give no window; an item whose id is null makes hits but is not listed; an
-empty benchmark leaves every document clean; documents without doc_id and
-repeated rows are all judged.
+empty benchmark leaves every document clean and an empty table gives an empty
+result; very long texts are scanned whole; documents without doc_id and repeated
+rows are all judged; input columns named like a result are replaced.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ import pyarrow as pa
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame
 
-from brindle.llm.common import NON_WORD, appended, lower_ascii, shaped, words_of
+from brindle.llm.common import NON_WORD, appended, let, lower_ascii, running, shaped, words_of
 
 WINDOW = 10
 #: Words of all benchmark items together up to which the index is broadcast (some 250 bytes each in a worker).
@@ -128,46 +129,41 @@ def _words(text: str) -> F.Column:
 
 
 def scan_by_join(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) -> DataFrame:
-    """As ``scan``, for a benchmark too large to broadcast: windows meet by their digest.
+    """As ``scan``, for a benchmark too large to broadcast: windows meet by their hash.
 
-    Only the digest, the document's own digest and a word number are shuffled.
-    Digests are of 128 bits, so equal digests stand for equal windows.
+    Distinct texts move once by a digest, to fold copies, and once more with their
+    rows at the end; in between a window is a hash, that digest and a word number.
+    Where hashes meet, the test's words are compared with the document's.
     """
 
     def windows(words: str, k: F.Column) -> F.Column:
-        return F.transform(F.sequence(F.lit(0), F.size(words) - k), lambda i: F.struct(F.md5(F.concat_ws(" ", F.slice(words, i + 1, k))).alias("digest"), i.alias("start")))
+        return F.transform(F.sequence(F.lit(0), F.size(words) - k), lambda i: F.struct(F.xxhash64(F.concat_ws(" ", F.slice(words, i + 1, k))).alias("hash"), i.alias("start")))
 
     items = shaped(benchmark, ["item_id", "text"]).select(F.col("item_id").cast("string").alias("item"), _words("text").alias("w")).where(F.size("w") > 0)
     items = items.withColumn("k", F.least(F.lit(width), F.size("w")))
-    tests = items.select("item", "k", F.explode(windows("w", F.col("k"))).alias("x")).select("item", "k", "x.digest").distinct()
-    lengths = [r["k"] for r in tests.select("k").distinct().collect()]
+    tests = items.select("item", "k", "w", F.explode(windows("w", F.col("k"))).alias("x")).select("item", "k", "x.hash", F.slice("w", F.col("x.start") + 1, F.col("k")).alias("words")).distinct()
+    lengths = [r["k"] for r in tests.select("k").distinct().collect()]  # at most ``width``
     keyed = docs.withColumn("_doc", F.md5(F.coalesce("text", F.lit(""))))
     told = keyed.select("_doc", "text").dropDuplicates(["_doc"]).select("_doc", _words("text").alias("w"))
-    parts = [
-        told.where(F.size("w") >= k).select("_doc", F.lit(k).alias("k"), F.explode(windows("w", F.lit(k))).alias("x")).select("_doc", "k", "x.digest", "x.start")
-        for k in lengths
-    ]
-    counts = told.select("_doc", F.size("w").cast("bigint").alias("n_words"))
-    if parts:
-        every = parts[0]
-        for p in parts[1:]:
-            every = every.union(p)
-        met = every.join(tests, ["k", "digest"])
-        spans = F.aggregate(
-            F.array_sort(F.collect_set(F.struct(F.col("start").cast("bigint").alias("start"), (F.col("start") + F.col("k")).cast("bigint").alias("end")))),
-            F.expr("cast(array() as array<struct<start:bigint,end:bigint>>)"),
-            lambda out, x: F.when((F.size(out) > 0) & (F.element_at(out, -1)["end"] >= x["start"]), F.concat(F.slice(out, 1, F.size(out) - 1), F.array(F.struct(F.element_at(out, -1)["start"].alias("start"), F.greatest(F.element_at(out, -1)["end"], x["end"]).alias("end"))))).otherwise(F.concat(out, F.array(x))),
-        )
-        hits = met.groupBy("_doc").agg(F.array_sort(F.collect_set("item")).alias("items"), spans.alias("hits"))
-        counts = counts.join(hits, "_doc", "left")
-    else:
-        counts = counts.withColumns({"items": F.expr("cast(null as array<string>)"), "hits": F.expr("cast(null as array<struct<start:bigint,end:bigint>>)")})
-    done = counts.select(
-        "_doc", "n_words",
-        F.coalesce(F.aggregate("hits", F.lit(0).cast("bigint"), lambda s, x: s + x["end"] - x["start"]), F.lit(0).cast("bigint")).alias("n_hit"),
-        F.coalesce("items", F.expr("cast(array() as array<string>)")).alias("items"),
-        F.coalesce("hits", F.expr("cast(array() as array<struct<start:bigint,end:bigint>>)")).alias("hits"),
+    every = docs.sparkSession.createDataFrame([], "_doc string, k int, hash bigint, start int")
+    for k in lengths:
+        every = every.union(told.where(F.size("w") >= k).select("_doc", F.lit(k).alias("k"), F.explode(windows("w", F.lit(k))).alias("x")).select("_doc", "k", "x.hash", "x.start"))
+    met = every.join(tests, ["k", "hash"]).groupBy("_doc").agg(F.collect_set(F.struct("start", "k", "item", "words")).alias("met"))
+    sure = "array_sort(filter(met, x -> slice(w, x.start + 1, x.k) = x.words))"
+    # spans begin where a window starts beyond all earlier ends, and end at the greatest end before the next begins
+    spans = let(
+        "g", running("transform(s, x -> x.start + x.k)", "greatest(a, x)"),
+        let("b", "filter(sequence(0, size(s) - 1), i -> i = 0 or s[i].start > g[i - 1])",
+            "transform(b, (i, n) -> named_struct('start', bigint(s[i].start), 'end', bigint(g[if(n + 1 < size(b), b[n + 1], size(s)) - 1])))"),
     )
+    kind = "array<struct<start:bigint,end:bigint>>"
+    hits = let("s", f"if(met is null, cast(array() as array<struct<start:int,k:int,item:string,words:array<string>>>), {sure})", f"if(size(s) = 0, cast(array() as {kind}), {spans})")
+    names = "array_sort(array_distinct(filter(transform(filter(met, x -> slice(w, x.start + 1, x.k) = x.words), x -> x.item), n -> n is not null)))"
+    done = told.join(met, "_doc", "left").select(
+        "_doc", F.size("w").cast("bigint").alias("n_words"), F.expr(f"coalesce({names}, cast(array() as array<string>))").alias("items"), F.expr(hits).alias("hits")
+    )
+    n_hit = F.aggregate("hits", F.lit(0).cast("bigint"), lambda s, x: s + x["end"] - x["start"])
+    done = done.select("_doc", "n_words", n_hit.alias("n_hit"), "items", "hits")
     return keyed.join(done, "_doc").drop("_doc")
 
 

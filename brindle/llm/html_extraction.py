@@ -1,59 +1,60 @@
 """Main text of web pages by wrapper induction.
 
-Pages become trees of block elements. The trees of one host are aligned by
-simple tree matching, sibling by sibling, and merged into a template: a node
-whose text is the same on every page that has it is constant, any other is a
-slot. Text that equals a constant of ``MIN_PAGES`` pages or more is boilerplate;
-slots are content. A constant among several siblings of its label (tag and class
-names) must also be on ``MIN_SHARE`` of the pages that have its parent, as the
-last places of long sequences are filled by few pages.
+Pages become trees of block elements. One page of each host, of the least hash,
+is its reference. Every page is aligned with it by simple tree matching where the
+page lies: the order-preserving alignment of siblings of equal labels (tag and
+class names) with the most matched nodes, an equal text counting as one more. What
+the pages of a host have at a node of the reference is then added up: pages, and
+the least and greatest hash of the node's own text. A node is constant, so part
+of the template, if these are equal, on ``MIN_PAGES`` pages or more and, where it
+is one of several siblings of its label, on ``MIN_SHARE`` of the pages that have
+its parent (the last places of long sequences are filled by few pages). All other
+nodes, and those that the reference lacks, are slots: content.
+
+Sums, minima and maxima combine on the map side and in any order, so a host with
+a third of all pages costs a row per node and batch, and results do not depend on
+how pages are dealt. References, and templates, are broadcast only after their
+total size has been found to be within ``MAX_BROADCAST``; beyond it they are joined
+by host. Alignment works on classes of equal subtrees; two sequences of siblings
+are aligned row by row, beyond ``CELLS`` pairs by halves, with equal scores, so
+memory is bounded and nothing is cut off, at any depth.
 
 What the page itself declares is told apart first: elements and class names of
 menus, headers, footers, sidebars, notices, adverts, forms and comments are left
-out, and where an ``article`` or ``main`` exists, only these count. If constants
-are all that is left, they stay: a host may show one article only.
-
-Partial templates are made where pages lie, merged by (host, salt) and then by
-host, one at a time. A host with a third of all pages adds one partial per task.
-The texts of a node form a semilattice ("same text" or "varies", pages added);
-where siblings of one label tie, the alignment can depend on how pages are dealt.
-Sequences of over ``MAX_CELLS`` node pairs are aligned from both ends by label.
-The number of nodes is bounded by ``MAX_NODES``, beyond which class names are
-left out of labels and siblings of one label fold into one, and by ``MAX_DEPTH``,
-below which all text is content.
-Templates are broadcast only after their total size has been found to be within
-``MAX_BROADCAST``; beyond it they are joined by host.
+out, also where their text varies from page to page, and where an ``article`` or
+``main`` exists, only these count. If constants are all that is left, they stay: a
+host may show one article only.
 
 Defined results: null or empty html gives an empty text; pages without a host
 have no template; white space inside a block becomes one space, ``br`` counts as
 white space, blocks are joined by one line feed; text outside any element is a
-block; unclosed and misnested tags are closed as browsers do; repeated rows are
-all extracted.
+block; unclosed and misnested tags are closed as browsers do; very long and deep
+pages are taken whole; ties of alignment go to the later siblings; repeated rows
+are all extracted; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import html as entities
-import json
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyspark.sql.functions as F
 import xxhash
 from pyspark.sql import Column, DataFrame
 
-from brindle.llm.common import appended, pieces, shaped, staged
+from brindle.llm.common import appended, dropped, in_small_batches, let_go, pieces, shaped, staged
 
-MIN_PAGES, MAX_NODES, MAX_DEPTH = 5, 4_000, 48
+MIN_PAGES = 5
 #: Share of the pages that must hold a constant which is one of several siblings of its label.
 MIN_SHARE = 0.8
-#: Node pairs up to which two sequences of siblings are aligned by dynamic programming; nodes of templates held at once.
-MAX_CELLS, MAX_HELD = 40_000, 200_000
-FOLDED = "folded"
-MAX_BROADCAST = 64 << 20
-SALTS = 16
+#: Pairs of siblings that one alignment keeps scores of.
+CELLS = 1 << 22
+#: Bytes of references or templates that are broadcast, and of those that a worker keeps parsed.
+MAX_BROADCAST, MAX_KEPT = 16 << 20, 16 << 20
 
 #: Element and class names that decide what a part of a page is. Fixed values.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -66,7 +67,9 @@ BOILERPLATE = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disclaimer disqus footer gdpr login masthead menu menus modal nav navbar navigation newsletter notice notices pager pagination popup promo promotion promotions related replies reply respond search share sharing sidebar sidebars signup skip social sponsor sponsored subscribe subscription toolbar topbar widget widgets".split()
 )
 HEADERS = frozenset("header page-header site-header siteheader".split())
-QUALIFIED = frozenset("has no not with without open closed".split())
+NEUTRAL = frozenset(
+    "area article articles author bar block body bottom box button buttons column container content fixed form group header holder icons inner item items left link links list main media mobile module outer overlay page panel post posts primary reader right row secondary section site slot stories text this title top unit user wrap wrapper".split()
+)
 KEEP_WHOLE = frozenset("html body main".split())
 SAME = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("table",), "th": ("table",), "thead": ("table",), "tbody": ("table",), "tfoot": ("table",)}
 ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "thead": ("tr", "td", "th", "tbody"), "tbody": ("tr", "td", "th", "thead", "tbody"), "tfoot": ("tr", "td", "th", "thead", "tbody")}
@@ -82,11 +85,22 @@ _PART = re.compile(r"[-_]+")
 class Node:
     """A block element: its label, whether the page declares it boilerplate, and strings and nodes in order."""
 
-    __slots__ = ("tag", "label", "out", "kids", "inline")
+    __slots__ = ("tag", "label", "out", "kids", "inline", "number")
 
     def __init__(self, tag: str, label: str, out: bool, inline: bool = False):
         self.tag, self.label, self.out, self.inline = tag, label, out, inline
         self.kids: list = []
+        self.number = -1
+
+
+def _boilerplate(tag: str, name: str, inside: bool) -> bool:
+    """Whether a class or id says so: all its parts do, or are neutral beside one that does."""
+    if name in HEADERS:
+        return not inside
+    if tag == "article":
+        return name in BOILERPLATE
+    parts = [p for p in _PART.split(name) if p and not p.isdigit()]
+    return any(p in BOILERPLATE for p in parts) and all(p in BOILERPLATE or p in NEUTRAL for p in parts)
 
 
 def _declared(tag: str, attributes: str, inside: bool) -> tuple[str, bool]:
@@ -103,10 +117,7 @@ def _declared(tag: str, attributes: str, inside: bool) -> tuple[str, bool]:
             if name == "class":
                 classes = ".".join(sorted(set(names)))
             if tag not in KEEP_WHOLE:
-                for n in names:
-                    parts = set(_PART.split(n))
-                    if parts & BOILERPLATE and not parts & QUALIFIED or (n in HEADERS and not inside):
-                        out = True
+                out = out or any(_boilerplate(tag, n, inside) for n in names)
         elif name == "role":
             out = out or value.lower() in ROLES
         elif name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
@@ -179,9 +190,6 @@ def parse(html: str) -> Node:
         if tag in INLINE and not out:
             stack.append((tag, above))
             continue
-        if len(stack) > MAX_DEPTH * 4 and not out:
-            stack.append((tag, above))
-            continue
         node = Node(tag, label, out, tag in INLINE)
         above.kids.append(node)
         stack.append((tag, node))
@@ -204,320 +212,339 @@ def regions(root: Node) -> list[Node]:
     return found or [root]
 
 
-# A template node is [label, pages, text, children]: text is None (has none), 0 (varies) or the hash of a constant.
-
-
-def tree(node: Node, depth: int = 0) -> list:
-    """The template of one page: every element that is not left out, in order."""
-    own = _squeezed("".join(k for k in node.kids if isinstance(k, str)))
-    kids = [tree(k, depth + 1) for k in node.kids if isinstance(k, Node) and not k.out] if depth < MAX_DEPTH else []
-    return [node.label, 1, xxhash.xxh64_intdigest(own) or 1 if own else None, kids]
-
-
-def matching(a: list, b: list) -> tuple[int, list[tuple[int, int]]]:
-    """Simple tree matching of two nodes: the score, and the aligned pairs of their children.
-
-    Nodes of one label score 1, and 1 more for the same constant text.
-    """
-    if a[0] != b[0]:
-        return 0, []
-    pairs = _pairs(a[3], b[3])
-    return 1 + (bool(a[2]) and a[2] == b[2]) + sum(_score(a[3][i], b[3][j]) for i, j in pairs), pairs
-
-
-def _score(a: list, b: list) -> int:
-    """The simple tree matching score alone."""
-    return matching(a, b)[0]
-
-
-def _pairs(x: list[list], y: list[list]) -> list[tuple[int, int]]:
-    """The alignment of two sequences of siblings; equal subtrees at both ends are aligned first."""
-    n, lo, hi = min(len(x), len(y)), 0, 0
-    while lo < n and _equal(x[lo], y[lo]):
-        lo += 1
-    while hi < n - lo and _equal(x[-1 - hi], y[-1 - hi]):
-        hi += 1
-    middle = _aligned(x[lo : len(x) - hi], y[lo : len(y) - hi])
-    return [(i, i) for i in range(lo)] + [(lo + i, lo + j) for i, j in middle] + [(len(x) - k, len(y) - k) for k in range(hi, 0, -1)]
-
-
-def _equal(a: list, b: list) -> bool:
-    """Whether two subtrees have the same labels and constant texts."""
-    return a[0] == b[0] and a[2] == b[2] != 0 and len(a[3]) == len(b[3]) and all(map(_equal, a[3], b[3]))
-
-
-def _texts(nodes: list[list], found: set[int]) -> set[int]:
-    """The constants of subtrees."""
-    for n in nodes:
-        if n[2]:
-            found.add(n[2])
-        if n[3]:
-            _texts(n[3], found)
-    return found
-
-
-def _aligned(x: list[list], y: list[list]) -> list[tuple[int, int]]:
-    n = min(len(x), len(y))
-    if not n:
-        return []
-    if all(p[0] == q[0] for p, q in zip(x, y)) and (n == 1 == len(x) == len(y) or _texts(x, set()).isdisjoint(_texts(y, set()))):  # noqa: B905
-        return [(i, i) for i in range(n)]
-    if sum(map(_count, x)) * sum(map(_count, y)) > MAX_CELLS:
-        lo = hi = 0
-        while lo < (n + 1) // 2 and x[lo][0] == y[lo][0]:
+class Tree:
+    """The nodes of a page's regions in page order, under one root: labels, hashes of own texts (0: none) and children."""
+
+    def __init__(self, found: list[Node]):
+        self.labels, self.texts, self.kids, self.parents = ["pages"], [0], [[]], [0]
+        todo = [(0, r) for r in reversed(found)]
+        while todo:
+            above, node = todo.pop()
+            node.number = len(self.labels)
+            self.kids[above].append(node.number)
+            self.parents.append(above)
+            self.labels.append(node.label)
+            own = _squeezed("".join(k for k in node.kids if isinstance(k, str)))
+            self.texts.append(xxhash.xxh64_intdigest(own) >> 1 or 1 if own else 0)
+            self.kids.append([])
+            todo += [(node.number, k) for k in reversed(node.kids) if isinstance(k, Node) and not k.out]
+
+
+def page_tree(html: str) -> Tree:
+    return Tree(regions(parse(html)))
+
+
+class _Classes:
+    """Classes of equal subtrees of two trees: label, children's classes, and the text where both trees have it."""
+
+    def __init__(self, a: Tree, b: Tree):
+        shared = set(a.texts) & set(b.texts) - {0}
+        self.known: dict[tuple, int] = {}
+        self.label: list[str] = []
+        self.text: list[int] = []
+        self.kids: list[tuple[int, ...]] = []
+        self.full: list[int] = []  # the score of a class with itself
+        self.height: list[int] = []
+        self.of = [self._named(t, shared) for t in (a, b)]
+
+    def _named(self, t: Tree, shared: set[int]) -> list[int]:
+        out = [0] * len(t.labels)
+        for k in range(len(out) - 1, -1, -1):  # children come after their parents
+            key = (t.labels[k], t.texts[k] if t.texts[k] in shared else 0, tuple([out[i] for i in t.kids[k]]))
+            c = self.known.get(key)
+            if c is None:
+                c = self.known[key] = len(self.label)
+                self.label.append(key[0])
+                self.text.append(key[1])
+                self.kids.append(key[2])
+                self.full.append(1 + (key[1] > 0) + sum([self.full[i] for i in key[2]]))
+                self.height.append(1 + max([self.height[i] for i in key[2]], default=0))
+            out[k] = c
+        return out
+
+    def middle(self, a: int, b: int) -> tuple[int, int]:
+        """How many children at the start and at the end have equal classes; these align first."""
+        x, y = self.kids[a], self.kids[b]
+        n, lo, hi = min(len(x), len(y)), 0, 0
+        while lo < n and x[lo] == y[lo]:
             lo += 1
-        while hi < n - lo and x[-1 - hi][0] == y[-1 - hi][0]:
+        while hi < n - lo and x[-1 - hi] == y[-1 - hi]:
             hi += 1
-        return [(i, i) for i in range(lo)] + [(len(x) - k, len(y) - k) for k in range(hi, 0, -1)]
-    m = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
-    w = [[_score(p, q) if p[0] == q[0] else 0 for q in y] for p in x]
-    for i in range(1, len(x) + 1):
-        for j in range(1, len(y) + 1):
-            m[i][j] = max(m[i - 1][j], m[i][j - 1], m[i - 1][j - 1] + w[i - 1][j - 1])
-    pairs, i, j = [], len(x), len(y)
-    while i and j:
-        if w[i - 1][j - 1] and m[i][j] == m[i - 1][j - 1] + w[i - 1][j - 1]:
-            i, j = i - 1, j - 1
-            pairs.append((i, j))
-        elif m[i][j] == m[i - 1][j]:
-            i -= 1
-        else:
-            j -= 1
-    return pairs[::-1]
-
-
-def _either(a: int | None, b: int | None) -> int | None:
-    """The text of two aligned nodes."""
-    return a if b is None or a == b else b if a is None else 0
-
-
-def merged(a: list, b: list) -> list:
-    """Two templates of one label as one; children that do not align keep their place."""
-    kids: list[list] = []
-    if a[3] and b[3]:
-        i = j = 0
-        for p, q in _pairs(a[3], b[3]):
-            kids += a[3][i:p]
-            kids += b[3][j:q]
-            kids.append(merged(a[3][p], b[3][q]))
-            i, j = p + 1, q + 1
-        kids += a[3][i:]
-        kids += b[3][j:]
-    else:
-        kids = a[3] or b[3]
-    return [a[0], a[1] + b[1], _either(a[2], b[2]), kids]
+        return lo, hi
 
 
-def bounded(t: list) -> list:
-    """The template, folded if it has over MAX_NODES nodes."""
-    return t if t[0] == FOLDED or _count(t) <= MAX_NODES else _folded(t)
-
-
-def joined(a: list, b: list) -> list:
-    """Two hosts' or pages' templates as one, within bounds."""
-    if a[0] == b[0] != FOLDED:
-        return bounded(merged(a, b))
-    a, b = _folded(a), _folded(b)
-    return _folded(merged(a, b))
-
-
-def _count(t: list) -> int:
-    return 1 + sum(map(_count, t[3])) if t[3] else 1
-
+def matching(a: Tree, b: Tree) -> tuple[int, list[tuple[int, int]]]:
+    """Simple tree matching of two trees: the score, and the aligned pairs of their nodes."""
+    c = _Classes(a, b)
+    score: dict[tuple[int, int], int] = {}
+    pairs: dict[tuple[int, int], list[tuple[int, int]]] = {}
+    top = (c.of[0][0], c.of[1][0])
+    needed, todo = {top}, [top]
+    while todo:
+        p, q = todo.pop()
+        if p == q:
+            continue
+        lo, hi = c.middle(p, q)
+        x, y = set(c.kids[p][lo : len(c.kids[p]) - hi]), set(c.kids[q][lo : len(c.kids[q]) - hi])
+        for i in x:
+            for j in y:
+                if i != j and c.label[i] == c.label[j] and (i, j) not in needed:
+                    needed.add((i, j))
+                    todo.append((i, j))
+    worth = lambda i, j: c.full[i] if i == j else score.get((i, j), 0)
+    for p, q in sorted(needed, key=lambda pq: min(c.height[pq[0]], c.height[pq[1]])):
+        if p == q:
+            score[p, q] = c.full[p]
+            continue
+        lo, hi = c.middle(p, q)
+        x, y = c.kids[p], c.kids[q]
+        middle = aligned(x[lo : len(x) - hi], y[lo : len(y) - hi], worth)
+        met = [(i, i) for i in range(lo)] + [(lo + i, lo + j) for i, j in middle] + [(len(x) - k, len(y) - k) for k in range(hi, 0, -1)]
+        pairs[p, q] = met
+        score[p, q] = 1 + (c.text[p] > 0 and c.text[p] == c.text[q]) + sum([worth(x[i], y[j]) for i, j in met])
+    out, todo = [], [(0, 0)]
+    while todo:
+        i, j = todo.pop()
+        out.append((i, j))
+        p, q = c.of[0][i], c.of[1][j]
+        if p == q:
+            todo += zip(a.kids[i], b.kids[j], strict=True)
+        else:
+            todo += [(a.kids[i][k], b.kids[j][m]) for k, m in pairs[p, q]]
+    return score[top], out
 
-def _folded(t: list) -> list:
-    """The template with class names left out of labels and siblings of one label as one; its root says so."""
 
-    def fold(node: list) -> list:
-        return [node[0].partition(".")[0], node[1], node[2], together(map(fold, node[3]))]
+def aligned(x: tuple[int, ...], y: tuple[int, ...], worth: Callable[[int, int], int]) -> list[tuple[int, int]]:
+    """The order-preserving pairs of two sequences of classes that are worth most together."""
+    if not x or not y:
+        return []
+    rows = {p: np.array([worth(p, q) for q in y], np.int64) for p in set(x)}
+    out: list[tuple[int, int]] = []
+    todo = [(0, len(x), 0, len(y))]
+    while todo:
+        a, b, c, d = todo.pop()
+        if a == b or c == d:
+            continue
+        if (b - a) * (d - c) > CELLS and b - a > 1:
+            mid = (a + b) // 2
+            fore, back = np.zeros(d - c + 1, np.int64), np.zeros(d - c + 1, np.int64)
+            for i in range(a, mid):
+                fore = _next(fore, rows[x[i]][c:d])
+            for i in range(b - 1, mid - 1, -1):
+                back = _next(back, rows[x[i]][c:d][::-1])
+            k = c + int((fore + back[::-1]).argmax())
+            todo += [(a, mid, c, k), (mid, b, k, d)]
+            continue
+        m = np.zeros((b - a + 1, d - c + 1), np.int64)
+        for i in range(b - a):
+            m[i + 1] = _next(m[i], rows[x[a + i]][c:d])
+        i, j = b - a, d - c
+        while i and j:
+            w = rows[x[a + i - 1]][c + j - 1]
+            if w and m[i, j] == m[i - 1, j - 1] + w:
+                i, j = i - 1, j - 1
+                out.append((a + i, c + j))
+            elif m[i, j] == m[i - 1, j]:
+                i -= 1
+            else:
+                j -= 1
+    return sorted(out)
 
-    def together(nodes) -> list:
-        kids: dict[str, list] = {}
-        for k in nodes:
-            o = kids.get(k[0])
-            kids[k[0]] = k if o is None else [k[0], max(o[1], k[1]), _either(o[2], k[2]), together([*o[3], *k[3]])]
-        return list(kids.values())
 
-    return [FOLDED, *fold(t)[1:]]
+def _next(before: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """The best scores with one more row, by columns."""
+    out = before.copy()
+    np.maximum(out[1:], before[:-1] + w, out=out[1:])
+    return np.maximum.accumulate(out)
 
 
 def _squeezed(s: str) -> str:
     return " ".join(s.split())
 
 
-def content(region: Node, one: list, template: list | None, needed: float, folded: bool = False) -> tuple[list[str], list[str]]:
-    """Blocks of a region with the tree ``one``: those that no constant of the template equals, and all.
-
-    ``needed`` pages make the region's own text a constant.
-    """
+def content(region: Node, constant: dict[int, int], texts: list[int]) -> tuple[list[str], list[str]]:
+    """Blocks of a region but those of constants (number of a node to its text), and all blocks."""
     slots: list[str] = []
     every: list[str] = []
+    line: list[str] = []
 
-    def walk(node: Node, one: list | None, t: list | None, needed: float) -> None:
-        below = {}
-        if t and one and t[3] and one[3]:
-            below = _below(t, one, folded)
-        constant = t is not None and one is not None and bool(t[2]) and t[2] == one[2] and t[1] >= needed
-        line: list[str] = []
-
-        def flush() -> None:
-            s = _squeezed("".join(line))
-            line.clear()
-            if s:
-                every.append(s)
-                if not constant:
-                    slots.append(s)
-
-        j = 0
-        for k in node.kids:
+    def flush(node: Node) -> None:
+        s = _squeezed("".join(line))
+        line.clear()
+        if s:
+            every.append(s)
+            if constant.get(node.number, 0) != texts[node.number] or not texts[node.number]:
+                slots.append(s)
+
+    stack = [(region, iter(region.kids))]
+    while stack:
+        node, kids = stack[-1]
+        for k in kids:
             if isinstance(k, str):
                 line.append(k)
             elif k.out:
                 if not k.inline:
-                    flush()
+                    flush(node)
             else:
-                flush()
-                known, least = below.get(j, (None, 0))
-                walk(k, one[3][j] if one and one[3] else None, known, least)
-                j += 1
-        flush()
-
-    walk(region, one, template, needed)
+                flush(node)
+                stack.append((k, iter(k.kids)))
+                break
+        else:
+            flush(node)
+            stack.pop()
     return slots, every
 
 
-def _below(t: list, one: list, folded: bool) -> dict[int, tuple[list, float]]:
-    """By the number of a page's child, the template's child aligned with it and the pages that make that a constant."""
-    if folded:
-        by = {k[0]: k for k in t[3]}
-        return {j: (by[tag], MIN_PAGES) for j, k in enumerate(one[3]) if (tag := k[0].partition(".")[0]) in by}
-    times = Counter(k[0] for k in t[3])
-    many = max(MIN_PAGES, MIN_SHARE * t[1])
-    return {j: (t[3][i], many if times[t[3][i][0]] > 1 else MIN_PAGES) for i, j in _pairs(t[3], one[3])}
+class Template:
+    """A host's reference page and the constants among its nodes."""
+
+    def __init__(self, html: str, constants: dict[int, int]):
+        self.tree, self.constants = page_tree(html), constants
 
+    def on(self, page: Tree) -> dict[int, int]:
+        """The page's nodes that align with constants, and their texts."""
+        return {j: self.constants[i] for i, j in matching(self.tree, page)[1] if i in self.constants} if self.constants else {}
 
-def extract(html: str | None, template: list | None = None) -> str:
+
+def extract(html: str | None, template: Template | None = None) -> str:
     """The main text of one page under its host's template."""
     if not html:
         return ""
+    found = regions(parse(html))
+    tree = Tree(found)
+    constant = template.on(tree) if template is not None else {}
     slots: list[str] = []
     every: list[str] = []
-    found = regions(parse(html))
-    one = _rooted(found)
-    folded = bool(template) and template[0] == FOLDED
-    below = _below(template, one, folded) if template else {}
-    for j, region in enumerate(found):
-        t, least = below.get(j, (None, 0))
-        a, b = content(region, one[3][j], t, least, folded)
+    for region in found:
+        a, b = content(region, constant, tree.texts)
         slots += a
         every += b
     return "\n".join(slots or every)
 
 
-def _rooted(found: list[Node]) -> list:
-    return ["pages", 1, None, [tree(r) for r in found]]
-
-
-def page_template(html: str) -> list:
-    """A page's regions under one root; region labels are those of their elements."""
-    return _rooted(regions(parse(html)))
-
+Stats = dict[int, tuple[int, int, int]]
 
-def _partials(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From (host, html), partial templates of the hosts, given out whenever they hold many nodes."""
-    made: dict[str, list] = {}
-    weight = 0
-    for batch in batches:
-        for part in pieces(batch, 1):
-            for host, html in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                one = bounded(page_template(html))
-                before = made.get(host)
-                made[host] = one if before is None else joined(before, one)
-                weight += _count(made[host]) - (0 if before is None else _count(before))
-            if weight > MAX_HELD:
-                yield _named(made)
-                made, weight = {}, 0
-    if made:
-        yield _named(made)
 
+def add_page(stats: Stats, reference: Tree, page: Tree) -> None:
+    """Adds what a page has at the nodes of the reference: pages, least and greatest text."""
+    for i, j in matching(reference, page)[1]:
+        n, lo, hi = stats.get(i, (0, 1 << 63, -1))
+        t = page.texts[j]
+        stats[i] = (n + 1, min(lo, t), max(hi, t))
 
-def _named(made: dict[str, list]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pydict({"host": list(made), "template": [json.dumps(t) for t in made.values()]}, pa.schema([("host", pa.string()), ("template", pa.string())]))
 
+def constants_of(reference: Tree, stats: Stats) -> dict[int, int]:
+    """Nodes of the reference that are constant, and their texts."""
+    out = {}
+    for i, (n, lo, hi) in stats.items():
+        if lo == hi > 0 and n >= MIN_PAGES:
+            above = reference.parents[i]
+            many = Counter(reference.labels[k] for k in reference.kids[above])[reference.labels[i]] > 1
+            if not many or n >= MIN_SHARE * stats[above][0]:
+                out[i] = lo
+    return out
 
-def _merge(keys: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """From (host[, salt], template) sorted by all columns, one template a key."""
-        out: dict[str, list] = {}
-        weight = 0
-        for key, rows in _streamed(batches, keys):
-            t = None
-            for row in rows:
-                one = json.loads(row)
-                t = one if t is None else joined(t, one)
-            out[key[0]] = t
-            weight += _count(t)
-            if len(out) >= 500 or weight > MAX_HELD:
-                yield _named(out)
-                out, weight = {}, 0
-        if out:
-            yield _named(out)
 
-    return run
-
-
-def _streamed(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tuple, Iterator[str]]]:
-    """Keys with their templates, read one at a time: a host's partials are never held together."""
-    from itertools import groupby
-
-    rows = (r for b in batches for r in zip(*[c.to_pylist() for c in b.columns], strict=True))
-    for key, group in groupby(rows, lambda r: r[:keys]):
-        yield key, (r[keys] for r in group)
+def template_of(pages: list[str]) -> Template:
+    """The template of one host's pages."""
+    known = min(pages, key=lambda h: xxhash.xxh64_intdigest(h))
+    reference, stats = page_tree(known), {}
+    for p in pages:
+        add_page(stats, reference, page_tree(p))
+    return Template(known, constants_of(reference, stats))
 
 
 def host(url: str = "url") -> Column:
     return F.lower(F.coalesce(F.regexp_extract(url, r"://([^/?#]*)", 1), F.lit("")))
 
 
-def templates(pages: DataFrame) -> DataFrame:
-    """(host, template) for every host, in two rounds of merging."""
+def references(pages: DataFrame) -> DataFrame:
+    """(host, html): a page of each host that has ``MIN_PAGES`` pages or more."""
     source = shaped(pages, ["url", "html"]).select(host().alias("host"), "html").where("host <> '' AND html <> ''")
-    partial = source.mapInArrow(_partials, "host string, template string").withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
-    salted = partial.select("host", "salt", "template").repartition("host", "salt").sortWithinPartitions("host", "salt", "template").mapInArrow(_merge(2), "host string, template string")
-    return salted.repartition("host").sortWithinPartitions("host", "template").mapInArrow(_merge(1), "host string, template string")
+    least = F.min(F.struct(F.xxhash64("html").alias("rank"), "html")).alias("least")
+    return source.groupBy("host").agg(F.count(F.lit(1)).alias("n"), least).where(F.col("n") >= MIN_PAGES).select("host", F.col("least.html").alias("html"))
+
+
+def _beside(pages: DataFrame, known: DataFrame, columns: list[str], max_bytes: int):
+    """``pages`` plus ``_in`` (host, html, known), and a function from its rows to the parsed ``known`` of their hosts or None.
+
+    ``known``: (host, html, nodes, texts), broadcast if its size is within bounds, else joined.
+    """
+    size = known.agg(F.sum(F.length("html") + F.length("host") + 16 * F.size("nodes"))).first()[0] or 0
+    part = F.struct("html", "nodes", "texts")
+    if size <= max_bytes:
+        sent = pages.sparkSession.sparkContext.broadcast({r["host"]: r[1] for r in known.select("host", part).toLocalIterator()})
+        none = F.lit(None).cast(known.select(part.alias("k")).schema["k"].dataType)
+        out = pages.withColumn("_in", F.struct(host().alias("host"), "html", none.alias("known")))
+        told = lambda r: sent.value.get(r["host"])
+    else:
+        met = pages.withColumn("_host", host()).join(known.select(F.col("host").alias("_host"), part.alias("_known")), "_host", "left")
+        out = met.withColumn("_in", F.struct(F.col("_host").alias("host"), "html", F.col("_known").alias("known")))
+        told = lambda r: r["known"]
+    cache: dict[str, Template | None] = {}
+    kept = [0]
+
+    def template(r: dict) -> Template | None:
+        if r["host"] not in cache:
+            k = told(r)
+            kept[0] += len(k["html"]) if k else 100
+            if kept[0] > MAX_KEPT:
+                cache.clear()
+                kept[0] = len(k["html"]) if k else 100
+            cache[r["host"]] = Template(k["html"], dict(zip(k["nodes"], k["texts"], strict=True))) if k else None
+        return cache[r["host"]]
+
+    return out.select(*columns, "_in"), template
+
+
+def templates(pages: DataFrame, max_broadcast: int = MAX_BROADCAST) -> DataFrame:
+    """(host, html, nodes, texts): the reference and constants of every host that has constants."""
+    in_small_batches(pages.sparkSession)
+    none = [F.expr(f"cast(array() as array<{t}>)").alias(c) for c, t in (("nodes", "int"), ("texts", "bigint"))]
+    known = staged(references(pages).select("host", "html", *none), "references")
+    source = shaped(pages, ["url", "html"]).select("url", "html").where("html <> ''")
+    keyed, template = _beside(source, known, [], max_broadcast)
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
+        for batch in batches:
+            for part in pieces(batch, 0):
+                made: dict[str, Stats] = {}
+                for r in part.column(0).to_pylist():
+                    t = template(r)
+                    if t is not None:
+                        add_page(made.setdefault(r["host"], {}), t.tree, page_tree(r["html"]))
+                rows = [(h, i, *x) for h, stats in made.items() for i, x in stats.items()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [[]] * 5, _COUNTED.types, strict=True)], schema=_COUNTED)
+
+    per_node = keyed.mapInArrow(counted, "host string, node int, n bigint, lo bigint, hi bigint")
+    per_node = per_node.groupBy("host", "node").agg(F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    # one row a host, of no more nodes than its reference has
+    per_host = per_node.groupBy("host").agg(F.collect_list(F.struct("node", "n", "lo", "hi")).alias("stats"))
+
+    def judged(column: pa.Array) -> list[list]:
+        found = [constants_of(page_tree(r["html"]), {x["node"]: (x["n"], x["lo"], x["hi"]) for x in r["stats"]}) for r in column.to_pylist()]
+        return [[sorted(x) for x in found], [[x[i] for i in sorted(x)] for x in found]]
+
+    met = per_host.join(known.select("host", "html"), "host").select("host", F.struct("html", "stats").alias("_in"))
+    out = staged(appended(met, {"nodes": "array<int>", "texts": "array<bigint>"}, judged, "_in").where("size(nodes) > 0").select("host", F.col("_in.html").alias("html"), "nodes", "texts"), "templates")
+    dropped(known)
+    return out
+
+
+_COUNTED = pa.schema([("host", pa.string()), ("node", pa.int32()), ("n", pa.int64()), ("lo", pa.int64()), ("hi", pa.int64())])
 
 
 def extracted(pages: DataFrame, max_broadcast: int = MAX_BROADCAST) -> DataFrame:
     """``pages`` plus ``text`` and ``n_chars``."""
-    found = staged(templates(pages), "templates")
-    size = found.agg(F.sum(F.length("template") + F.length("host"))).first()[0] or 0
-    pages = shaped(pages, ["url", "html"], ["text", "n_chars", "_in", "_host", "_template"])
+    known = templates(pages, max_broadcast)
+    pages = shaped(pages, ["url", "html"], ["text", "n_chars", "_in", "_host", "_known"])
     names = pages.columns
-    if size <= max_broadcast:
-        known = pages.sparkSession.sparkContext.broadcast({r["host"]: r["template"] for r in found.toLocalIterator()})
-        keyed = pages.withColumn("_in", F.struct(host().alias("host"), "html", F.lit(None).cast("string").alias("template")))
-    else:
-        known = None
-        met = pages.withColumn("_host", host()).join(found.select(F.col("host").alias("_host"), F.col("template").alias("_template")), "_host", "left")
-        keyed = met.withColumn("_in", F.struct(F.col("_host").alias("host"), "html", F.col("_template").alias("template")))
-    cache: dict[str, list] = {}
-    held = [0]
+    keep = [n for n in names if n != "html"]
+    keyed, template = _beside(pages, known, keep, max_broadcast)
 
     def batch(column: pa.Array) -> list[list[str]]:
-        out = []
-        for r in column.to_pylist():
-            t = cache.get(r["host"])
-            if t is None:
-                text = known.value.get(r["host"]) if known is not None else r["template"]
-                t = json.loads(text) if text else []
-                held[0] += _count(t) if t else 1
-                if len(cache) > 2_000 or held[0] > MAX_HELD:
-                    cache.clear()
-                    held[0] = _count(t) if t else 1
-                cache[r["host"]] = t
-            out.append(extract(r["html"], t or None))
-        return [out]
+        return [[extract(r["html"], template(r)) if r["html"] else "" for r in column.to_pylist()]]
 
-    keep = [n for n in names if n != "html"]
-    done = appended(keyed.select(*keep, "_in"), {"text": "string"}, batch, "_in")
+    done = appended(keyed, {"text": "string"}, batch, "_in")
     return done.select(*keep, F.col("_in.html").alias("html"), "text", F.length("text").cast("bigint").alias("n_chars")).select(*names, "text", "n_chars")

@@ -51,7 +51,7 @@ import pyspark.sql.functions as F
 import xxhash
 from pyspark.sql import Column, DataFrame
 
-from brindle.llm.common import appended, dropped, in_small_batches, runs, shaped, staged, words_of
+from brindle.llm.common import appended, dropped, in_small_batches, let_go, runs, shaped, staged, words_of
 
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 24, 3
@@ -162,6 +162,7 @@ def alive(band: int, own: bool, sides: list[int], sigs: np.ndarray) -> Iterator[
 
 def _prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From sorted (bucket, c1, c2, band, side, key, sig, cuts), the members that keep a partner, by group of verification."""
+    let_go()
     out: list[tuple] = []
     for (bucket, c1, c2, band), rows in runs(batches, 4):
         if len(rows) < 2:
@@ -232,6 +233,7 @@ def _crossings(sets: list[np.ndarray]) -> np.ndarray:
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From sorted (bucket, c1, c2, band, side, key, sig, weight, set), links and star edges per member."""
+    let_go()
     out: list[tuple] = []
     for (_, c1, c2, band), rows in runs(batches, 4):
         rows = list({r[1]: r for r in rows}.values())
@@ -397,7 +399,8 @@ def classes(docs: DataFrame, chunk: int = CHUNK, group_bytes: int = GROUP_BYTES)
     )
 
     needed = kept.select("key").distinct().join(reps.select("key", "weight", "of"), "key")
-    found = docs.select("row", "bytes").join(needed.select("key", "weight", F.col("of.row").alias("row")), "row")
+    few = needed.select("key", "weight", F.col("of.row").alias("row")).hint("shuffle_hash")  # texts stream past, unsorted
+    found = docs.select("row", "bytes").join(few, "row")
     sets = shingle_sets(found.select("key", "weight", "bytes"))
     verified = staged(
         kept.join(sets, "key").select(*group, "side", "key", "sig", "weight", "set")

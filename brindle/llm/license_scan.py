@@ -2,32 +2,36 @@
 
 A template is a wording of a license (its text, header or a notice), as five-word
 shingles of its lower-cased words; the name up to a ``#`` is the license's. The
-registered query scans for the templates of ``license_bank``. For each template length n (in shingles) a text is cut into
-windows of 2n shingles that overlap by half, so every occurrence of such a
-template lies whole in one window. Windows and templates have ``BANDS`` MinHash
-values, each a band of one row; templates of that length that share a band with
-a window are retrieved, and exact containment of their shingles in the window,
-``CONTAINMENT`` or more, verifies the match.
-
-A window that contains 0.8 of a template has a Jaccard similarity of at least
-0.8 n / 2.2 n = 0.36 with it and misses all 32 bands with a probability of
-0.64^32 = 5e-7; a verbatim occurrence (0.5 or more) with 2e-10.
+registered query scans for the templates of ``license_bank``.
+
+A text's shingles are cut into blocks of ``BLOCK``, and again of ``RATIO`` times
+as many, up to the longest template. The MinHash values of a block are the least
+shingle hash in each of 2 ** ``BITS`` ranges (one permutation, binned); each is a
+band of one row, and those of larger blocks are the least of their parts'. A
+template belongs to the least block size that holds it. A block that shares a
+band with templates of its size retrieves them; exact containment of their
+shingles, ``CONTAINMENT`` or more, in the windows of twice the template's length
+that overlap by half and touch the block verifies the match.
+
+A window with a match has at least 0.8 n of a template's n shingles, each of
+which is its range's least in a block of at most 4 n (of ``BLOCK`` for short ones)
+with a chance of about (1 - exp(-4 n / 128)) 128 / 4 n or more, so all bands miss
+with under 1e-4 for templates of nine shingles and far less for longer ones. For
+templates of ``SHORT`` shingles or fewer every shingle is a band, so none is missed.
 
 A match gives way to a better one in an overlapping window that explains most of
 it: one with more shingles met, or as many of a shorter template. So a text of
 three clauses is not also one of two, and a notice of one version not another's.
 
-Windows without any shingle of a template of their length have similarity 0 and
-cannot share a minimum with one, so only the others get MinHash values; for
-templates of ``LONG`` shingles or more, windows need as many places with such
-shingles as containment does, which loses nothing. Templates are a
-parameter of at most ``MAX_SHINGLES`` shingles; their bands are constants of the
-plan, and rows are judged where they lie, without a shuffle.
+Templates are a parameter: their bands and shingles are constants of the plan, in
+parts of about ``MAX_SHINGLES`` shingles, and rows are judged where they lie,
+without a shuffle. Work grows with the templates only where bands meet.
 
 Defined results: null and empty texts match nothing; a template of fewer than
 five words is refused; several occurrences of a template count once, at the
-first window that has it; repeated rows are all judged; a column named
-``licenses`` is replaced.
+first window that has it; very long texts are scanned whole; repeated rows are
+all judged; an empty table gives an empty result; a column named ``licenses`` is
+replaced.
 """
 
 from __future__ import annotations
@@ -37,14 +41,17 @@ import json
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame
 
-from brindle.llm.common import NON_WORD, shaped
+from brindle.llm.common import NON_WORD, let, shaped
 
-SHINGLE, CONTAINMENT, BANDS = 5, 0.8, 32
-#: Shingles of all templates together that a plan may carry.
+SHINGLE, CONTAINMENT = 5, 0.8
+#: Shingles of the least block, how many blocks make the next larger one, and bits of a hash that tell its range.
+BLOCK, RATIO, BITS = 32, 4, 7
+#: Shingles of a template up to which each is a band.
+SHORT = 8
+#: Shingles of templates that one constant of the plan holds.
 MAX_SHINGLES = 20_000
-#: Shingles of a template from which windows with too few of them get no MinHash values.
-LONG = 50
-_MATCH = "struct<license:string,word:int,n:int,m:array<bigint>>"
+_MATCH = "struct<license:string,at:int,n:int,word:int,end:int,m:array<bigint>>"
+_KNOWN = "array<struct<l:string,n:int,b:array<bigint>,s:array<bigint>>>"
 
 #: One notice each of four licenses, the default of a caller who gives no templates. Fixed values.
 TEMPLATES = {
@@ -55,64 +62,83 @@ TEMPLATES = {
 }
 
 
-def _let(name: str, value: str, body: str) -> str:
-    """SQL for ``body`` with ``name`` bound to ``value``, which is then evaluated once wherever the optimizer puts it."""
-    return f"transform(array({value}), {name} -> {body})[0]"
-
-
 def _shingles(text: str) -> str:
     """SQL for the shingle hashes of a text, in order; an empty array under five words."""
     at = ", ".join(f"w[i + {k}]" for k in range(SHINGLE))
     some = f"if(size(w) < {SHINGLE}, cast(array() as array<bigint>), transform(sequence(0, size(w) - {SHINGLE}), i -> xxhash64({at})))"
     words = f"split(regexp_replace(lower({text}), r'^{NON_WORD}|{NON_WORD}\\z', ''), r'{NON_WORD}')"
-    return _let("w", words, some)
+    return let("w", words, some)
+
+
+def _minima(v: str) -> str:
+    """SQL for the MinHash values of an array of shingles: the least of each range, in order."""
+    range_of = lambda x: f"shiftrightunsigned({x}, {64 - BITS})"
+    return let("s", f"sort_array({v})", f"filter(s, (x, i) -> i = 0 or {range_of('x')} <> {range_of('s[i - 1]')})")
 
 
-def _bands(shingles: str) -> str:
-    """SQL for the MinHash values of an array of shingles; the band's number takes part."""
-    return f"transform(sequence(1, {BANDS}), b -> xxhash64(b, array_min(transform({shingles}, x -> xxhash64(x, b)))))"
+def _longs(values) -> str:
+    return ", ".join(f"{x}L" if x > -(2**63) else "(-9223372036854775807L - 1L)" for x in sorted(values))
+
+
+def _quoted(s: str) -> str:
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _verified(known: str, first: str, last: str, containment: float) -> str:
+    """SQL for the matches of retrieved templates in their windows number ``first`` to ``last``."""
+    match = let(
+        "w", "slice(h, q * t.n + 1, 2 * t.n)",
+        let("m", "array_intersect(w, t.s)", f"""if(size(m) >= {containment}D * t.n - 1e-9D, array(named_struct('license', t.l, 'at', int(q * t.n), 'n', t.n,
+            'word', int(q * t.n + array_position(w, m[0]) - 1), 'end', int(q * t.n + array_position(w, m[size(m) - 1]) + {SHINGLE - 1}), 'm', m)), cast(array() as array<{_MATCH}>))"""),
+    )
+    return f"flatten(transform({known}, t -> flatten(transform(sequence(greatest(0, {first}), least({last}, (size(h) - 1) div t.n)), q -> {match}))))"
 
 
 def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, text: str = "text", containment: float = CONTAINMENT) -> DataFrame:
-    """``docs`` plus ``licenses``: an array of (license, word), the number of the word where its first window begins."""
+    """``docs`` plus ``licenses``: an array of (license, word, end), the words from the first to the last shingle met."""
     docs = shaped(docs, [text], ["licenses"])
     spark = docs.sparkSession
     rows = spark.createDataFrame(list(templates.items()), "name string, t string") if templates else spark.createDataFrame([], "name string, t string")
-    sets = {r["name"]: sorted(r["s"]) for r in rows.select("name", F.expr(f"array_distinct({_shingles('t')})").alias("s")).collect()}
-    if short := [k for k, s in sets.items() if not s]:
+    told = rows.select("name", F.expr(f"array_distinct({_shingles('t')})").alias("s")).select("name", "s", F.expr(_minima("s")).alias("b")).collect()
+    if short := [r["name"] for r in told if not r["s"]]:
         raise ValueError(f"templates of fewer than {SHINGLE} words: {short}")
-    if sum(map(len, sets.values())) > MAX_SHINGLES:
-        raise ValueError(f"templates of over {MAX_SHINGLES} shingles together")
-    if not sets:
-        return docs.withColumn("licenses", F.expr("cast(array() as array<struct<license:string,word:int>>)"))
-    longs = lambda s: ", ".join(f"{x}L" if x > -(2**63) else "(-9223372036854775807L - 1L)" for x in sorted(s))
-    bands = {r["name"]: r["b"] for r in rows.select("name", F.expr(_let("s", f"array_distinct({_shingles('t')})", _bands("s"))).alias("b")).collect()}
-    by_length: dict[int, list[str]] = {}
-    for name, s in sets.items():
-        by_length.setdefault(len(s), []).append(name)
+    if not told:
+        return docs.withColumn("licenses", F.expr("cast(array() as array<struct<license:string,word:int,end:int>>)"))
+    parts: list[tuple[int, list]] = []  # (block size or 0, templates)
+    for r in sorted(told, key=lambda r: (len(r["s"]), r["name"])):
+        n, size = len(r["s"]), 0
+        if n > SHORT:
+            size = BLOCK
+            while size < n:
+                size *= RATIO
+        if not parts or parts[-1][0] != size or sum(x["n"] for x in parts[-1][1]) + n > MAX_SHINGLES:
+            parts.append((size, []))
+        parts[-1][1].append({"l": r["name"].partition("#")[0], "n": n, "b": r["b"] if n > SHORT else r["s"], "s": sorted(r["s"])})
+
     none = f"cast(array() as array<{_MATCH}>)"
-    parts = []
-    for n, names in sorted(by_length.items()):
-        known = json.dumps([{"l": name.partition("#")[0], "b": bands[name], "s": sets[name]} for name in sorted(names)])
-        # JSON makes one constant of the templates, whatever their number
-        kin = f"from_json('{known}', 'array<struct<l:string,b:array<bigint>,s:array<bigint>>>')"
-        met = f"""transform(
-            filter({kin}, t -> arrays_overlap(m, t.b) and size(array_intersect(v, t.s)) >= {containment * n}D - 1e-9D),
-            t -> named_struct('license', t.l, 'word', k * {n}, 'n', {n}, 'm', array_intersect(v, t.s)))"""
-        inner = _let("v", f"array_distinct(slice(h, k * {n} + 1, {2 * n}))", _let("m", _bands("v"), met))
-        able = "k >= 0"
-        if n >= LONG:
-            able += f" and size(filter(q, i -> i >= k * {n} and i < (k + 2) * {n})) >= {containment * n}D - 1e-9D"
-        windows = f"filter(array_distinct(flatten(transform(q, i -> array(int(i div {n}) - 1, int(i div {n}))))), k -> {able})"
-        own = f"filter(p, i -> h[i] in ({longs({x for name in names for x in sets[name]})}))"
-        parts.append(_let("q", own, f"if(size(q) = 0, {none}, flatten(transform({windows}, k -> {inner})))"))
-    every = longs({x for s in sets.values() for x in s})
-    matches = f"if(size(p) = 0, {none}, concat({', '.join(parts)}))"
-    near = _let("p", f"filter(sequence(0, size(h) - 1), i -> h[i] in ({every}))", matches)
-    found = _let("h", _shingles(f"coalesce(`{text}`, '')"), f"if(size(h) = 0, {none}, {near})")
-    better = f"""b.word < a.word + 2 * a.n and a.word < b.word + 2 * b.n and (size(b.m) > size(a.m) or (size(b.m) = size(a.m) and b.n < a.n))
+    found, levels = [], {}
+    for size, known in parts:
+        kin = f"from_json({_quoted(json.dumps(known))}, '{_KNOWN}')"  # JSON makes one constant of the templates, whatever their number
+        bands = _longs({x for t in known for x in t["b"]})
+        if not size:
+            near = f"filter(sequence(0, size(h) - 1), i -> h[i] in ({bands}))"
+            some = _verified(f"filter({kin}, t -> array_contains(t.b, h[i]))", "i div t.n - 1", "i div t.n", containment)
+        else:
+            v = levels.setdefault(size, f"v{size}")
+            near = f"filter(sequence(0, size({v}) - 1), i -> exists({v}[i], x -> x in ({bands})))"
+            some = _verified(f"filter({kin}, t -> arrays_overlap({v}[i], t.b))", f"i * {size} div t.n - 1", f"((i + 1) * {size} - 1) div t.n", containment)
+        found.append(f"flatten(transform({near}, i -> {some}))")
+    matches = f"array_distinct(concat({', '.join(found)}))"
+    sizes = [BLOCK * RATIO**k for k in range(20) if levels and BLOCK * RATIO**k <= max(levels)]
+    for size in reversed(sizes):
+        below = "h" if size == BLOCK else f"v{size // RATIO}"
+        count = BLOCK if size == BLOCK else RATIO
+        part = f"slice({below}, int(k) * {count} + 1, {count})"
+        matches = let(f"v{size}", f"transform(sequence(0, (size({below}) - 1) div {count}), k -> {_minima(part if size == BLOCK else f'flatten({part})')})", matches)
+    every = let("h", _shingles(f"coalesce(`{text}`, '')"), f"if(size(h) = 0, {none}, {matches})")
+    better = """b.at < a.at + 2 * a.n and a.at < b.at + 2 * b.n and (size(b.m) > size(a.m) or (size(b.m) = size(a.m) and b.n < a.n))
         and 2 * size(array_intersect(a.m, b.m)) > size(a.m)"""
-    found = _let("g", found, f"filter(g, a -> not exists(g, b -> {better}))")
+    best = let("g", every, f"filter(g, a -> not exists(g, b -> {better}))")
     first = """transform(array_sort(array_distinct(transform(f, x -> x.license))), n ->
-        named_struct('license', n, 'word', array_min(transform(filter(f, x -> x.license = n), x -> x.word))))"""
-    return docs.withColumn("licenses", F.expr(_let("f", found, first)))
+        array_min(transform(filter(f, x -> x.license = n), x -> named_struct('license', n, 'word', x.word, 'end', x.end))))"""
+    return docs.withColumn("licenses", F.expr(let("f", best, first)))

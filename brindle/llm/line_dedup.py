@@ -4,8 +4,13 @@ Units are the lines of a text (or its paragraphs, by another separator). Each is
 normalised (A-Z lowered, white space squeezed and trimmed), digests of units of
 ``min_words`` words or more are grouped over the whole corpus, the earliest
 occurrence by rank stays and all others are removed. What stays keeps its
-offsets in the original text. The registered query takes every unit that is not
-blank; ``MIN_WORDS`` is the default of a caller who gives no bound.
+offsets in the original text. Every unit that has a word counts; a caller may ask
+for ``min_words`` more.
+
+Short units repeat by chance, passages don't. So each document also gets, first
+occurrences included, the words of its units that occur in another document
+(``n_shared_words``) and of the longest run of such units, blank ones between them
+allowed (``passage_words``); over ``PASSAGE`` words it is a passage.
 
 Texts are read once for their digests, which are staged; only digests, ranks and
 positions move, and texts meet the removals once, by document. The winner of a digest is a minimum, combined on the map side, so a
@@ -15,8 +20,9 @@ adaptive execution (an inner join with no order or grouping right above it).
 
 Defined results: rank is doc_id (nulls last), then the text's hash, then the
 unit's position; rows equal in doc_id and text are one document and all get its
-result; null texts stay null, with no units; blank and short units always stay;
-a text of which all is removed becomes empty. Columns of the input that are named
+result; null texts stay null, with no units; blank units always stay; a text of
+which all is removed becomes empty; very long texts are units like others, however
+many; an empty table gives an empty result. Columns of the input that are named
 like a result are replaced by it.
 """
 
@@ -31,26 +37,31 @@ from pyspark.sql import DataFrame
 
 from brindle.llm.common import appended, pieces, shaped, staged
 
-#: Default bound: units of fewer words are left alone unless the caller says otherwise.
-MIN_WORDS = 10
+#: Words that a run of shared units must exceed to count as a passage.
+PASSAGE = 50
 
 _SPANS = "array<struct<start:bigint,end:bigint>>"
-MADE = {"n_units": "bigint", "n_removed": "bigint", "removed": _SPANS, "kept": _SPANS, "clean": "string"}
+MADE = {"n_units": "bigint", "n_removed": "bigint", "removed": _SPANS, "kept": _SPANS, "n_shared_words": "bigint", "passage_words": "bigint", "clean": "string"}
 
 Spans = list[tuple[int, int]]
 
 
-def rebuilt(text: str | None, gone: list[int], separator: str) -> tuple[int, int, Spans, Spans, str | None]:
-    """The results of MADE for a text and the positions of the units to remove."""
+def rebuilt(text: str | None, gone: list[int], shared: list[int], separator: str) -> tuple[int, int, Spans, Spans, int, int, str | None]:
+    """The results of MADE for a text, the positions of the units to remove and of those that other documents have."""
     if text is None:
-        return 0, 0, [], [], None
+        return 0, 0, [], [], 0, 0, None
     units = text.split(separator)
-    if not gone:
-        return len(units), 0, [], [(0, len(text))], text
-    out, removed, kept = set(gone), [], []
+    out, both, removed, kept = set(gone), set(shared), [], []
     at, touching = 0, False
+    words = run = longest = 0
     for i, unit in enumerate(units):
         end = at + len(unit)
+        if i in both:
+            n = len(unit.encode("utf-8", "surrogatepass").split())
+            words, run = words + n, run + n
+            longest = max(longest, run)
+        elif run and unit.encode("utf-8", "surrogatepass").strip():
+            run = 0
         if i in out:
             removed.append((at, end))
             touching = False
@@ -61,7 +72,7 @@ def rebuilt(text: str | None, gone: list[int], separator: str) -> tuple[int, int
                 kept.append((at, end))
             touching = True
         at = end + len(separator)
-    return len(units), len(removed), removed, kept, separator.join(text[s:e] for s, e in kept)
+    return len(units), len(removed), removed, kept, words, longest, separator.join(text[s:e] for s, e in kept)
 
 
 def digests(texts: list[bytes | None], min_words: int, separator: bytes) -> tuple[list[int], list[int], list[bytes]]:
@@ -95,33 +106,35 @@ def units(docs: DataFrame, min_words: int, separator: str) -> DataFrame:
     return source.mapInArrow(run, f"doc_id {kind}, text_hash bigint, pos int, digest binary")
 
 
-def removals(docs: DataFrame, min_words: int = MIN_WORDS, separator: str = "\n") -> DataFrame:
-    """``doc_id``, ``text_hash`` and ``gone``, the positions of units that occur earlier in the corpus."""
+def removals(docs: DataFrame, min_words: int = 1, separator: str = "\n") -> DataFrame:
+    """``doc_id``, ``text_hash``, ``gone`` and ``shared``: positions of units that occur earlier in the corpus, and in another document."""
     every = staged(units(docs, min_words, separator), "units")
     rank = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_hash", "pos")
-    winners = every.groupBy("digest").agg(F.min(rank).alias("first"), F.max(rank).alias("last")).where("first <> last")
-    winners = staged(winners.select("digest", "first"), "first-units")  # with no aggregate beside it, the join can be split
-    losers = every.join(winners, "digest").where(rank != F.col("first"))
-    return losers.groupBy("doc_id", "text_hash").agg(F.collect_set("pos").alias("gone"))
+    ends = every.groupBy("digest").agg(F.min(rank).alias("first"), F.max(rank).alias("last")).where("first <> last")
+    apart = ~(F.col("first.doc_id").eqNullSafe(F.col("last.doc_id")) & (F.col("first.text_hash") == F.col("last.text_hash")))
+    ends = staged(ends.select("digest", "first", apart.alias("apart")), "first-units")  # with no aggregate beside it, the join can be split
+    met = every.join(ends, "digest").select("doc_id", "text_hash", "pos", (rank != F.col("first")).alias("later"), "apart").where("later OR apart")
+    return met.groupBy("doc_id", "text_hash").agg(F.collect_set(F.when(F.col("later"), F.col("pos"))).alias("gone"), F.collect_set(F.when(F.col("apart"), F.col("pos"))).alias("shared"))
 
 
-def deduplicated(docs: DataFrame, min_words: int = MIN_WORDS, separator: str = "\n") -> DataFrame:
-    """``docs`` with ``text`` deduplicated, plus ``n_units``, ``n_removed``, and ``removed`` and ``kept`` spans.
+def deduplicated(docs: DataFrame, min_words: int = 1, separator: str = "\n") -> DataFrame:
+    """``docs`` with ``text`` deduplicated, plus the other columns of ``MADE``.
 
     Spans are (start, end) in code points of the original text, end exclusive.
     """
     docs = shaped(docs, ["doc_id", "text"], [*MADE, "_h", "_d", "_in"])
     names = docs.columns
-    gone = removals(docs, min_words, separator).select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h"), "gone")
+    found = removals(docs, min_words, separator).select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h"), "gone", "shared")
     same = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.xxhash64("text") == F.col("_h"))
-    met = docs.join(gone, same, "left").withColumn("_in", F.struct("text", F.coalesce("gone", F.expr("cast(array() as array<int>)")).alias("gone")))
+    places = [F.coalesce(c, F.expr("cast(array() as array<int>)")).alias(c) for c in ("gone", "shared")]
+    met = docs.join(found, same, "left").withColumn("_in", F.struct("text", *places))
 
     def batch(column: pa.Array) -> list:
-        results = [rebuilt(r["text"], r["gone"], separator) for r in column.to_pylist()]
-        counts, cuts, rest, spans, texts = zip(*results, strict=True) if results else [()] * 5
+        results = [rebuilt(r["text"], r["gone"], r["shared"], separator) for r in column.to_pylist()]
+        made = dict(zip(MADE, zip(*results, strict=True), strict=True)) if results else dict.fromkeys(MADE, ())
         named = lambda rows: [[{"start": s, "end": e} for s, e in x] for x in rows]
-        return [list(counts), list(cuts), named(rest), named(spans), list(texts)]
+        return [named(v) if k in ("removed", "kept") else list(v) for k, v in made.items()]
 
     met = met.select(*[n for n in names if n != "text"], "_in")
     out = appended(met, MADE, batch, "_in").withColumnRenamed("clean", "text")
-    return out.select(*names, "n_units", "n_removed", "removed", "kept")
+    return out.select(*names, *[k for k in MADE if k != "clean"])

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from brindle.llm.license_scan import CONTAINMENT, SHINGLE, TEMPLATES
-from brindle.llm.line_dedup import MIN_WORDS
 
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -35,7 +34,7 @@ WITH cut AS (
 ), parts AS (
   SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{_UPPER}', '{_LOWER}') AS host,
     regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM cut
-), rules(verdict, h, p) AS (VALUES {values}), listed(b) AS (VALUES {listed}), fits AS (
+), rules(verdict, h, p) AS (VALUES {values}), listed(b) AS (VALUES {listed} UNION SELECT host FROM parts WHERE starts_with(host, 'm.')), fits AS (
   SELECT page_id, h || p AS rule, verdict,
     row_number() OVER (PARTITION BY page_id ORDER BY length(h) DESC, length(p) DESC, verdict DESC) AS k
   FROM parts JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
@@ -45,6 +44,7 @@ FROM parts LEFT JOIN (SELECT * FROM fits WHERE k = 1) f USING (page_id) LEFT JOI
 """
 
 
+#: Every unit that is not blank counts, however short; runs of shared units may hold blank ones.
 LINE_DEDUP = rf"""
 WITH units AS (
   SELECT doc_id, unnest(u) AS unit, generate_subscripts(u, 1) AS pos FROM (SELECT doc_id, string_split(text, chr(10)) AS u FROM documents)
@@ -53,31 +53,24 @@ WITH units AS (
     trim(regexp_replace(translate(unit, '{_UPPER}', '{_LOWER}'), '[\x20\x09-\x0D]+', ' ', 'g')) AS norm
   FROM units
 ), ranked AS (
-  SELECT *, norm <> '' AND length(norm) - length(replace(norm, ' ', '')) >= {MIN_WORDS - 1}
-    AND row_number() OVER (PARTITION BY norm ORDER BY doc_id, pos) > 1 AS gone
+  SELECT *, norm <> '' AND row_number() OVER (PARTITION BY norm ORDER BY doc_id, pos) > 1 AS gone,
+    norm <> '' AND min(doc_id) OVER (PARTITION BY norm) <> max(doc_id) OVER (PARTITION BY norm) AS shared,
+    CASE WHEN norm <> '' THEN 1 + length(norm) - length(replace(norm, ' ', '')) ELSE 0 END AS n
   FROM placed
+), runs AS (
+  SELECT *, sum(CASE WHEN shared OR norm = '' THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY pos) AS run,
+    sum(CASE WHEN gone THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY pos) AS cut FROM ranked
+), longest AS (SELECT doc_id, CAST(max(n) AS BIGINT) AS passage_words FROM (SELECT doc_id, run, sum(CASE WHEN shared THEN n ELSE 0 END) AS n FROM runs GROUP BY ALL) GROUP BY doc_id
+), kept AS (
+  SELECT doc_id, string_agg(CAST(CAST(a AS BIGINT) AS VARCHAR) || ':' || CAST(CAST(z AS BIGINT) AS VARCHAR), ',' ORDER BY a) AS kept_spans
+  FROM (SELECT doc_id, cut, min(start) AS a, max(start + length(unit)) AS z FROM runs WHERE NOT gone GROUP BY doc_id, cut) GROUP BY doc_id
 )
 SELECT doc_id, count(*) AS n_units, count(*) FILTER (WHERE gone) AS n_removed,
+  CAST(coalesce(sum(n) FILTER (WHERE shared), 0) AS BIGINT) AS n_shared_words, any_value(passage_words) AS passage_words, any_value(passage_words) > 50 AS has_passage,
   coalesce(string_agg(CAST(CAST(start AS BIGINT) AS VARCHAR) || ':' || CAST(CAST(start + length(unit) AS BIGINT) AS VARCHAR), ',' ORDER BY pos) FILTER (WHERE gone), '') AS removed_spans,
+  coalesce(any_value(kept_spans), '') AS kept_spans,
   coalesce(string_agg(unit, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '') AS text
-FROM ranked GROUP BY doc_id
-"""
-
-#: Every unit that is not blank counts, however short.
-LINE_DEDUP_WHOLE = rf"""
-WITH units AS (
-  SELECT doc_id, unnest(u) AS unit, generate_subscripts(u, 1) AS pos FROM (SELECT doc_id, string_split(text, chr(10)) AS u FROM documents)
-), placed AS (
-  SELECT *, coalesce(sum(length(unit) + 1) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start,
-    trim(regexp_replace(translate(unit, '{_UPPER}', '{_LOWER}'), '[\x20\x09-\x0D]+', ' ', 'g')) AS norm
-  FROM units
-), ranked AS (
-  SELECT *, norm <> '' AND row_number() OVER (PARTITION BY norm ORDER BY doc_id, pos) > 1 AS gone FROM placed
-)
-SELECT doc_id, count(*) AS n_units, count(*) FILTER (WHERE gone) AS n_removed,
-  coalesce(string_agg(CAST(CAST(start AS BIGINT) AS VARCHAR) || ':' || CAST(CAST(start + length(unit) AS BIGINT) AS VARCHAR), ',' ORDER BY pos) FILTER (WHERE gone), '') AS removed_spans,
-  coalesce(string_agg(unit, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '') AS text
-FROM ranked GROUP BY doc_id
+FROM ranked LEFT JOIN longest USING (doc_id) LEFT JOIN kept USING (doc_id) GROUP BY doc_id
 """
 
 DECONTAMINATION = rf"""
@@ -100,6 +93,20 @@ FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
+#: Sets of five-word shingles, links of 0.8 or more, and their closure.
+JACCARD_JOIN = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '{_WORD}'), []) AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + least(5, len(w)) - 1], ' ') AS sh FROM (SELECT doc_id, w, unnest(range(1, len(w) - least(5, len(w)) + 2)) AS i FROM d WHERE len(w) > 0)),
+size AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+met AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b USING (sh) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+link AS (SELECT x, y, c = p.n AND c = q.n AS same FROM met JOIN size p ON x = p.doc_id JOIN size q ON y = q.doc_id WHERE c >= 0.8 * (p.n + q.n - c) - 1e-9),
+walk AS (SELECT x, y FROM link UNION SELECT walk.x, link.y FROM walk JOIN link ON walk.y = link.x),
+copies AS (SELECT x, min(y) AS copy FROM link WHERE same GROUP BY x), least_of AS (SELECT x, min(y) AS class FROM walk GROUP BY x), links AS (SELECT x, count(*) AS n_links FROM link GROUP BY x)
+SELECT doc_id, CASE WHEN len(w) > 0 THEN least(doc_id, coalesce(copy, doc_id)) END AS copy_id, least(doc_id, coalesce(class, doc_id)) AS class_id, coalesce(n_links, 0) AS n_links
+FROM d LEFT JOIN copies ON doc_id = copies.x LEFT JOIN least_of ON doc_id = least_of.x LEFT JOIN links ON doc_id = links.x
+"""
+
+
 def license_scan() -> str:
     values = ", ".join(f"('{k}', '{t}')" for k, t in TEMPLATES.items())
     words = rf"list_filter(string_split_regex(lower({{}}), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"

@@ -14,11 +14,14 @@ classifier may add candidates that the base rules reject, and the further kinds
 
 Matches are found whole and leftmost: quantifiers are possessive where nothing
 can be given back, so long runs neither recurse nor backtrack. Offsets are code
-points, end exclusive, from the lengths of the pieces between matches.
+points, end exclusive, from the lengths of the pieces between matches; work
+follows a text's length and, as a root more, its number of spans.
 
 Defined results: null and empty texts have no spans; without candidates nothing
 is learned and nothing added; ties of a posterior at one half add nothing;
-repeated rows are all judged; input columns named like a result are replaced.
+repeated rows are all judged; very long texts and very many spans are taken whole;
+an empty table gives an empty result; input columns named like a result are
+replaced.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ import numpy as np
 import pyspark.sql.functions as F
 from pyspark.sql import Column, DataFrame
 
-from brindle.llm.common import shaped
+from brindle.llm.common import let, running, shaped
 
 
 @dataclass(frozen=True)
@@ -113,19 +116,13 @@ RESULTS = [*(f"n_{k.name}" for k in BASE), "base", "found"]
 _SPAN = "array<struct<kind:int,start:int,end:int,ok:boolean,value:string,before:string,after:string>>"
 
 
-def _let(name: str, value: str, body: str) -> str:
-    """SQL for ``body`` with ``name`` bound to ``value``, which is then evaluated once wherever the optimizer puts it."""
-    return f"transform(array({value}), {name} -> {body})[0]"
-
-
 def _spans(k: int, kind: Kind, t: str) -> str:
-    """SQL for the candidates of one kind: matches, the pieces between them, and starts as a running sum of lengths."""
-    starts = """aggregate(sequence(1, size(m)), named_struct('at', 0, 'out', cast(array() as array<int>)),
-        (s, i) -> named_struct('at', s.at + length(p[i - 1]) + length(m[i - 1]), 'out', concat(s.out, array(s.at + length(p[i - 1])))), s -> s.out)"""
-    each = f"""transform(m, (x, i) -> named_struct('kind', {k}, 'start', b[i], 'end', b[i] + length(x), 'ok', {kind.base},
+    """SQL for the candidates of one kind: matches, the pieces between them, and ends as a running sum of lengths."""
+    ends = running("transform(m, (x, i) -> length(p[i]) + length(x))", "a + x")
+    each = f"""transform(m, (x, i) -> named_struct('kind', {k}, 'start', b[i] - length(x), 'end', b[i], 'ok', {kind.base},
         'value', x, 'before', right(p[i], 24), 'after', left(p[i + 1], 1)))"""
-    found = _let("p", f"split({t}, r'{kind.pattern}', -1)", _let("b", starts, each))
-    some = _let("m", f"regexp_extract_all({t}, r'{kind.pattern}', 0)", f"if(size(m) = 0, cast(array() as {_SPAN}), {found})")
+    found = let("p", f"split({t}, r'{kind.pattern}', -1)", let("b", ends, each))
+    some = let("m", f"regexp_extract_all({t}, r'{kind.pattern}', 0)", f"if(size(m) = 0, cast(array() as {_SPAN}), {found})")
     return f"if({kind.needs.format(t=t)}, {some}, cast(array() as {_SPAN}))"
 
 
@@ -242,12 +239,16 @@ def listed(spans: str) -> Column:
 
 
 def redacted(text: str = "text", spans: str = "found") -> Column:
-    """``text`` with each span, or run of overlapping spans, replaced by its kind in brackets; null stays null."""
+    """``text`` with each span, or run of overlapping spans, replaced by its kind in brackets; null stays null.
+
+    Pieces are cut from four bytes a code point, whose places are known without counting from the start.
+    """
     names = "array(" + ", ".join(f"'[{k.name.upper()}]'" for k in KINDS) + ")"
-    return F.expr(
-        f"""case when size({spans}) = 0 then {text} else aggregate({spans}, named_struct('at', 0, 'out', ''),
-        (s, c) -> if(c.start >= s.at,
-            named_struct('at', c.end, 'out', concat(s.out, substring({text}, s.at + 1, c.start - s.at), element_at({names}, c.kind + 1))),
-            named_struct('at', greatest(s.at, c.end), 'out', s.out)),
-        s -> concat(s.out, substring({text}, s.at + 1))) end"""
-    )
+    mark = "X'0000FEFF'"  # the decoder takes one byte order mark away, so that none of the text's goes
+    piece = f"decode(concat({mark}, substring(u, 4 * {{a}} + 1, 4 * ({{z}} - {{a}}))), 'UTF-32')"
+    cut = f"if(c.start >= a, concat({piece.format(a='a', z='c.start')}, element_at({names}, c.kind + 1)), '')"
+    pieces = f"transform(f, (c, i) -> {let('a', 'if(i = 0, 0, g[i - 1])', cut)})"
+    rest = let("a", "g[size(g) - 1]", piece.format(a="a", z="int(length(u) / 4)"))
+    joined = let("u", f"encode({text}, 'UTF-32')", f"array_join(concat({pieces}, array({rest})), '')")
+    ends = running("transform(f, c -> c.end)", "greatest(a, x)")
+    return F.expr(f"case when size({spans}) = 0 then {text} else {let('f', spans, let('g', ends, joined))} end")

@@ -12,8 +12,9 @@ document.
 Defined results: a null or empty text has no words and fails the base rule;
 labels that are null count as absent; several labels for one doc_id count as
 low quality if any says so; an empty or one-sided label table yields an empty
-list, which keeps all that pass the base rule; repeated rows are all judged;
-input columns named like a statistic are replaced by it.
+list, which keeps all that pass the base rule; repeated rows are all judged; very
+long texts are counted whole; an empty table gives an empty result; input columns
+named like a statistic are replaced by it.
 """
 
 from __future__ import annotations

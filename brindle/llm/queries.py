@@ -31,7 +31,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
-#: Rules (verdict, host, path) and listed domains of the URL query.
+#: Rules (verdict, host, path) and listed domains of the URL query, which also lists every mobile mirror (a host that begins with ``m.``).
 URL_RULES = [
     ("allow", "com", "/"),
     ("block", "example.com", "/en/"),
@@ -58,9 +58,14 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(byte_bpe.round_trip(docs, RANKS, public_tokenizers.PATTERN))
 
 
+def url_block_list(pages: DataFrame) -> DataFrame:
+    fixed = pages.sparkSession.createDataFrame([(b,) for b in URL_BLOCK_LIST], "domain string")
+    return fixed.union(pages.select(url_filter.host_of().alias("domain")).where(F.startswith("domain", F.lit("m."))).distinct())
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    return url_filter.judge(pages, URL_RULES, URL_BLOCK_LIST).select("page_id", "host", "path", "rule", "verdict")
+    return url_filter.judge(pages, URL_RULES, url_block_list(pages)).select("page_id", "host", "path", "rule", "verdict")
 
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,9 +75,12 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = line_dedup.deduplicated(docs, min_words=1)  # every line that is not blank
-    spans = F.array_join(F.transform("removed", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))), ",")
-    return out.select("doc_id", "n_units", "n_removed", spans.alias("removed_spans"), "text")
+    out = line_dedup.deduplicated(docs)
+    spans = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))), ",")
+    return out.select(
+        "doc_id", "n_units", "n_removed", "n_shared_words", "passage_words", (F.col("passage_words") > line_dedup.PASSAGE).alias("has_passage"),
+        spans("removed").alias("removed_spans"), spans("kept").alias("kept_spans"), "text",
+    )
 
 
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,7 +139,8 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_html_extraction": oracles.HTML_EXTRACTION,
         "op3_url_filter": oracles.url_filter(URL_RULES, URL_BLOCK_LIST),
-        "op5_line_dedup": oracles.LINE_DEDUP_WHOLE,
+        "op5_line_dedup": oracles.LINE_DEDUP,
         "op6_decontamination": oracles.DECONTAMINATION,
+        "op7_jaccard_join": oracles.JACCARD_JOIN,
         "op9_license_scan": oracles.license_bank_scan(license_bank.bank()),
     }

@@ -13,19 +13,19 @@ Costs come from a vocabulary in order of rank by Zipf's law, -ln p = ln(rank + 2
 up to a constant, in millionths, or from any table of the caller's.
 
 Defined results: null and empty texts have no tokens; a pre-token that no pieces
-cover has none and counts in ``n_unknown``; repeated rows are all counted; input
-columns named like a count are replaced.
+cover has none and counts in ``n_unknown``; repeated rows are all counted; very
+long texts are counted whole; an empty table gives an empty result; input columns
+named like a count are replaced.
 """
 
 from __future__ import annotations
 
 import math
-from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from brindle.llm.common import appended, shaped
+from brindle.llm.common import appended, held, shaped
 from brindle.llm.pretokens import Splitter, read_ranks
 
 #: Nodes of a worker's trie, and pre-tokens of which it keeps the count.
@@ -110,9 +110,9 @@ class Counter:
         return n
 
 
-@cache
 def counter(path: str, pattern: str) -> Counter:
-    return Counter(zipf_costs(read_ranks(path)), pattern)
+    """One counter per worker: it holds the vocabulary, the trie and the kept counts."""
+    return held(("counts", path, pattern), lambda: Counter(zipf_costs(read_ranks(path)), pattern))
 
 
 def counted(docs: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
@@ -122,4 +122,4 @@ def counted(docs: DataFrame, path: str, pattern: str, text: str = "text") -> Dat
         c = counter(path, pattern)
         return [list(x) for x in zip(*[c.count(t) for t in column.to_pylist()], strict=True)] or [[], [], []]
 
-    return appended(shaped(docs, [text], COUNTS), COUNTS, batch, text)
+    return appended(shaped(docs, [text], COUNTS), COUNTS, batch, text, holds=True)

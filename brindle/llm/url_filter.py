@@ -9,9 +9,14 @@ Judging a row tests bits of constants: no join, and no shuffle.
 
 Levels are built from the distinct keys, which a partial aggregate makes before
 anything moves, so a host with a third of all pages costs one row per task. The
-bits of a level are gathered word by word with ``bit_or``. Their total is bounded
-by ``MAX_BITS``, some three million listed hosts; for a longer list nothing is
-collected, and ``judge`` looks hosts up by a join with the distinct keys instead.
+bits of a level are gathered word by word with ``bit_or``. Level 0 passes a share
+sqrt(1/2) r / s of the s keys that aren't listed, for r listed ones, and each later
+level half, which makes the levels smallest together. Their total is bounded by
+``MAX_BITS``; beyond it nothing is collected, and ``judge`` looks hosts up by a
+join with the distinct keys instead.
+
+The list is a DataFrame of domains. It meets the distinct hosts and their parent
+domains by a join, whose sides the planner sizes.
 
 Rules come first: a rule (verdict, host, path) fits its host and all subdomains
 if the path of the url starts with the rule's path; the longest host and path
@@ -20,7 +25,8 @@ host in the list decides: listed hosts and their subdomains are blocked.
 
 Defined results: a null url or one without ``://`` has an empty host and path,
 fits no rule, and is allowed unless the empty key is listed; repeated rows are
-all judged; an empty table or an empty list gives a cascade that lists nothing.
+all judged; very long urls are taken whole; nulls and repeats in the list change
+nothing; an empty table or an empty list gives a cascade that lists nothing.
 """
 
 from __future__ import annotations
@@ -35,8 +41,8 @@ from brindle.llm.common import dropped, lower_ascii, shaped, staged
 
 #: Bits of all levels together that a plan may carry: 4 MB.
 MAX_BITS = 1 << 25
-#: False positive rate of level 0 and of the later ones.
-RATES = (0.01, 0.5)
+#: Share of false positives of the levels after the first, and the most of the first.
+RATE = 0.5
 
 
 class TooLong(ValueError):
@@ -63,7 +69,7 @@ def _passes(key: Column, number: int, level: Level) -> Column:
     return out
 
 
-def cascade(keys: DataFrame, max_bits: int = MAX_BITS, rates: tuple[float, float] = RATES) -> list[Level]:
+def cascade(keys: DataFrame, max_bits: int = MAX_BITS) -> list[Level]:
     """Levels for ``keys`` (key string, listed boolean), one row per key of the whole universe."""
     levels: list[Level] = []
     spent, side = 0, True
@@ -74,9 +80,9 @@ def cascade(keys: DataFrame, max_bits: int = MAX_BITS, rates: tuple[float, float
         if n == 0:
             dropped(left)
             return levels
-        rate = rates[0] if not levels else rates[1]
-        bits = max(64, math.ceil(-n * math.log(rate) / math.log(2) ** 2 / 64) * 64)
-        hashes = max(1, round(bits / n * math.log(2))) if bits > 64 else 3
+        rate = RATE if levels else min(RATE, math.sqrt(0.5) * n / max(1, left.count() - n))
+        bits = max(1, math.ceil(-n * math.log(rate) / math.log(2) ** 2))
+        hashes = max(1, round(bits / n * math.log(2)))
         spent += bits
         if spent > max_bits:
             dropped(left)
@@ -84,7 +90,7 @@ def cascade(keys: DataFrame, max_bits: int = MAX_BITS, rates: tuple[float, float
         at = mine.select(F.explode(F.array(*_positions(F.col("key"), len(levels), bits, hashes))).alias("at"))
         word = F.shiftright("at", 6).alias("word")
         rows = at.groupBy(word).agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("bits")).collect()
-        words = ["0"] * (bits // 64)
+        words = ["0"] * (bits // 64 + 1)
         for r in rows:
             words[r["word"]] = str(r["bits"])
         levels.append(Level(bits, hashes, ",".join(words)))
@@ -131,14 +137,16 @@ def with_rules(pages: DataFrame, rules: list[tuple[str, str, str]]) -> DataFrame
     return pages.withColumns({"rule": rule, "ruled": ruled})
 
 
-def universe(pages: DataFrame, block_list: list[str]) -> DataFrame:
-    """Every distinct host of ``pages`` and whether it, or a parent domain, is on the list."""
+def universe(pages: DataFrame, block_list: DataFrame) -> DataFrame:
+    """Every distinct host of ``pages`` and whether it, or a parent domain, is among the ``domain`` of ``block_list``."""
     hosts = shaped(pages, ["url"]).select(host_of().alias("key")).distinct()
-    return hosts.select("key", F.arrays_overlap(suffixes(F.col("key")), F.array(*[F.lit(b) for b in block_list]).cast("array<string>")).alias("listed"))
+    domains = shaped(block_list, ["domain"]).select(F.col("domain").alias("suffix"))
+    listed = hosts.select("key", F.explode(suffixes(F.col("key"))).alias("suffix")).join(domains, "suffix", "left_semi").select("key").distinct()
+    return hosts.join(listed.withColumn("listed", F.lit(True)), "key", "left").select("key", F.coalesce("listed", F.lit(False)).alias("listed"))
 
 
-def judge(pages: DataFrame, rules: list[tuple[str, str, str]], block_list: list[str], max_bits: int = MAX_BITS) -> DataFrame:
-    """``pages`` plus ``host``, ``path``, ``rule`` and ``verdict``."""
+def judge(pages: DataFrame, rules: list[tuple[str, str, str]], block_list: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """``pages`` plus ``host``, ``path``, ``rule`` and ``verdict``; ``block_list`` has a column ``domain``."""
     out = shaped(pages, ["url"], ["host", "path", "rule", "ruled", "verdict", "_key", "_listed"])
     out = with_rules(out.withColumns({"host": host_of(), "path": path_of()}), rules)
     keys = universe(pages, block_list)

@@ -5,8 +5,6 @@ from __future__ import annotations
 import re
 from collections import Counter, defaultdict
 
-from brindle.llm import jaccard_join
-
 
 def windows_of(text):
     return [w for w in re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))]
@@ -32,7 +30,8 @@ def brute_hits(docs, items, width=10):
 
 
 def brute_links(rows):
-    sets = [frozenset(jaccard_join.shingles((t or "").encode()).tolist()) for _, t in rows]
+    words = [windows_of(t) for _, t in rows]
+    sets = [frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset() for w in words]
     up, links = list(range(len(rows))), Counter()
 
     def find(x):
