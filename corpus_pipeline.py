@@ -12,9 +12,10 @@ stage's ``docs``. All but the last return the columns of ``documents``.
 * ``pii``: spans of personal data become their kind in brackets, ``n_chars`` follows;
 * ``byte_bpe``: texts become token ids, of which counts and digests are returned.
 
-Nulls, empty texts and repeated rows have the results that the operators define;
-rows equal in doc_id and text are one document from the second stage on. An
-empty table passes through.
+Nulls, empty and very long texts and repeated rows have the results that the
+operators define; rows equal in doc_id and text are one document from the second
+stage on. An empty table passes through; other columns keep their names and
+values, also where they are named like a result.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
 from brindle.llm import byte_bpe, decontamination, jaccard_join, pii, quality_rules
-from brindle.llm.common import staged, table
+from brindle.llm.common import dropped, staged, table
 
 
 def _apart(docs: DataFrame, stage: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -85,7 +86,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     docs = table(spark, sf_dir, "documents")
     for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
+        before, docs = docs, stage(spark, docs, sf_dir)
         if k + 1 < len(STAGES):
             docs = staged(docs, name)
+            if k:
+                dropped(before)
     return docs
