@@ -18,8 +18,8 @@ its class (connected component of links) and its number of links.
    band it shares only, so no two groups judge it twice. Groups emit the members
    that still have a partner, never pairs.
 4. Those members' shingle sets, made again from their texts, meet in groups of
-   their own, cut so that one has ``GROUP_BYTES`` of sets on average at most.
-   There the same pairs survive again and are verified exactly. A group emits,
+   their own, cut by the bytes of the sets and by members (``GROUP_BYTES``,
+   ``GROUP_MEMBERS``). There the same pairs survive again and are verified exactly. A group emits,
    per member, the weight of its links and the least member it is linked with,
    directly or not.
 5. Classes are the components of those star edges, by repeated minimum labels
@@ -58,8 +58,8 @@ BANDS, ROWS = 24, 3
 HASHES = BANDS * ROWS
 STEP, TOLERANCE = 12, 1e-6
 CHUNK = 2048
-#: Bytes of shingle sets that a group of exact verification has on average at most.
-GROUP_BYTES = 8 << 20
+#: Bytes of shingle sets, and members, that each side of a group of exact verification has on average at most.
+GROUP_BYTES, GROUP_MEMBERS = 8 << 20, 256
 #: Bytes of dense shingle columns, and pairs of members, that one group holds at once.
 SLAB, BLOCK = 16 << 20, 1 << 20
 
@@ -384,7 +384,7 @@ def classes(docs: DataFrame, chunk: int = CHUNK, group_bytes: int = GROUP_BYTES)
     ).where("members > 1")
     apart = crowded.groupBy("members", "d1", "d2").agg(F.min(F.struct("band", "bucket", "volume")).alias("of")).select("of.band", "of.bucket", "of.volume", "members")
     n = F.ceil(F.col("members") / F.lit(chunk)).cast("int")
-    cuts = F.ceil(F.col("volume") * 8 / F.lit(group_bytes)).cast("int")
+    cuts = F.greatest(F.ceil(F.col("volume") * 8 / F.lit(group_bytes)), F.ceil(F.col("members") / F.lit(GROUP_MEMBERS))).cast("int")
     met = (
         spread.join(apart, ["band", "bucket"]).select("key", "band", "bucket", cuts.alias("cuts"), n.alias("n"), F.pmod(F.xxhash64("key"), n).cast("int").alias("own"))
         .select("key", "band", "bucket", "cuts", "own", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("other"))
