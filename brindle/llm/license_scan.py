@@ -98,7 +98,8 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, text: str = "te
     """``docs`` plus ``licenses``: an array of (license, word, end), the words from the first to the last shingle met."""
     docs = shaped(docs, [text], ["licenses"])
     spark = docs.sparkSession
-    rows = spark.createDataFrame(list(templates.items()), "name string, t string") if templates else spark.createDataFrame([], "name string, t string")
+    given = _quoted(json.dumps([{"name": k, "t": t} for k, t in templates.items()]))
+    rows = spark.range(1, numPartitions=1).select(F.expr(f"inline(from_json({given}, 'array<struct<name:string,t:string>>'))"))
     told = rows.select("name", F.expr(f"array_distinct({_shingles('t')})").alias("s")).select("name", "s", F.expr(_minima("s")).alias("b")).collect()
     if short := [r["name"] for r in told if not r["s"]]:
         raise ValueError(f"templates of fewer than {SHINGLE} words: {short}")

@@ -59,7 +59,7 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def url_block_list(pages: DataFrame) -> DataFrame:
-    fixed = pages.sparkSession.createDataFrame([(b,) for b in URL_BLOCK_LIST], "domain string")
+    fixed = pages.sparkSession.range(1, numPartitions=1).select(F.explode(F.array(*map(F.lit, URL_BLOCK_LIST))).alias("domain"))
     return fixed.union(pages.select(url_filter.host_of().alias("domain")).where(F.startswith("domain", F.lit("m."))).distinct())
 
 
