@@ -1,5 +1,5 @@
 """Column functions that Spark lacks, as expressions of built-in ones."""
 
-from brindle.functions.columns import bucket_of, cosine, dot, exact_share, norm, null_if_blank
+from brindle.functions.columns import cosine, dot, exact_share, norm
 
-__all__ = ["bucket_of", "cosine", "dot", "exact_share", "norm", "null_if_blank"]
+__all__ = ["cosine", "dot", "exact_share", "norm"]

@@ -28,15 +28,6 @@ def cosine(a: ColumnLike, b: ColumnLike) -> Column:
     return F.try_divide(dot(a, b), norm(a) * norm(b))
 
 
-def bucket_of(c: ColumnLike, width: float) -> Column:
-    """The number of the interval of ``width`` that holds ``c``, counted from 0."""
-    return F.floor(_column(c) / F.lit(width)).cast("bigint")
-
-
 def exact_share(part: ColumnLike, whole: ColumnLike) -> Column:
     """``part / whole`` as a double, null where ``whole`` is 0."""
     return F.try_divide(_column(part).cast("double"), _column(whole).cast("double"))
-
-
-def null_if_blank(c: ColumnLike) -> Column:
-    return F.nullif(F.trim(_column(c)), F.lit(""))

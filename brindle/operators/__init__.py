@@ -2,6 +2,6 @@
 
 from brindle.operators.events import deduplicated_latest, gap_filled, sessions
 from brindle.operators.joins import as_of_join, range_join, salted_join, sized_join
-from brindle.operators.ranking import top_per_group
+from brindle.operators.ranking import exact_quantiles, top_per_group
 
-__all__ = ["as_of_join", "deduplicated_latest", "gap_filled", "range_join", "salted_join", "sessions", "sized_join", "top_per_group"]
+__all__ = ["as_of_join", "deduplicated_latest", "exact_quantiles", "gap_filled", "range_join", "salted_join", "sessions", "sized_join", "top_per_group"]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pyspark.sql.functions as F
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 
 
 def sessions(events: DataFrame, by: Sequence[str], time: str, gap: str, *aggregates: Column) -> DataFrame:
@@ -23,13 +23,11 @@ def deduplicated_latest(rows: DataFrame, by: Sequence[str], order: Sequence[str]
 
 
 def gap_filled(counts: DataFrame, by: Sequence[str], time: str, step: str, value: str) -> DataFrame:
-    """``counts`` with a row for every ``step`` between a key's first and last time; new values are null."""
+    """``counts`` with a row for every ``step`` between a key's first and last time; new values are null.
+
+    Times are made in blocks of 1,000 steps, so that no row holds the whole span of a key.
+    """
     span = counts.groupBy(*by).agg(F.min(time).alias("_a"), F.max(time).alias("_b"))
-    grid = span.select(*by, F.explode(F.sequence("_a", "_b", F.expr(f"interval {step}"))).alias(time))
+    blocks = span.select(*by, "_b", F.explode(F.expr(f"sequence(_a, _b, (interval {step}) * 1000)")).alias("_a"))
+    grid = blocks.select(*by, F.explode(F.expr(f"sequence(_a, least(_b, _a + (interval {step}) * 999), interval {step})")).alias(time))
     return grid.join(counts.select(*by, time, value), [*by, time], "left")
-
-
-def running(rows: DataFrame, by: Sequence[str], order: Sequence[str], value: str, name: str) -> DataFrame:
-    """A running sum per key."""
-    w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return rows.withColumn(name, F.sum(value).over(w))

@@ -56,6 +56,11 @@ def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], salts: int
 
 
 def sized_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner", max_bytes: int = MAX_BROADCAST) -> DataFrame:
-    """A join that broadcasts ``right`` if the planner's own size estimate stays within ``max_bytes``."""
-    size = int(str(right._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return left.join(F.broadcast(right) if size <= max_bytes else right, list(on), how)
+    """A join that broadcasts ``right`` if it is found to stay within ``max_bytes``.
+
+    The planner's estimate comes from compressed files, so where it fits the rows are measured as well.
+    """
+    small = int(str(right._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= max_bytes
+    if small:
+        small = (right.select(F.sum(F.length(F.to_json(F.struct("*"))))).first()[0] or 0) <= max_bytes
+    return left.join(F.broadcast(right) if small else right, list(on), how)

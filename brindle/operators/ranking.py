@@ -1,8 +1,8 @@
-"""Top rows per group."""
+"""Top rows and exact quantiles per group."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 import pyspark.sql.functions as F
 from pyspark.sql import Column, DataFrame, Window
@@ -12,3 +12,26 @@ def top_per_group(rows: DataFrame, by: Sequence[str], order: Sequence[Column], k
     """The first ``k`` rows of each group; the planner limits groups before it shuffles them (WindowGroupLimit)."""
     w = Window.partitionBy(*by).orderBy(*order)
     return rows.withColumn(name, F.row_number().over(w)).where(F.col(name) <= k)
+
+
+def exact_quantiles(rows: DataFrame, by: Sequence[str], value: str, shares: Mapping[str, float], buckets: int = 1024) -> DataFrame:
+    """Interpolated quantiles of a group, by name; nulls are left out.
+
+    Values are counted in ``buckets`` equal ranges of their group, and only the
+    ranges that hold a wanted rank are sorted, so no task holds a group.
+    """
+    rows = rows.where(F.col(value).isNotNull()).select(*by, F.col(value).alias("_v"))
+    ends = rows.groupBy(*by).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.count(F.lit(1)).alias("_n"))
+    placed = F.floor((F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * buckets)
+    dealt = rows.join(ends, list(by)).withColumn("_b", F.when(F.col("_hi") > F.col("_lo"), F.least(placed, F.lit(buckets - 1))).otherwise(0).cast("int"))
+    counts = dealt.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_m"), F.max("_n").alias("_n"))
+    before = F.sum("_m").over(Window.partitionBy(*by).orderBy("_b")) - F.col("_m")  # at most ``buckets`` rows a group
+    wanted = F.explode(F.array(*[F.struct(F.lit(k).alias("name"), (F.lit(float(p)) * (F.col("_n") - 1)).alias("at")) for k, p in shares.items()]))
+    ranks = counts.withColumn("_before", before).withColumn("_w", wanted).where("_before <= ceil(_w.at) AND _before + _m > floor(_w.at)")
+    near = ranks.select(*by, "_b", "_before", "_w").join(dealt.select(*by, "_b", "_v"), [*by, "_b"])
+    rank = F.row_number().over(Window.partitionBy(*by, "_b", "_w").orderBy("_v")) - 1 + F.col("_before")
+    near = near.withColumn("_r", rank)
+    low, high = (F.max(F.when(F.col("_r") == f(F.col("_w.at")), F.col("_v"))) for f in (F.floor, F.ceil))
+    got = near.groupBy(*by, "_w").agg(low.alias("_x"), high.alias("_y"))
+    named = F.col("_x") + (F.col("_w.at") - F.floor(F.col("_w.at"))) * (F.col("_y") - F.col("_x"))
+    return got.withColumn("_q", named).groupBy(*by).agg(*[F.max(F.when(F.col("_w.name") == k, F.col("_q"))).alias(k) for k in shares])

@@ -10,11 +10,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+import pandas as pd
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession, Window
 
 from brindle.functions import cosine, exact_share
-from brindle.operators import as_of_join, deduplicated_latest, gap_filled, range_join, salted_join, sessions, sized_join, top_per_group
+from brindle.operators import as_of_join, deduplicated_latest, exact_quantiles, gap_filled, range_join, salted_join, sessions, sized_join, top_per_group
 from brindle.sources import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,13 +82,10 @@ SELECT event_type, count(DISTINCT user_id) AS users, count(*) FILTER (WHERE valu
 FROM events GROUP BY event_type
 """)
 def event_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").groupBy("event_type").agg(
-        F.countDistinct("user_id").alias("users"),
-        F.count_if(F.col("value") > 50).alias("large"),
-        F.round(F.median("value"), 4).alias("mid"),
-        F.round(F.stddev_samp("value"), 6).alias("spread"),
-        F.round(F.percentile("value", 0.9), 4).alias("p90"),
-    )
+    events = table(spark, sf_dir, "events").select("event_type", "user_id", "value")
+    got = events.groupBy("event_type").agg(F.countDistinct("user_id").alias("users"), F.count_if(F.col("value") > 50).alias("large"), F.round(F.stddev_samp("value"), 6).alias("spread"))
+    ranked = exact_quantiles(events, ["event_type"], "value", {"mid": 0.5, "p90": 0.9})
+    return got.join(ranked, "event_type", "left").select("event_type", "users", "large", F.round("mid", 4).alias("mid"), "spread", F.round("p90", 4).alias("p90"))
 
 
 @query("""
@@ -223,6 +221,15 @@ def hourly_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select(F.col("w.start").alias("hour"), "event_type", "n", "total")
 
 
+@query("""
+SELECT start, event_type, count(*) AS n FROM (
+  SELECT unnest([b, b - INTERVAL 30 MINUTE]) AS start, event_type FROM (SELECT time_bucket(INTERVAL 30 MINUTE, ts) AS b, event_type FROM events)) GROUP BY ALL
+""")
+def sliding_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = table(spark, sf_dir, "events").groupBy(F.window("ts", "1 hour", "30 minutes").alias("w"), "event_type").agg(F.count(F.lit(1)).alias("n"))
+    return got.select(F.col("w.start").alias("start"), "event_type", "n")
+
+
 @query("""
 WITH d AS (SELECT event_type, date_trunc('day', ts)::TIMESTAMP AS day, count(*) AS n FROM events WHERE value > 90 GROUP BY ALL),
 g AS (SELECT event_type, unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS day FROM d GROUP BY event_type)
@@ -327,11 +334,39 @@ def return_share(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH RECURSIVE turns AS (
-  SELECT conv_id, turn, role, CAST(length(text) AS BIGINT) AS chars FROM conversations)
+WITH turns AS (SELECT conv_id, turn, role, CAST(length(text) AS BIGINT) AS chars FROM conversations)
 SELECT conv_id, count(*) AS turns, sum(chars)::BIGINT AS chars, string_agg(role, '>' ORDER BY turn) AS roles FROM turns GROUP BY conv_id
 """)
 def conversation_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", F.length("text").cast("bigint").alias("chars"))
     ordered = F.array_sort(F.collect_list(F.struct("turn", "role")))
     return turns.groupBy("conv_id").agg(F.count(F.lit(1)).alias("turns"), F.sum("chars").alias("chars"), F.array_join(ordered["role"], ">").alias("roles"))
+
+
+_GIVEN = "(VALUES (1, NULL, 'a'), (1, 2, NULL), (2, NULL, ''), (NULL, 3, 'b'), (NULL, NULL, NULL)) AS t(k, v, s)"
+
+
+@query(f"""
+SELECT k, count(*) AS n, count(v) AS some, CAST(sum(v) AS BIGINT) AS total, max(s) AS last, count(*) FILTER (WHERE v > 1) AS more,
+  count(*) FILTER (WHERE NOT (v > 1)) AS less, count(*) FILTER (WHERE k IN (SELECT v FROM {_GIVEN})) AS met FROM {_GIVEN} GROUP BY k
+""")
+def null_semantics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nulls in grouping, aggregates, filters and a semi-join, on rows of its own: the tables hold none."""
+    given = spark.sql(f"SELECT * FROM {_GIVEN}")
+    met = given.join(given.select(F.col("v").alias("k")), "k", "left_semi").groupBy("k").agg(F.count(F.lit(1)).alias("met"))
+    got = given.groupBy("k").agg(
+        F.count(F.lit(1)).alias("n"), F.count("v").alias("some"), F.sum("v").cast("bigint").alias("total"), F.max("s").alias("last"),
+        F.count_if(F.col("v") > 1).alias("more"), F.count_if(~(F.col("v") > 1)).alias("less"),
+    )
+    return got.join(met, "k", "left").withColumn("met", F.coalesce("met", F.lit(0).cast("bigint")))
+
+
+@query("SELECT p_partkey, CAST(CASE WHEN p_partkey > 0 THEN 1 + (p_partkey - 1) % 9 ELSE 0 END AS BIGINT) AS root FROM part")
+def part_digit_roots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A Python function over Arrow batches, as a user would bring one."""
+
+    @F.pandas_udf("bigint")
+    def root(keys: pd.Series) -> pd.Series:
+        return (1 + (keys - 1) % 9).where(keys > 0, 0)
+
+    return table(spark, sf_dir, "part").select("p_partkey", root("p_partkey").alias("root"))

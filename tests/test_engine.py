@@ -98,3 +98,41 @@ def test_stream_totals_equal_batch(spark, data, stream):
 def test_stream_deduplication(spark, data, stream):
     got = drained(streaming.deduplicated(streaming.event_time(stream(), "ts", "60 days"), ["user_id"]))
     assert got.count() == spark.read.parquet(f"{data}/events.parquet").select("user_id").distinct().count()
+
+
+def test_stream_sessions_equal_batch(spark, data, stream):
+    got = drained(streaming.session_counts(streaming.event_time(stream(1), "ts", "1 hour"), "ts", "30 minutes", ["user_id"]))
+    batch = streaming.session_counts(spark.read.parquet(f"{data}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp")), "ts", "30 minutes", ["user_id"])
+    assert got.exceptAll(batch).isEmpty() and got.count() >= batch.count() - 10
+
+
+def test_stream_join_equals_batch(spark, data, stream):
+    one = streaming.event_time(stream(1), "ts", "1 hour")
+    clicks = one.where("event_type = 'click'").select("user_id", "ts")
+    buys = one.where("event_type = 'purchase'").select("user_id", F.col("ts").alias("at"))
+    got = drained(streaming.stream_join(clicks, buys, "user_id", "ts", "at", "1 day").select("a.user_id", "ts", "at"))
+    events = spark.read.parquet(f"{data}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    b = events.where("event_type = 'purchase'").select("user_id", F.col("ts").alias("at"))
+    want = events.where("event_type = 'click'").select("user_id", "ts").join(b, "user_id").where("at >= ts AND at <= ts + interval 1 day")
+    assert got.exceptAll(want.select("user_id", "ts", "at")).isEmpty() and got.count() == want.count()
+
+
+def test_text_and_binary_files_and_views(spark, data, tmp_path):
+    sources.write(spark.createDataFrame([("a",), ("é b",)], "value string"), str(tmp_path / "t"), "text")
+    assert sorted(r.value for r in sources.read(spark, str(tmp_path / "t"), "text").collect()) == ["a", "é b"]
+    assert b"".join(sorted(bytes(r.content) for r in sources.read(spark, str(tmp_path / "t"), "binaryFile", pathGlobFilter="*.txt").collect())) == "a\né b\n".encode()
+    sources.register(spark, data, ["region"])
+    assert spark.sql("SELECT count(*) FROM region").first()[0] == 5
+
+
+def test_exact_quantiles_equal_percentile(spark):
+    df = spark.createDataFrame([(i % 3 or None, float(i * i % 97)) for i in range(200)] + [(7, 1.0), (8, None), (9, 2.0), (9, 2.0)], "k int, v double")
+    got = {r.k: (r.a, r.b) for r in operators.exact_quantiles(df.where("k IS NOT NULL"), ["k"], "v", {"a": 0.5, "b": 0.9}, 8).collect()}
+    want = {r.k: (r.a, r.b) for r in df.where("k IS NOT NULL AND v IS NOT NULL").groupBy("k").agg(F.percentile("v", 0.5).alias("a"), F.percentile("v", 0.9).alias("b")).collect()}
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
+
+
+def test_gaps_over_blocks(spark):
+    df = spark.sql("SELECT 1 AS k, timestamp_ntz'2000-01-01' AS day, 5L AS n UNION ALL SELECT 1, timestamp_ntz'2008-01-01', 6L UNION ALL SELECT 2, timestamp_ntz'2001-01-01', 7L")
+    got = operators.gap_filled(df, ["k"], "day", "1 day", "n")
+    assert got.count() == 2923 + 1 and got.select("k", "day").distinct().count() == 2924 and got.where("n IS NOT NULL").count() == 3
