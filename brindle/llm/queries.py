@@ -101,6 +101,7 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(docs).select(
         "doc_id", "n_email", "n_ip", "n_card", "n_phone",
         F.sha2(pii.listed("base").cast("binary"), 256).alias("base_sha256"), pii.listed("found").alias("spans"),
+        F.size("found").cast("bigint").alias("n_spans"),
     )
 
 
