@@ -470,7 +470,7 @@ def _beside(pages: DataFrame, known: DataFrame, columns: list[str], max_bytes: i
 
     ``known``: (host, html, nodes, texts), broadcast if its size is within bounds, else joined.
     """
-    size = known.agg(F.sum(F.length("html") + F.length("host") + 16 * F.size("nodes"))).first()[0] or 0
+    size = known.agg(F.sum(F.octet_length("html") + F.octet_length("host") + 16 * F.size("nodes"))).first()[0] or 0
     part = F.struct("html", "nodes", "texts")
     if size <= max_bytes:
         sent = pages.sparkSession.sparkContext.broadcast({r["host"]: r[1] for r in known.select("host", part).toLocalIterator()})
