@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import pyspark.sql.functions as F
 from pyspark.sql import Column, DataFrame, Window
@@ -11,19 +11,34 @@ from pyspark.sql import Column, DataFrame, Window
 MAX_BROADCAST = 64 << 20
 
 
-def as_of_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_time: str, right_time: str, prefix: str = "right_") -> DataFrame:
+def as_of_join(
+    left: DataFrame, right: DataFrame, by: Sequence[str], left_time: str, right_time: str, prefix: str = "right_", slots: Callable[[Column], Column] | None = None
+) -> DataFrame:
     """Each left row with the latest right row of its key at or before its time; all left rows stay.
 
     Both sides are stacked and one window per key carries the last right row
     forward as a struct, so null payloads are carried as they are. One shuffle, no
-    pairs. Keys whose rows outgrow a task's sort spill to disk.
+    pairs.
+
+    ``slots``, a function of time that never falls (such as the date), cuts keys
+    with very many rows: windows then run per key and slot, each of which begins
+    with the last right row of the slots before. Those rows come from a partial
+    aggregate, one per key and slot, so only they meet by key alone. The result
+    does not depend on it. Among right rows of a key at one time any may be taken.
     """
     payload = [c for c in right.columns if c not in by]
     a = left.select(*by, F.col(left_time).alias("_at"), F.struct(*left.columns).alias("_left"), F.lit(None).alias("_right"), F.lit(1).alias("_side"))
-    b = right.select(*by, F.col(right_time).alias("_at"), F.lit(None).alias("_left"), F.struct(*payload).alias("_right"), F.lit(0).alias("_side"))
-    w = Window.partitionBy(*by).orderBy("_at", "_side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    met = a.unionByName(b).where(F.col("_at").isNotNull() | (F.col("_side") == 1))
-    met = met.withColumn("_last", F.last("_right", ignorenulls=True).over(w)).where("_side = 1")
+    b = right.where(F.col(right_time).isNotNull()).select(*by, F.col(right_time).alias("_at"), F.lit(None).alias("_left"), F.struct(*payload).alias("_right"), F.lit(0).alias("_side"))
+    every, parts = a.unionByName(b), list(by)
+    if slots is not None:
+        parts = [*by, "_slot"]
+        every = every.withColumn("_slot", slots(F.col("_at")))
+        ends = every.where(F.col("_at").isNotNull()).groupBy(*parts).agg(F.max_by("_right", F.when(F.col("_side") == 0, F.col("_at"))).alias("_end"))
+        before = Window.partitionBy(*by).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+        begins = ends.select(*parts, F.last("_end", ignorenulls=True).over(before).alias("_right"), F.lit(-1).alias("_side")).where(F.col("_right").isNotNull())
+        every = every.unionByName(begins, allowMissingColumns=True)
+    w = Window.partitionBy(*parts).orderBy(F.expr("_side >= 0"), "_at", "_side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    met = every.withColumn("_last", F.last("_right", ignorenulls=True).over(w)).where("_side = 1")
     matched = F.when(F.col("_at").isNotNull(), F.col("_last"))
     return met.select(*[F.col(f"_left.{c}").alias(c) for c in left.columns], *[matched[c].alias(prefix + c) for c in payload])
 

@@ -156,7 +156,7 @@ ON c.user_id = p.user_id AND c.ts >= p.ts
 def last_purchase_before_click(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
     clicks, purchases = (events.where(F.col("event_type") == k).drop("event_type") for k in ("click", "purchase"))
-    met = as_of_join(clicks, purchases, ["user_id"], "ts", "ts")
+    met = as_of_join(clicks, purchases, ["user_id"], "ts", "ts", slots=F.to_date)
     return met.select("event_id", "user_id", F.col("right_event_id").alias("purchase_id"), F.col("right_value").alias("purchase_value"))
 
 

@@ -37,6 +37,16 @@ def test_as_of_join_keeps_nulls_and_ties(spark):
     assert got == {"a": (5, None), "b": (None, None), "c": (None, None), "d": (None, None), "e": (None, None)}
 
 
+@pytest.mark.parametrize("width", [1, 3, 50])
+def test_as_of_join_by_slots_equals_one_window_a_key(spark, width):
+    left = spark.createDataFrame([(k, t, f"{k}-{t}") for k in (1, 2, 3, None) for t in (None, -5, *range(0, 40, 3))], "k int, t int, x string")
+    right = spark.createDataFrame([(1, t, f"r{t}" if t % 2 else None) for t in range(-4, 20, 5)] + [(2, 30, "late"), (None, 2, "n"), (1, None, "never"), (4, 1, "z")], "k int, t int, y string")
+    rows = lambda slots: sorted(map(str, operators.as_of_join(left, right, ["k"], "t", "t", slots=slots).collect()))
+    got = rows(lambda t: F.floor(t / width))
+    assert len(got) == left.count() and got == rows(None)
+    assert rows(lambda t: F.lit(0)) == got
+
+
 def test_range_join_does_not_depend_on_width(spark):
     points = spark.createDataFrame([(i / 3,) for i in range(-30, 60)], "x double")
     ranges = spark.createDataFrame([(i, i - 4.0, i - 4.0 + i % 5) for i in range(12)] + [(99, 5.0, 1.0), (98, None, 1.0)], "k int, a double, b double")
