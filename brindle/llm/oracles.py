@@ -141,3 +141,69 @@ best AS (SELECT DISTINCT doc_id, string_split(name, '#')[1] AS license FROM foun
 listed AS (SELECT doc_id, count(*) AS n, string_agg(license, ',' ORDER BY license) AS l FROM best GROUP BY doc_id)
 SELECT doc_id, coalesce(n, 0) AS n_licenses, coalesce(l, '') AS licenses FROM documents LEFT JOIN listed USING (doc_id)
 """
+
+
+#: Failures of each text by letter, then every order of the five filters over counts by set of failures.
+FILTER_AUDIT = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(text, '') AS text, coalesce(source, '') AS part, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), known AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+), failed AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+    CASE WHEN len(w) < 50 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 'B' ELSE '' END
+    || CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text) THEN 'C' ELSE '' END
+    || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END
+    || CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY text) THEN 'E' ELSE '' END AS fails
+  FROM d LEFT JOIN known USING (doc_id)
+), counts AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic FROM failed GROUP BY part, fails
+), letters(f) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')), orders(o) AS (
+  SELECT f FROM letters UNION ALL SELECT o || f FROM orders, letters WHERE instr(o, f) = 0
+), steps AS (
+  SELECT o, i AS step, o[i:i] AS f, o[1:i - 1] AS before FROM (SELECT o, unnest(range(1, 6)) AS i FROM orders WHERE length(o) = 5)
+), audit AS (
+  SELECT part, o AS filter_order, step, f,
+    sum(n) FILTER (WHERE translate(fails, before || f, '') = fails) AS kept,
+    sum(n) FILTER (WHERE instr(fails, f) > 0 AND translate(fails, before, '') = fails) AS removed,
+    sum(n) FILTER (WHERE instr(fails, f) > 0 AND translate(fails, before, '') <> fails) AS redundant,
+    sum(n) FILTER (WHERE fails = f) AS unique_fails,
+    sum(good) FILTER (WHERE instr(fails, f) > 0 AND translate(fails, before, '') = fails) AS good_lost,
+    sum(toxic) FILTER (WHERE instr(fails, f) > 0 AND translate(fails, before, '') = fails) AS toxic_lost
+  FROM counts, steps GROUP BY ALL
+)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(coalesce(kept, 0) AS BIGINT) AS kept, CAST(coalesce(removed, 0) AS BIGINT) AS removed,
+  CAST(coalesce(redundant, 0) AS BIGINT) AS redundant, CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails, CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost,
+  CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost, CAST(sum(coalesce(removed, 0)) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM audit
+"""
+
+
+def code_compression(rounds: int = 4) -> str:
+    """Lloyd's rounds written out, over all distances; sums of squares are whole and far under 2^53."""
+    assigned = """a{k} AS MATERIALIZED (
+  SELECT vec_id, part, v, vv, min(CAST(vv - 2 * list_dot_product(v, c) + cc AS BIGINT) * 256 + e) AS best FROM parts JOIN c{k} USING (part) GROUP BY ALL)"""
+    moved = """c{n} AS MATERIALIZED (
+  SELECT part, e, c, list_dot_product(c, c) AS cc FROM (
+    SELECT c{k}.part, c{k}.e, coalesce(m, c) AS c FROM c{k} LEFT JOIN (
+      SELECT part, e, list(q ORDER BY i) AS m FROM (
+        SELECT part, e, i, floor(CAST(sum(CAST(x AS BIGINT)) AS DOUBLE) / count(*)) AS q
+        FROM (SELECT part, best % 256 AS e, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM a{k}) GROUP BY part, e, i) GROUP BY part, e) USING (part, e)))"""
+    steps = ",\n".join(assigned.format(k=k) + ",\n" + moved.format(k=k, n=k + 1) for k in range(rounds))
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS MATERIALIZED (
+  SELECT *, list_dot_product(v, v) AS vv FROM (
+    SELECT vec_id, part, v[part * len(v) // 4 + 1:(part + 1) * len(v) // 4] AS v FROM kept, (SELECT unnest(range(4)) AS part))
+), c0 AS MATERIALIZED (
+  SELECT part, e, v AS c, vv AS cc FROM parts JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept ORDER BY vec_id LIMIT 256) USING (vec_id)
+), {steps},
+{assigned.format(k=rounds)},
+coded AS (SELECT vec_id, string_agg(format('{{:02x}}', best % 256), '' ORDER BY part) AS code, CAST(sum(best // 256) AS BIGINT) AS error FROM a{rounds} GROUP BY vec_id),
+books AS (
+  SELECT sha256(string_agg(CAST(CAST(x AS BIGINT) AS VARCHAR), ',' ORDER BY part, e, i)) AS h
+  FROM (SELECT part, e, unnest(c) AS x, generate_subscripts(c, 1) AS i FROM c{rounds}))
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256
+FROM coded JOIN kept USING (vec_id), books
+"""

@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from brindle.llm import (
     byte_bpe,
+    code_compression,
     decontamination,
+    filter_audit,
     html_extraction,
     jaccard_join,
     license_bank,
@@ -119,6 +121,14 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_code_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return code_compression.compressed(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Query]:
     every = (
         op1_html_extraction,
@@ -131,6 +141,8 @@ def queries() -> dict[str, Query]:
         op8_pii,
         op9_license_scan,
         op10_quality_rules,
+        op11_code_compression,
+        op13_filter_audit,
     )
     return {f.__name__: f for f in every}
 
@@ -143,5 +155,7 @@ def oracle_sql() -> dict[str, str]:
         "op5_line_dedup": oracles.LINE_DEDUP,
         "op6_decontamination": oracles.DECONTAMINATION,
         "op7_jaccard_join": oracles.JACCARD_JOIN,
+        "op11_code_compression": oracles.code_compression(),
+        "op13_filter_audit": oracles.FILTER_AUDIT,
         "op9_license_scan": oracles.license_bank_scan(license_bank.bank()),
     }
