@@ -207,3 +207,21 @@ books AS (
 SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256
 FROM coded JOIN kept USING (vec_id), books
 """
+
+
+#: Every window of 100 bytes, written as 200 hexadecimal digits, against all others.
+SUFFIX_DEDUP = """
+WITH d AS MATERIALIZED (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+windows AS (SELECT doc_id, s, md5(h[2 * s + 1:2 * s + 200]) AS m FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 99)) AS s FROM d WHERE len(h) >= 200)),
+later AS (SELECT doc_id, s FROM windows QUALIFY row_number() OVER (PARTITION BY m ORDER BY doc_id, s) > 1),
+fresh AS (SELECT doc_id, s, CASE WHEN s <= lag(s) OVER (PARTITION BY doc_id ORDER BY s) + 100 THEN 0 ELSE 1 END AS f FROM later),
+spans AS (SELECT doc_id, min(s) AS a, max(s) + 100 AS z FROM (SELECT doc_id, s, sum(f) OVER (PARTITION BY doc_id ORDER BY s) AS g FROM fresh) GROUP BY doc_id, g),
+cut AS (
+  SELECT doc_id, a, z, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before, row_number() OVER (PARTITION BY doc_id ORDER BY a DESC) = 1 AS last FROM spans),
+gone AS (
+  SELECT doc_id, CAST(sum(z - a) AS BIGINT) AS n_removed, count(*) AS n_spans,
+    string_agg(h[2 * before + 1:2 * a] || CASE WHEN last THEN h[2 * z + 1:] ELSE '' END, '' ORDER BY a) AS kept
+  FROM cut JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256
+FROM d LEFT JOIN gone USING (doc_id)
+"""

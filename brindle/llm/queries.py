@@ -21,6 +21,7 @@ from brindle.llm import (
     oracles,
     pii,
     quality_rules,
+    suffix_dedup,
     token_counts,
     url_filter,
 )
@@ -125,6 +126,13 @@ def op11_code_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return code_compression.compressed(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
 
 
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.deduplicated(docs).select(
+        "doc_id", "n_bytes", "n_removed", F.size("removed").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -142,6 +150,7 @@ def queries() -> dict[str, Query]:
         op9_license_scan,
         op10_quality_rules,
         op11_code_compression,
+        op12_suffix_dedup,
         op13_filter_audit,
     )
     return {f.__name__: f for f in every}
@@ -156,6 +165,7 @@ def oracle_sql() -> dict[str, str]:
         "op6_decontamination": oracles.DECONTAMINATION,
         "op7_jaccard_join": oracles.JACCARD_JOIN,
         "op11_code_compression": oracles.code_compression(),
+        "op12_suffix_dedup": oracles.SUFFIX_DEDUP,
         "op13_filter_audit": oracles.FILTER_AUDIT,
         "op9_license_scan": oracles.license_bank_scan(license_bank.bank()),
     }
