@@ -7,16 +7,19 @@ occurrence by rank stays and all others are removed. What stays keeps its
 offsets in the original text. Every unit that has a word counts; a caller may ask
 for ``min_words`` more.
 
-Short units repeat by chance, passages don't. So each document also gets, first
-occurrences included, the words of its units that occur in another document
-(``n_shared_words``) and of the longest run of such units, blank ones between them
-allowed (``passage_words``); over ``PASSAGE`` words it is a passage.
-
-Texts are read once for their digests, which are staged; only digests, ranks and
-positions move, and texts meet the removals once, by document. The winner of a digest is a minimum, combined on the map side, so a
-line that a third of all rows share costs one row per task; digests that occur
-once are filtered out before the join, and a hot digest's join is split by
-adaptive execution (an inner join with no order or grouping right above it).
+Short units repeat by chance, and passages begin and end inside lines. So sentences
+(``[^.!?\\n]+[.!?]*``, normalised alike) are grouped by digest too, and each document
+gets, first occurrences included, the words of its sentences that occur in another
+document (``n_shared_words``) and of the longest run of such sentences
+(``passage_words``). Of a passage of over 50 words its whole sentences are seen, so
+one of over ``PASSAGE`` words counts as a passage.
+
+Texts are read once for their digests, which are staged by document; only digests,
+ranks and positions move, and texts meet the removals once, by document. The winner
+of a digest is a minimum, combined on the map side, so a line that a third of all
+rows share costs one row per task; digests that occur once are filtered out before
+the join, and a hot digest's join is split by adaptive execution (an inner join with
+no order or grouping right above it).
 
 Defined results: rank is doc_id (nulls last), then the text's hash, then the
 unit's position; rows equal in doc_id and text are one document and all get its
@@ -29,39 +32,54 @@ like a result are replaced by it.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+import re
 
 import pyarrow as pa
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame
 
-from brindle.llm.common import appended, pieces, shaped, staged
+from brindle.llm.common import appended, shaped, staged
 
-#: Words that a run of shared units must exceed to count as a passage.
-PASSAGE = 50
+#: Words that a run of shared sentences must exceed to count as a passage of over 50 words, whose ends lie within sentences.
+PASSAGE = 40
 
 _SPANS = "array<struct<start:bigint,end:bigint>>"
 MADE = {"n_units": "bigint", "n_removed": "bigint", "removed": _SPANS, "kept": _SPANS, "n_shared_words": "bigint", "passage_words": "bigint", "clean": "string"}
 
 Spans = list[tuple[int, int]]
 
+_SENTENCE = re.compile(rb"[^.!?\n]+[.!?]*")
+
+
+def sentences(text: bytes) -> list[list[bytes]]:
+    """The words of each sentence that has one, A-Z lowered."""
+    return [words for found in _SENTENCE.findall(text) if (words := found.lower().split())]
+
+
+def passages(text: str, shared: list[int]) -> tuple[int, int]:
+    """Words of the sentences at the positions ``shared``, and of their longest run."""
+    if not shared:
+        return 0, 0
+    both = set(shared)
+    words = run = longest = 0
+    for i, sentence in enumerate(sentences(text.encode("utf-8", "surrogatepass"))):
+        if i in both:
+            words, run = words + len(sentence), run + len(sentence)
+            longest = max(longest, run)
+        else:
+            run = 0
+    return words, longest
+
 
 def rebuilt(text: str | None, gone: list[int], shared: list[int], separator: str) -> tuple[int, int, Spans, Spans, int, int, str | None]:
-    """The results of MADE for a text, the positions of the units to remove and of those that other documents have."""
+    """The results of MADE for a text, the positions of the units to remove and of the sentences that other documents have."""
     if text is None:
         return 0, 0, [], [], 0, 0, None
     units = text.split(separator)
-    out, both, removed, kept = set(gone), set(shared), [], []
+    out, removed, kept = set(gone), [], []
     at, touching = 0, False
-    words = run = longest = 0
     for i, unit in enumerate(units):
         end = at + len(unit)
-        if i in both:
-            n = len(unit.encode("utf-8", "surrogatepass").split())
-            words, run = words + n, run + n
-            longest = max(longest, run)
-        elif run and unit.encode("utf-8", "surrogatepass").strip():
-            run = 0
         if i in out:
             removed.append((at, end))
             touching = False
@@ -72,49 +90,48 @@ def rebuilt(text: str | None, gone: list[int], shared: list[int], separator: str
                 kept.append((at, end))
             touching = True
         at = end + len(separator)
-    return len(units), len(removed), removed, kept, words, longest, separator.join(text[s:e] for s, e in kept)
+    return len(units), len(removed), removed, kept, *passages(text, shared), separator.join(text[s:e] for s, e in kept)
+
 
+def _digest(words: list[bytes]) -> bytes:
+    return hashlib.md5(b" ".join(words), usedforsecurity=False).digest()
 
-def digests(texts: list[bytes | None], min_words: int, separator: bytes) -> tuple[list[int], list[int], list[bytes]]:
-    """Of each unit that counts: the number of its text, its position and the digest of its normal form."""
-    rows, places, found = [], [], []
-    for row, text in enumerate(texts):
-        for pos, unit in enumerate(text.split(separator) if text else ()):
-            words = unit.lower().split()  # bytes: A-Z and ASCII white space only
-            if len(words) >= min_words:
-                rows.append(row)
-                places.append(pos)
-                found.append(hashlib.md5(b" ".join(words), usedforsecurity=False).digest())
-    return rows, places, found
+
+def digests(text: bytes | None, min_words: int, separator: bytes) -> tuple[list[bytes | None], list[int]]:
+    """Of each unit the digest of its normal form, if it counts; 64-bit ones of all sentences."""
+    lines = [unit.lower().split() for unit in text.split(separator)] if text else []  # bytes: A-Z and ASCII white space only
+    found = [int.from_bytes(_digest(words)[:8], "little", signed=True) for words in sentences(text or b"")]
+    return [_digest(words) if len(words) >= min_words else None for words in lines], found
 
 
 def units(docs: DataFrame, min_words: int, separator: str) -> DataFrame:
-    """``doc_id``, ``text_hash``, ``pos`` and ``digest`` of each unit of ``min_words`` words or more."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in pieces(batch, 2):
-                rows, places, found = digests(part.column(2).to_pylist(), max(1, min_words), separator.encode())
-                taken = pa.array(rows, pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(taken), part.column(1).take(taken), pa.array(places, pa.int32()), pa.array(found, pa.binary())],
-                    names=["doc_id", "text_hash", "pos", "digest"],
-                )
+    """``doc_id``, ``text_hash`` and the digests of ``lines`` and ``sentences`` in order."""
+
+    def batch(column: pa.Array) -> list[list]:
+        rows = [digests(t, max(1, min_words), separator.encode()) for t in column.to_pylist()]
+        return [[r[0] for r in rows], [r[1] for r in rows]]
 
     source = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.encode("text", "UTF-8").alias("bytes"))
-    kind = source.schema["doc_id"].dataType.simpleString()
-    return source.mapInArrow(run, f"doc_id {kind}, text_hash bigint, pos int, digest binary")
+    return appended(source, {"lines": "array<binary>", "sentences": "array<bigint>"}, batch, "bytes").drop("bytes")
 
 
 def removals(docs: DataFrame, min_words: int = 1, separator: str = "\n") -> DataFrame:
-    """``doc_id``, ``text_hash``, ``gone`` and ``shared``: positions of units that occur earlier in the corpus, and in another document."""
+    """``doc_id``, ``text_hash``, ``gone`` (positions of units that occur earlier in the corpus) and ``shared`` (of sentences that another document has)."""
     every = staged(units(docs, min_words, separator), "units")
-    rank = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_hash", "pos")
-    ends = every.groupBy("digest").agg(F.min(rank).alias("first"), F.max(rank).alias("last")).where("first <> last")
-    apart = ~(F.col("first.doc_id").eqNullSafe(F.col("last.doc_id")) & (F.col("first.text_hash") == F.col("last.text_hash")))
-    ends = staged(ends.select("digest", "first", apart.alias("apart")), "first-units")  # with no aggregate beside it, the join can be split
-    met = every.join(ends, "digest").select("doc_id", "text_hash", "pos", (rank != F.col("first")).alias("later"), "apart").where("later OR apart")
-    return met.groupBy("doc_id", "text_hash").agg(F.collect_set(F.when(F.col("later"), F.col("pos"))).alias("gone"), F.collect_set(F.when(F.col("apart"), F.col("pos"))).alias("shared"))
+    key = ["doc_id", "text_hash"]
+    lines = every.select(*key, F.posexplode("lines").alias("pos", "digest")).where("digest IS NOT NULL")
+    rank = F.struct(F.col("doc_id").isNull().alias("nameless"), *key, "pos")
+    ends = lines.groupBy("digest").agg(F.min(rank).alias("first"), F.max(rank).alias("last")).where("first <> last")
+    firsts = staged(ends.select("digest", "first"), "first-units")  # with no aggregate beside it, the join can be split
+    later = lines.join(firsts, "digest").where(rank != F.col("first")).select(*key, "pos", F.lit(True).alias("line"))
+
+    pieces = every.select(*key, F.posexplode("sentences").alias("pos", "digest"))
+    document = F.xxhash64(*key)
+    apart = pieces.groupBy("digest").agg(F.min(document).alias("least"), F.max(document).alias("most")).where("least <> most")
+    common = staged(apart.select("digest"), "shared-sentences")
+    shared = pieces.join(common, "digest").select(*key, "pos", F.lit(False).alias("line"))
+    places = lambda of: F.collect_set(F.when(of, F.col("pos")))
+    return later.union(shared).groupBy(*key).agg(places(F.col("line")).alias("gone"), places(~F.col("line")).alias("shared"))
 
 
 def deduplicated(docs: DataFrame, min_words: int = 1, separator: str = "\n") -> DataFrame:

@@ -44,7 +44,7 @@ FROM parts LEFT JOIN (SELECT * FROM fits WHERE k = 1) f USING (page_id) LEFT JOI
 """
 
 
-#: Every unit that is not blank counts, however short; runs of shared units may hold blank ones.
+#: Every unit that is not blank counts, however short; passages are runs of sentences that other documents have.
 LINE_DEDUP = rf"""
 WITH units AS (
   SELECT doc_id, unnest(u) AS unit, generate_subscripts(u, 1) AS pos FROM (SELECT doc_id, string_split(text, chr(10)) AS u FROM documents)
@@ -53,20 +53,25 @@ WITH units AS (
     trim(regexp_replace(translate(unit, '{_UPPER}', '{_LOWER}'), '[\x20\x09-\x0D]+', ' ', 'g')) AS norm
   FROM units
 ), ranked AS (
-  SELECT *, norm <> '' AND row_number() OVER (PARTITION BY norm ORDER BY doc_id, pos) > 1 AS gone,
-    norm <> '' AND min(doc_id) OVER (PARTITION BY norm) <> max(doc_id) OVER (PARTITION BY norm) AS shared,
-    CASE WHEN norm <> '' THEN 1 + length(norm) - length(replace(norm, ' ', '')) ELSE 0 END AS n
-  FROM placed
+  SELECT *, norm <> '' AND row_number() OVER (PARTITION BY norm ORDER BY doc_id, pos) > 1 AS gone FROM placed
 ), runs AS (
-  SELECT *, sum(CASE WHEN shared OR norm = '' THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY pos) AS run,
-    sum(CASE WHEN gone THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY pos) AS cut FROM ranked
-), longest AS (SELECT doc_id, CAST(max(n) AS BIGINT) AS passage_words FROM (SELECT doc_id, run, sum(CASE WHEN shared THEN n ELSE 0 END) AS n FROM runs GROUP BY ALL) GROUP BY doc_id
+  SELECT *, sum(CASE WHEN gone THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY pos) AS cut FROM ranked
 ), kept AS (
   SELECT doc_id, string_agg(CAST(CAST(a AS BIGINT) AS VARCHAR) || ':' || CAST(CAST(z AS BIGINT) AS VARCHAR), ',' ORDER BY a) AS kept_spans
   FROM (SELECT doc_id, cut, min(start) AS a, max(start + length(unit)) AS z FROM runs WHERE NOT gone GROUP BY doc_id, cut) GROUP BY doc_id
+), sentences AS (
+  SELECT doc_id, pos, trim(regexp_replace(translate(x, '{_UPPER}', '{_LOWER}'), '[\x20\x09-\x0D]+', ' ', 'g')) AS norm
+  FROM (SELECT doc_id, unnest(x) AS x, generate_subscripts(x, 1) AS pos FROM (SELECT doc_id, regexp_extract_all(text, '[^.!?\n]+[.!?]*') AS x FROM documents))
+), met AS (
+  SELECT doc_id, pos, 1 + length(norm) - length(replace(norm, ' ', '')) AS n, min(doc_id) OVER (PARTITION BY norm) <> max(doc_id) OVER (PARTITION BY norm) AS shared
+  FROM sentences WHERE norm <> ''
+), numbered AS (SELECT *, sum(CASE WHEN shared THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY pos) AS run FROM met
+), longest AS (
+  SELECT doc_id, CAST(sum(n) AS BIGINT) AS n_shared_words, CAST(max(n) AS BIGINT) AS passage_words
+  FROM (SELECT doc_id, run, sum(n) AS n FROM numbered WHERE shared GROUP BY ALL) GROUP BY doc_id
 )
 SELECT doc_id, count(*) AS n_units, count(*) FILTER (WHERE gone) AS n_removed,
-  CAST(coalesce(sum(n) FILTER (WHERE shared), 0) AS BIGINT) AS n_shared_words, any_value(passage_words) AS passage_words, any_value(passage_words) > 50 AS has_passage,
+  coalesce(any_value(n_shared_words), 0) AS n_shared_words, coalesce(any_value(passage_words), 0) AS passage_words, coalesce(any_value(passage_words), 0) > 40 AS has_passage,
   coalesce(string_agg(CAST(CAST(start AS BIGINT) AS VARCHAR) || ':' || CAST(CAST(start + length(unit) AS BIGINT) AS VARCHAR), ',' ORDER BY pos) FILTER (WHERE gone), '') AS removed_spans,
   coalesce(any_value(kept_spans), '') AS kept_spans,
   coalesce(string_agg(unit, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '') AS text
