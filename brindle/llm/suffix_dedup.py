@@ -53,7 +53,7 @@ LENGTH, GRAM = 100, 24
 _POS = 20
 SLAB = (1 << _POS) - LENGTH
 #: Rows that a task folds at once, that one gram may have, and that are sorted at once.
-FOLD, LIMIT, ROWS = 1 << 20, 1 << 15, 1 << 15
+FOLD, LIMIT, ROWS = 1 << 20, 1 << 11, 1 << 15
 
 MADE = {"n_bytes": "bigint", "n_removed": "bigint", "removed": "array<struct<start:bigint,end:bigint>>", "kept": "binary"}
 
