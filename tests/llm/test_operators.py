@@ -117,6 +117,85 @@ def test_html_names_that_only_contain_a_boilerplate_word():
     assert [html_extraction.extract(x + "<p>own") for x in gone] == ["own"] * 4
 
 
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        ("<div class='search results'>a</div>", "a"),
+        ("<article><div class='related content'>a</div></article>", "a"),
+        ("<div class=content-with-sidebar>a</div>", "a"),
+        ("<div class=related-posts>a</div>", "a"),  # all that there is
+        ("<div class=comment-thread>a</div><p>own", "own"),
+        ("<div class=news-comments>a</div><p>own", "own"),
+        ("<div id=disqus_thread>a</div><p>own", "own"),
+        ("<article><p>own words of the story</p><article>first!</article><article>no, second</article></article>", "own words of the story"),
+        ("<div class=google-ads>a</div><p>own", "own"),
+        ("<ins class=adsbygoogle>a</ins><p>own", "own"),
+        ("<div class=cookie-law-info>a</div><p>own", "own"),
+        ("<div class=share-tools>a</div><p>own", "own"),
+        ("<ol class=breadcrumb-trail><li>a</ol><p>own", "own"),
+        ("<article><p>A long story of many words that goes on and on and does not end.</p></article><article><h2><a href=/x>More</a></h2></article>", "A long story of many words that goes on and on and does not end."),
+        ("<main><article><p>one story</p></article><article><p>one more</p></article></main>", "one story\none more"),
+        ("<article><article><p>wrapped</p></article></article>", "wrapped"),
+        ("<p>a</b></i><i>b<td></i>c</p>d", "ab\nc\nd"),
+        ("<a title='x>y' href=\"z\">k</a> <a title='never ends>l", "k l"),
+    ],
+)
+def test_html_declarations(html, text):
+    assert html_extraction.extract(html) == text
+
+
+def test_html_templates_overrule_what_pages_declare():
+    """Without its host's template each of these pages comes out otherwise."""
+    r = random.Random(5)
+    story = lambda i, n: f"story {i} " + " ".join(r.choice(["red", "green", "blue", "grey"]) for _ in range(n))
+    tips = [story(i, 3) for i in range(8)]
+    long = [story(i, 60) for i in range(8)]
+    outside = [f"<article><p>{a}</p></article><div><p>{b}</p></div>" for a, b in zip(tips, long, strict=True)]
+    assert [html_extraction.extract(p) for p in outside] == tips
+    t = html_extraction.template_of(outside)
+    assert t.whole and [html_extraction.extract(p, t) for p in outside] == [f"{a}\n{b}" for a, b in zip(tips, long, strict=True)]
+    weak = [f"<div class=search><p>{b}</p></div><p>{a}</p>" for a, b in zip(tips, long, strict=True)]
+    assert [html_extraction.extract(p) for p in weak] == tips
+    t = html_extraction.template_of(weak)
+    assert t.kept and [html_extraction.extract(p, t) for p in weak] == [f"{b}\n{a}" for a, b in zip(tips, long, strict=True)]
+    sure = [f"<div class=comments><p>{b}</p></div><p>{a}</p>" for a, b in zip(tips, long, strict=True)]
+    t = html_extraction.template_of(sure)
+    assert [html_extraction.extract(p, t) for p in sure] == tips
+    menus = [f"<ul>{''.join(f'<li><a href=/>tag {i} {k}</a>' for k in range(2 + i % 3))}</ul><p>{b}</p>" for i, b in enumerate(long)]
+    t = html_extraction.template_of(menus)
+    assert t.menus and not t.constants and [html_extraction.extract(p, t) for p in menus] == long
+    assert all(html_extraction.extract(p) != b for p, b in zip(menus, long, strict=True))
+
+
+def test_html_template_decides_in_the_table(spark):
+    rows = [(i, f"http://h.org/{i}", f"<article>tip {i}</article><ul><li><a>link {i}</a></ul><div>{f'word{i} ' * 50}</div><div>imprint</div>") for i in range(30)]
+    got = {r.page_id: r.text for r in html_extraction.extracted(spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(5)).collect()}
+    assert got == {i: f"tip {i}\n{' '.join([f'word{i}'] * 50)}" for i in range(30)}
+
+
+def test_html_long_pages_take_linear_time():
+    pages = {
+        "misnested": "<b>" * 50_000 + "</i>" * 50_000, "behind a wall": "<i><td>" + "<b>" * 50_000 + "</i>" * 50_000, "paragraphs": "<p><b>" * 50_000,
+        "items": "<ul>" + "<li><b>" * 40_000, "quotes": "<a b='" * 50_000, "unclosed": "<a " * 100_000, "odd quotes": '<a b="c" d=\'>' * 25_001, "closing": "</b '" * 60_000,
+    }
+    for name, page in pages.items():
+        began = time.process_time()
+        html_extraction.extract(page + "<p>end")
+        assert time.process_time() - began < 3, name  # 300 KB in about a second, however busy the machine
+
+
+def test_html_unlike_siblings_align_together():
+    def page(seed):
+        r = random.Random(seed)
+        return "".join(f"<div>{''.join(f'<{t}>{r.random()}</{t}>' for t in r.choices(['p', 'section', 'ul', 'div'], k=3))}</div>" for _ in range(800))
+
+    a, b = html_extraction.page_tree(page(1)), html_extraction.page_tree(page(2))
+    began = time.process_time()
+    score, pairs = html_extraction.matching(a, b)
+    assert time.process_time() - began < 3
+    assert score == len(pairs) and 1600 < score <= len(a.labels)
+
+
 @pytest.mark.parametrize("frame", ["<div>Home News Contact</div>{}<div>All rights reserved</div>", "<div><ul><li>Home<li>News</ul></div>{}<div><ul><li>Terms<li>All rights reserved</ul></div>"])
 def test_html_wrapper_sees_unclassed_menus_and_footers(frame):
     """Menus and footers are plain divs and lists among as many stories as a page has."""
