@@ -14,7 +14,7 @@ WITH blocks AS (
   FROM (SELECT page_id, url, string_split_regex(regexp_extract(coalesce(html, ''), '<article>(.*?)</article>', 1, 's'), '<h1>|<p>') AS b FROM pages)
 ), clean AS (
   SELECT page_id, url, pos, trim(regexp_replace(
-    replace(replace(replace(replace(replace(regexp_replace(block, '<[^>]*>', ' ', 'g'), '&quot;', '"'), '&#39;', ''''), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'),
+    regexp_replace(replace(replace(replace(replace(regexp_replace(block, '<[^>]*>', ' ', 'g'), '&quot;', '"'), '&#39;', ''''), '&lt;', '<'), '&gt;', '>'), '&amp;?', '&', 'g'),
     '\s+', ' ', 'g')) AS block
   FROM blocks
 ), texts AS (
@@ -25,16 +25,18 @@ SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM texts
 """
 
 
-def url_filter(rules: list[tuple[str, str, str]], block_list: list[str]) -> str:
+def url_filter(rules: list[tuple[str, str, str]], blocked: tuple[str, ...], domains: tuple[str, ...], mirrors: int) -> str:
     values = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in rules)
-    listed = ", ".join(f"('{b}')" for b in block_list)
+    names, of = (", ".join(f"('{x}')" for x in xs) for xs in (blocked, domains))
     return f"""
 WITH cut AS (
   SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
 ), parts AS (
   SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{_UPPER}', '{_LOWER}') AS host,
     regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM cut
-), rules(verdict, h, p) AS (VALUES {values}), listed(b) AS (VALUES {listed} UNION SELECT host FROM parts WHERE starts_with(host, 'm.')), fits AS (
+), rules(verdict, h, p) AS (VALUES {values}), listed AS (
+  SELECT name || CASE WHEN n > 0 THEN CAST(n AS VARCHAR) ELSE '' END || '.' || d AS b FROM (VALUES {names}) a(name), (VALUES {of}) b(d), range({mirrors}) r(n)
+), fits AS (
   SELECT page_id, h || p AS rule, verdict,
     row_number() OVER (PARTITION BY page_id ORDER BY length(h) DESC, length(p) DESC, verdict DESC) AS k
   FROM parts JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)

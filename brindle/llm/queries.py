@@ -34,7 +34,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
-#: Rules (verdict, host, path) and listed domains of the URL query, which also lists every mobile mirror (a host that begins with ``m.``).
+#: Rules (verdict, host, path) of the URL query; names, their numbered mirrors and the domains they stand under make its block list. Fixed values.
 URL_RULES = [
     ("allow", "com", "/"),
     ("block", "example.com", "/en/"),
@@ -42,14 +42,9 @@ URL_RULES = [
     ("block", "net", "/es/"),
     ("block", "net", "/fr/"),
 ]
-URL_BLOCK_LIST = [
-    "adult-x.example.net",
-    "ads-track.example.org",
-    "casino-win.example.org",
-    "cheap-pills.example.com",
-    "free-bets.example.com",
-    "spam-farm.example.org",
-]
+URL_BLOCKED = ("adult-x", "ads-track", "casino-win", "cheap-pills", "free-bets", "spam-farm")
+URL_DOMAINS = ("example.com", "example.net", "example.org")
+URL_MIRRORS = 1000
 
 
 def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,14 +56,17 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(byte_bpe.round_trip(docs, RANKS, public_tokenizers.PATTERN))
 
 
-def url_block_list(pages: DataFrame) -> DataFrame:
-    fixed = pages.sparkSession.range(1, numPartitions=1).select(F.explode(F.array(*map(F.lit, URL_BLOCK_LIST))).alias("domain"))
-    return fixed.union(pages.select(url_filter.host_of().alias("domain")).where(F.startswith("domain", F.lit("m."))).distinct())
+def url_block_list(spark: SparkSession) -> DataFrame:
+    """Every blocked name and its numbered mirrors ("spam-farm7") under each domain."""
+    each = lambda values: F.explode(F.array(*map(F.lit, values)))
+    numbers = spark.range(URL_MIRRORS).select(F.when(F.col("id") > 0, F.col("id").cast("string")).otherwise("").alias("n"))
+    names = numbers.select("n", each(URL_BLOCKED).alias("name")).select("n", "name", each(URL_DOMAINS).alias("of"))
+    return names.select(F.concat("name", "n", F.lit("."), "of").alias("domain"))
 
 
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    return url_filter.judge(pages, URL_RULES, url_block_list(pages)).select("page_id", "host", "path", "rule", "verdict")
+    return url_filter.judge(pages, URL_RULES, url_block_list(spark)).select("page_id", "host", "path", "rule", "verdict")
 
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -160,7 +158,7 @@ def oracle_sql() -> dict[str, str]:
     """For queries that SQL can express; tests hold the others against brute force."""
     return {
         "op1_html_extraction": oracles.HTML_EXTRACTION,
-        "op3_url_filter": oracles.url_filter(URL_RULES, URL_BLOCK_LIST),
+        "op3_url_filter": oracles.url_filter(URL_RULES, URL_BLOCKED, URL_DOMAINS, URL_MIRRORS),
         "op5_line_dedup": oracles.LINE_DEDUP,
         "op6_decontamination": oracles.DECONTAMINATION,
         "op7_jaccard_join": oracles.JACCARD_JOIN,

@@ -8,15 +8,18 @@ level that lacks it is odd, or if it passes all levels and their number is odd.
 Judging a row tests bits of constants: no join, and no shuffle.
 
 Levels are built from the distinct keys, which a partial aggregate makes before
-anything moves, so a host with a third of all pages costs one row per task. The
-bits of a level are gathered word by word with ``bit_or``. Level 0 passes a share
-sqrt(1/2) r / s of the s keys that aren't listed, for r listed ones, and each later
-level half, which makes the levels smallest together. Their total is bounded by
-``MAX_BITS``; beyond it nothing is collected, and ``judge`` looks hosts up by a
-join with the distinct keys instead.
+anything moves, so a host with a third of all pages costs one row per task. A level
+is one job: keys that pass all levels before set their bits, gathered word by word
+with ``bit_or``. Level 0 passes a share sqrt(1/2) r / s of the s keys that aren't
+listed, for r listed ones, and each later level half, which makes the levels
+smallest together; later levels are sized by these shares. After two levels, keys
+that pass all are written out once they are expected to be ``FEW`` at most. The
+total of bits is bounded by ``MAX_BITS``; beyond it nothing is collected, and
+``judge`` looks hosts up by a join with the distinct keys instead.
 
 The list is a DataFrame of domains. It meets the distinct hosts and their parent
-domains by a join, whose sides the planner sizes.
+domains, of no more labels than its longest domain has, by a join, whose sides the
+planner sizes.
 
 Rules come first: a rule (verdict, host, path) fits its host and all subdomains
 if the path of the url starts with the rule's path; the longest host and path
@@ -43,6 +46,8 @@ from brindle.llm.common import dropped, lower_ascii, shaped, staged
 MAX_BITS = 1 << 25
 #: Share of false positives of the levels after the first, and the most of the first.
 RATE = 0.5
+#: Keys that pass all levels and are written out instead of further levels.
+FEW = 512
 
 
 class TooLong(ValueError):
@@ -54,6 +59,7 @@ class Level:
     bits: int
     hashes: int
     words: str  # 64-bit words, as decimal numbers joined by commas
+    listed: tuple[str, ...] | None = None  # the last level: the listed among the keys that pass all others
 
 
 def _positions(key: Column, level: int, bits: int, hashes: int) -> list[Column]:
@@ -69,40 +75,54 @@ def _passes(key: Column, number: int, level: Level) -> Column:
     return out
 
 
-def cascade(keys: DataFrame, max_bits: int = MAX_BITS) -> list[Level]:
+def _remaining(key: Column, levels: list[Level]) -> Column:
+    out = F.lit(True)
+    for number, level in enumerate(levels):
+        out = out & _passes(key, number, level)
+    return out
+
+
+def cascade(keys: DataFrame, max_bits: int = MAX_BITS, few: int = FEW) -> list[Level]:
     """Levels for ``keys`` (key string, listed boolean), one row per key of the whole universe."""
+    keys = staged(keys.select("key", "listed"), "url-keys")
+    counts = {r["listed"]: r["n"] for r in keys.groupBy("listed").agg(F.count(F.lit(1)).alias("n")).collect()}
+    expected = {True: float(counts.get(True, 0)), False: float(counts.get(False, 0))}
     levels: list[Level] = []
     spent, side = 0, True
-    left = staged(keys.select("key", "listed"), "url-keys")
-    while True:
-        mine = left.where(F.col("listed") == side)
-        n = mine.count()
-        if n == 0:
-            dropped(left)
-            return levels
-        rate = RATE if levels else min(RATE, math.sqrt(0.5) * n / max(1, left.count() - n))
+    while expected[side]:
+        left = keys.where(_remaining(F.col("key"), levels))
+        if len(levels) > 1 and sum(expected.values()) <= few:
+            rows = left.limit(8 * few + 1).collect()
+            if len(rows) <= 8 * few:
+                levels.append(Level(0, 0, "", tuple(sorted(r["key"] for r in rows if r["listed"]))))
+                break
+        rate = RATE if levels else min(RATE, math.sqrt(0.5) * expected[True] / max(1.0, expected[False]))
+        n = max(1.0, expected[side])
         bits = max(1, math.ceil(-n * math.log(rate) / math.log(2) ** 2))
         hashes = max(1, round(bits / n * math.log(2)))
         spent += bits
         if spent > max_bits:
-            dropped(left)
-            raise TooLong(f"the cascade needs over {max_bits} bits for {n} keys at level {len(levels)}")
-        at = mine.select(F.explode(F.array(*_positions(F.col("key"), len(levels), bits, hashes))).alias("at"))
-        word = F.shiftright("at", 6).alias("word")
-        rows = at.groupBy(word).agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("bits")).collect()
+            dropped(keys)
+            raise TooLong(f"the cascade needs over {max_bits} bits for {n:.0f} keys at level {len(levels)}")
+        at = left.where(F.col("listed") == side).select(F.explode(F.array(*_positions(F.col("key"), len(levels), bits, hashes))).alias("at"))
+        rows = at.groupBy(F.shiftright("at", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("bits")).collect()
+        if not rows:
+            break
         words = ["0"] * (bits // 64 + 1)
         for r in rows:
             words[r["word"]] = str(r["bits"])
         levels.append(Level(bits, hashes, ",".join(words)))
-        kept = staged(left.where((F.col("listed") == side) | _passes(F.col("key"), len(levels) - 1, levels[-1])), "url-keys")
-        dropped(left)
-        left, side = kept, not side
+        expected[not side] *= rate
+        side = not side
+    dropped(keys)
+    return levels
 
 
 def listed_in(key: Column, levels: list[Level]) -> Column:
     """Whether a key of the universe is listed."""
-    out = F.lit(len(levels) % 2 == 1)
-    for number in range(len(levels) - 1, -1, -1):
+    last = levels[-1].listed if levels else None
+    out = F.lit(len(levels) % 2 == 1) if last is None else key.isin(*last) if last else F.lit(False)
+    for number in range(len(levels) - 1 - (last is not None), -1, -1):
         out = F.when(_passes(key, number, levels[number]), out).otherwise(F.lit(number % 2 == 1))
     return out
 
@@ -121,10 +141,9 @@ def _rest(url: str) -> Column:
     return F.when(at > 0, F.substr(F.col(url), at + 3))
 
 
-def suffixes(host: Column) -> Column:
-    """The host and all its parent domains."""
-    labels = F.split(host, r"\.", -1)
-    return F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.concat_ws(".", F.slice(labels, i, F.size(labels))))
+def suffixes(host: str, depth: int) -> Column:
+    """The last ``depth`` labels of a host, of the last one to all of them."""
+    return F.expr(f"transform(sequence(1, least({depth}, size(split({host}, '[.]', -1)))), i -> substring_index({host}, '.', -i))")
 
 
 def with_rules(pages: DataFrame, rules: list[tuple[str, str, str]]) -> DataFrame:
@@ -141,7 +160,10 @@ def universe(pages: DataFrame, block_list: DataFrame) -> DataFrame:
     """Every distinct host of ``pages`` and whether it, or a parent domain, is among the ``domain`` of ``block_list``."""
     hosts = shaped(pages, ["url"]).select(host_of().alias("key")).distinct()
     domains = shaped(block_list, ["domain"]).select(F.col("domain").alias("suffix"))
-    listed = hosts.select("key", F.explode(suffixes(F.col("key"))).alias("suffix")).join(domains, "suffix", "left_semi").select("key").distinct()
+    depth = domains.agg(F.max(F.size(F.split("suffix", "[.]", -1)))).first()[0] or 0
+    if not depth:
+        return hosts.select("key", F.lit(False).alias("listed"))
+    listed = hosts.select("key", F.explode(suffixes("key", depth)).alias("suffix")).join(domains, "suffix", "left_semi").select("key").distinct()
     return hosts.join(listed.withColumn("listed", F.lit(True)), "key", "left").select("key", F.coalesce("listed", F.lit(False)).alias("listed"))
 
 

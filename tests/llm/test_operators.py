@@ -324,15 +324,44 @@ def test_url_cascade_is_exact(spark):
         url_filter.cascade(spark.createDataFrame(keys, "key string, listed boolean"), max_bits=128)
 
 
+@pytest.mark.parametrize("few", [0, 40, 100_000])
+def test_url_cascade_ends_alike(spark, few):
+    keys = spark.range(20_000).select(F.concat(F.lit("h"), "id").alias("key"), (F.col("id") % 7 == 3).alias("listed"))
+    levels = url_filter.cascade(keys, few=few)
+    assert keys.where(url_filter.listed_in(F.col("key"), levels) != F.col("listed")).isEmpty()
+    assert len(levels) == 3 if few > 20_000 else len(levels) > 8
+
+
+def test_url_cascade_near_its_bound(spark):
+    keys = spark.range(60_000).select(F.concat(F.lit("h"), "id").alias("key"), (F.col("id") < 20_000).alias("listed"))
+    total = sum(x.bits for x in url_filter.cascade(keys))
+    levels = url_filter.cascade(keys, max_bits=total)
+    assert keys.where(url_filter.listed_in(F.col("key"), levels) != F.col("listed")).isEmpty()
+    with pytest.raises(url_filter.TooLong):
+        url_filter.cascade(keys, max_bits=total - 1)
+
+
+def test_url_hosts_of_very_many_labels(spark):
+    rows = [(1, "http://" + "a." * 50_000 + "spam.org/x"), (2, "http://" + "a." * 50_000 + "spam.com"), (3, "http://" + "." * 100_000)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string")
+    url_filter.judge(pages, [], domains(spark, "spam.org")).collect()
+    began = time.time()
+    got = url_filter.judge(pages, [], domains(spark, "spam.org", "b.a.spam.org")).collect()
+    assert {r.page_id: r.verdict for r in got} == {1: "block", 2: "allow", 3: "allow"} and time.time() - began < 20
+
+
 def domains(spark, *names):
     return spark.createDataFrame([(n,) for n in names], "domain string")
 
 
 def test_url_query_takes_a_cascade_of_levels(spark):
     pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
-    keys = url_filter.universe(pages, queries.url_block_list(pages))
+    keys = url_filter.universe(pages, queries.url_block_list(spark))
+    assert 0 < keys.where("listed").count() < keys.count()
     levels = url_filter.cascade(keys)
-    assert len(levels) >= 3
+    assert len(levels) >= 2 and levels[0].bits
+    first = keys.where(url_filter.listed_in(F.col("key"), levels[:1]) != F.col("listed")).count()
+    assert first > 0  # the first level alone would block hosts that aren't listed
     assert keys.where(url_filter.listed_in(F.col("key"), levels) != F.col("listed")).count() == 0
 
 
