@@ -1,5 +1,6 @@
 """Tables in and out: a catalog over a folder, and readers and writers by format."""
 
 from brindle.sources.catalog import FORMATS, read, register, table, write
+from brindle.sources.scratch import scratch
 
-__all__ = ["FORMATS", "read", "register", "table", "write"]
+__all__ = ["FORMATS", "read", "register", "scratch", "table", "write"]
