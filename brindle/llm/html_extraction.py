@@ -95,7 +95,7 @@ KEEP_WHOLE = frozenset("html body main".split())
 SAME = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("table",), "th": ("table",), "thead": ("table",), "tbody": ("table",), "tfoot": ("table",)}
 ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "thead": ("tr", "td", "th", "tbody"), "tbody": ("tr", "td", "th", "thead", "tbody"), "tfoot": ("tr", "td", "th", "thead", "tbody")}
 
-_TAG = re.compile(r"<!--.*?(?:--!?>|\Z)|<(/?)([A-Za-z][^\s/>]*+)|<[!?/][^>]*+(?:>|\Z)", re.S)
+_TAG = re.compile(r"""<(/?)([A-Za-z][^\s/>]*+)(?:([^>"']*+)>)?|<!--.*?(?:--!?>|\Z)|<[!?/][^>]*+(?:>|\Z)""", re.S)
 _STOP = re.compile(r"[>\"']")
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _NAME = re.compile(r"[^\s]+")
@@ -241,8 +241,10 @@ def parse(html: str) -> Node:
         tag = (m[2] or "").lower()
         if not tag:
             continue
-        stop, after = tag_end(at)
-        attributes, at = html[at:stop], after
+        attributes = m[3]
+        if attributes is None:
+            stop, after = tag_end(at)
+            attributes, at = html[at:stop], after
         if m[1]:
             open_.end(tag)
             continue
@@ -719,7 +721,9 @@ def references(pages: DataFrame) -> DataFrame:
     """(host, html): the page of the least hash of each host that has ``MIN_PAGES`` pages or more."""
     source = shaped(pages, ["url", "html"]).select(host().alias("host"), "html").where("host <> '' AND html <> ''")
     least = source.groupBy("host").agg(F.count(F.lit(1)).alias("n"), F.min(F.xxhash64("html")).alias("rank")).where(F.col("n") >= MIN_PAGES)
-    met = source.withColumn("rank", F.xxhash64("html")).join(least.select("host", "rank"), ["host", "rank"]).select("host", "html")
+    least = staged(least.select("host", "rank"), "ranks")
+    few = (least.agg(F.sum(F.octet_length("host") + 40)).first()[0] or 0) <= MAX_BROADCAST
+    met = source.withColumn("rank", F.xxhash64("html")).join(F.broadcast(least) if few else least, ["host", "rank"]).select("host", "html")
 
     def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[str] = set()  # copies of a reference stay behind
