@@ -31,3 +31,25 @@ def cosine(a: ColumnLike, b: ColumnLike) -> Column:
 def exact_share(part: ColumnLike, whole: ColumnLike) -> Column:
     """``part / whole`` as a double, null where ``whole`` is 0."""
     return F.try_divide(_column(part).cast("double"), _column(whole).cast("double"))
+
+
+def jaro(a: str | None, b: str | None) -> float | None:
+    """Jaro similarity of two strings, for use within a Python function; null if one is."""
+    if a is None or b is None:
+        return None
+    if not a or not b:
+        return float(a == b)
+    reach = max(0, max(len(a), len(b)) // 2 - 1)
+    free, met = [True] * len(b), []
+    for i, c in enumerate(a):
+        for j in range(max(0, i - reach), min(len(b), i + reach + 1)):
+            if free[j] and b[j] == c:
+                free[j] = False
+                met.append(c)
+                break
+    if not met:
+        return 0.0
+    other = [c for c, f in zip(b, free, strict=True) if not f]
+    moved = sum(x != y for x, y in zip(met, other, strict=True)) // 2
+    m = len(met)
+    return (m / len(a) + m / len(b) + (m - moved) / m) / 3

@@ -70,6 +70,18 @@ def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], salts: int
     return a.join(b, [*on, "_salt"], how).drop("_salt")
 
 
+def row_bytes(rows: DataFrame) -> Column:
+    """About the bytes of a row: octets of strings and binaries, JSON of nested values, 8 for all others."""
+    out = F.lit(8 * len(rows.columns))
+    for f in rows.schema.fields:
+        kind = f.dataType.typeName()
+        if kind in ("string", "binary"):
+            out = out + F.coalesce(F.octet_length(f.name), F.lit(0))
+        elif kind in ("array", "map", "struct"):
+            out = out + F.coalesce(F.octet_length(F.to_json(f.name)), F.lit(0))
+    return out
+
+
 def sized_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner", max_bytes: int = MAX_BROADCAST) -> DataFrame:
     """A join that broadcasts ``right`` if it is found to stay within ``max_bytes``.
 
@@ -77,5 +89,5 @@ def sized_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str =
     """
     small = int(str(right._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= max_bytes
     if small:
-        small = (right.select(F.sum(F.length(F.to_json(F.struct("*"))))).first()[0] or 0) <= max_bytes
+        small = (right.select(F.sum(row_bytes(right))).first()[0] or 0) <= max_bytes
     return left.join(F.broadcast(right) if small else right, list(on), how)

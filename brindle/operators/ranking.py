@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 import pyspark.sql.functions as F
 from pyspark.sql import Column, DataFrame, Window
@@ -14,24 +15,39 @@ def top_per_group(rows: DataFrame, by: Sequence[str], order: Sequence[Column], k
     return rows.withColumn(name, F.row_number().over(w)).where(F.col(name) <= k)
 
 
-def exact_quantiles(rows: DataFrame, by: Sequence[str], value: str, shares: Mapping[str, float], buckets: int = 1024) -> DataFrame:
+#: Relative accuracy of the approximate quantiles that enclose exact ones; groups of up to twice as many rows are taken whole.
+ACCURACY = 10_000
+
+
+def exact_quantiles(rows: DataFrame, by: Sequence[str], value: str, shares: Mapping[str, float], accuracy: int = ACCURACY) -> DataFrame:
     """Interpolated quantiles of a group, by name; nulls are left out.
 
-    Values are counted in ``buckets`` equal ranges of their group, and only the
-    ranges that hold a wanted rank are sorted, so no task holds a group.
+    Approximate quantiles a little below and above a wanted one enclose it for certain, whatever the
+    values are. Rows under the lower end are counted, and the values between are counted by value, so a
+    value that very many rows have is one row. What is sorted is some ``4 / accuracy`` of a group.
     """
     rows = rows.where(F.col(value).isNotNull()).select(*by, F.col(value).alias("_v"))
-    ends = rows.groupBy(*by).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.count(F.lit(1)).alias("_n"))
-    placed = F.floor((F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * buckets)
-    dealt = rows.join(ends, list(by)).withColumn("_b", F.when(F.col("_hi") > F.col("_lo"), F.least(placed, F.lit(buckets - 1))).otherwise(0).cast("int"))
-    counts = dealt.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_m"), F.max("_n").alias("_n"))
-    before = F.sum("_m").over(Window.partitionBy(*by).orderBy("_b")) - F.col("_m")  # at most ``buckets`` rows a group
-    wanted = F.explode(F.array(*[F.struct(F.lit(k).alias("name"), (F.lit(float(p)) * (F.col("_n") - 1)).alias("at")) for k, p in shares.items()]))
-    ranks = counts.withColumn("_before", before).withColumn("_w", wanted).where("_before <= ceil(_w.at) AND _before + _m > floor(_w.at)")
-    near = ranks.select(*by, "_b", "_before", "_w").join(dealt.select(*by, "_b", "_v"), [*by, "_b"])
-    rank = F.row_number().over(Window.partitionBy(*by, "_b", "_w").orderBy("_v")) - 1 + F.col("_before")
-    near = near.withColumn("_r", rank)
-    low, high = (F.max(F.when(F.col("_r") == f(F.col("_w.at")), F.col("_v"))) for f in (F.floor, F.ceil))
-    got = near.groupBy(*by, "_w").agg(low.alias("_x"), high.alias("_y"))
+    slack = 4 / accuracy
+    ends = [max(0.0, p - slack) for p in shares.values()] + [min(1.0, p + slack) for p in shares.values()]
+    found = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.percentile_approx("_v", ends, accuracy).alias("_e"))
+    few = F.col("_n") <= 2 * accuracy
+    wanted = [
+        F.struct(
+            F.lit(k).alias("name"), (F.lit(float(p)) * (F.col("_n") - 1)).alias("at"),
+            F.when(~few & F.lit(p - slack > 0), F.get("_e", F.lit(i))).alias("low"), F.when(~few & F.lit(p + slack < 1), F.get("_e", F.lit(i + len(shares)))).alias("high"),
+        )
+        for i, (k, p) in enumerate(shares.items())
+    ]
+    asked = found.select(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(by)], F.array(*wanted).alias("_w"))
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_g{i}")) for i, c in enumerate(by)])
+    met = rows.join(asked, same).select(*by, "_v", F.explode("_w").alias("_w"))
+    # below the lower end: one row a group and quantile, by a null value; values over the upper end don't count
+    within = met.where(F.col("_w.high").isNull() | (F.col("_v") <= F.col("_w.high")))
+    placed = within.select(*by, "_w", F.when(F.col("_w.low").isNull() | (F.col("_v") >= F.col("_w.low")), F.col("_v")).alias("_v"))
+    counts = placed.groupBy(*by, "_w", "_v").agg(F.count(F.lit(1)).alias("_m"))
+    ordered = Window.partitionBy(*by, "_w").orderBy(F.asc_nulls_first("_v"))
+    counts = counts.withColumn("_upto", F.sum("_m").over(ordered)).withColumn("_before", F.col("_upto") - F.col("_m"))
+    at = lambda f: F.max(F.when((F.col("_before") <= f(F.col("_w.at"))) & (f(F.col("_w.at")) < F.col("_upto")), F.col("_v")))
+    got = counts.groupBy(*by, "_w").agg(at(F.floor).alias("_x"), at(F.ceil).alias("_y"))
     named = F.col("_x") + (F.col("_w.at") - F.floor(F.col("_w.at"))) * (F.col("_y") - F.col("_x"))
     return got.withColumn("_q", named).groupBy(*by).agg(*[F.max(F.when(F.col("_w.name") == k, F.col("_q"))).alias(k) for k in shares])

@@ -14,7 +14,7 @@ import pandas as pd
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession, Window
 
-from brindle.functions import cosine, exact_share
+from brindle.functions import cosine, exact_share, jaro
 from brindle.operators import as_of_join, deduplicated_latest, exact_quantiles, gap_filled, range_join, salted_join, sessions, sized_join, top_per_group
 from brindle.sources import table
 
@@ -161,13 +161,23 @@ def last_purchase_before_click(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT a.p_partkey, b.p_partkey AS near_key FROM part a JOIN part b
-ON a.p_retailprice BETWEEN b.p_retailprice - 0.5 AND b.p_retailprice + 0.5 AND a.p_size = b.p_size
+SELECT p_partkey, count(*) OVER (PARTITION BY p_size ORDER BY p_retailprice RANGE BETWEEN 0.5 PRECEDING AND 0.5 FOLLOWING) - 1 AS near FROM part
 """)
 def parts_of_similar_price(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = table(spark, sf_dir, "part")
-    ranges = part.select(F.col("p_partkey").alias("near_key"), "p_size", (F.col("p_retailprice") - 0.5).alias("low"), (F.col("p_retailprice") + 0.5).alias("high"))
-    return range_join(part.select("p_partkey", "p_size", "p_retailprice"), ranges, "p_retailprice", "low", "high", 1.0, ["p_size"]).select("p_partkey", "near_key")
+    """How many other parts of its size each part is near to in price: a window, as pairs would grow with the square."""
+    near = "count(1) OVER (PARTITION BY p_size ORDER BY p_retailprice RANGE BETWEEN 0.5D PRECEDING AND 0.5D FOLLOWING) - 1"
+    return table(spark, sf_dir, "part").select("p_partkey", F.expr(near).alias("near"))
+
+
+@query("""
+WITH b AS (SELECT p_brand, avg(p_retailprice) - 40 AS low, avg(p_retailprice) + 40 AS high FROM part GROUP BY p_brand)
+SELECT b.p_brand, count(*) AS parts FROM b JOIN part ON p_retailprice BETWEEN low AND high GROUP BY b.p_brand
+""")
+def parts_about_brand_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many parts, of any brand, have a price within 40 of a brand's mean: every part meets a range a brand at most."""
+    part = table(spark, sf_dir, "part").select("p_brand", "p_retailprice")
+    means = part.groupBy("p_brand").agg(F.avg("p_retailprice").alias("mean")).select("p_brand", (F.col("mean") - 40).alias("low"), (F.col("mean") + 40).alias("high"))
+    return range_join(part.select("p_retailprice"), means, "p_retailprice", "low", "high", 80.0).groupBy("p_brand").agg(F.count(F.lit(1)).alias("parts"))
 
 
 @query("SELECT event_id, event_type, n AS type_total FROM events JOIN (SELECT event_type, count(*) AS n FROM events GROUP BY 1) USING (event_type)")
@@ -280,11 +290,10 @@ def customer_scalars(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
 SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS y, CAST(month(o_orderdate) AS INTEGER) AS m, CAST(isodow(o_orderdate) AS INTEGER) AS dow,
   CAST(date_diff('day', o_orderdate, TIMESTAMP '2002-01-01') AS INTEGER) AS age, strftime(o_orderdate, '%Y-%m') AS month
-FROM orders WHERE o_orderdate >= TIMESTAMP '1997-01-01' AND o_orderdate < TIMESTAMP '1998-01-01'
+FROM orders
 """)
 def order_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").where("o_orderdate >= timestamp_ntz'1997-01-01' AND o_orderdate < timestamp_ntz'1998-01-01'")
-    return _dates(orders)
+    return _dates(table(spark, sf_dir, "orders"))
 
 
 @query("""
@@ -343,7 +352,7 @@ def conversation_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turns.groupBy("conv_id").agg(F.count(F.lit(1)).alias("turns"), F.sum("chars").alias("chars"), F.array_join(ordered["role"], ">").alias("roles"))
 
 
-_GIVEN = "(VALUES (1, NULL, 'a'), (1, 2, NULL), (2, NULL, ''), (NULL, 3, 'b'), (NULL, NULL, NULL)) AS t(k, v, s)"
+_GIVEN = "(SELECT nullif(user_id % 7, 3) AS k, nullif(event_id % 4, 0) AS v, nullif(event_type, 'view') AS s FROM events) AS t"
 
 
 @query(f"""
@@ -351,9 +360,9 @@ SELECT k, count(*) AS n, count(v) AS some, CAST(sum(v) AS BIGINT) AS total, max(
   count(*) FILTER (WHERE NOT (v > 1)) AS less, count(*) FILTER (WHERE k IN (SELECT v FROM {_GIVEN})) AS met FROM {_GIVEN} GROUP BY k
 """)
 def null_semantics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nulls in grouping, aggregates, filters and a semi-join, on rows of its own: the tables hold none."""
-    given = spark.sql(f"SELECT * FROM {_GIVEN}")
-    met = given.join(given.select(F.col("v").alias("k")), "k", "left_semi").groupBy("k").agg(F.count(F.lit(1)).alias("met"))
+    """Nulls in grouping, aggregates, filters and a semi-join; the tables hold none, so values are made null."""
+    given = table(spark, sf_dir, "events").selectExpr("nullif(user_id % 7, 3) AS k", "nullif(event_id % 4, 0) AS v", "nullif(event_type, 'view') AS s")
+    met = given.join(given.select(F.col("v").alias("k")).distinct(), "k", "left_semi").groupBy("k").agg(F.count(F.lit(1)).alias("met"))
     got = given.groupBy("k").agg(
         F.count(F.lit(1)).alias("n"), F.count("v").alias("some"), F.sum("v").cast("bigint").alias("total"), F.max("s").alias("last"),
         F.count_if(F.col("v") > 1).alias("more"), F.count_if(~(F.col("v") > 1)).alias("less"),
@@ -363,10 +372,16 @@ def null_semantics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT p_partkey, CAST(CASE WHEN p_partkey > 0 THEN 1 + (p_partkey - 1) % 9 ELSE 0 END AS BIGINT) AS root FROM part")
 def part_digit_roots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A Python function over Arrow batches, as a user would bring one."""
+    key = F.col("p_partkey")
+    return table(spark, sf_dir, "part").select("p_partkey", F.when(key > 0, 1 + (key - 1) % 9).otherwise(F.lit(0)).cast("bigint").alias("root"))
+
+
+@query("SELECT p_partkey, round(jaro_similarity(p_name, p_type), 6) AS similarity FROM part")
+def part_name_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A Python function over Arrow batches, as a user would bring one for what no built-in function does."""
 
-    @F.pandas_udf("bigint")
-    def root(keys: pd.Series) -> pd.Series:
-        return (1 + (keys - 1) % 9).where(keys > 0, 0)
+    @F.pandas_udf("double")
+    def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([jaro(x, y) for x, y in zip(a, b, strict=True)])
 
-    return table(spark, sf_dir, "part").select("p_partkey", root("p_partkey").alias("root"))
+    return table(spark, sf_dir, "part").select("p_partkey", F.round(similarity("p_name", "p_type"), 6).alias("similarity"))

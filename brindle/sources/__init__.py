@@ -2,5 +2,6 @@
 
 from brindle.sources.catalog import FORMATS, read, register, table, write
 from brindle.sources.scratch import scratch
+from brindle.sources.segments import Segments, with_segments
 
-__all__ = ["FORMATS", "read", "register", "scratch", "table", "write"]
+__all__ = ["FORMATS", "Segments", "read", "register", "scratch", "table", "with_segments", "write"]
