@@ -24,12 +24,16 @@ def interleaved(rows: DataFrame, columns: Sequence[str], bits: int = BITS) -> Co
     for i, c in enumerate(columns):
         ends = sorted(set(found[i] or ()))
         steps = F.array(*map(F.lit, ends)) if ends else F.expr("cast(array() as array<double>)")
-        number = F.coalesce(F.size(F.filter(steps, lambda e, v=as_number[c]: e <= v)), F.lit(0)).cast("bigint")
+        number = F.coalesce(F.size(F.filter(steps, _up_to(as_number[c]))), F.lit(0)).cast("bigint")
         spread = [F.shiftleft(F.shiftright(number, b).bitwiseAND(F.lit(1).cast("bigint")), b * len(columns) + i) for b in range(bits)]
         place = reduce(lambda a, b: a.bitwiseOR(b), spread, place)
     return place
 
 
+def _up_to(value: Column):
+    return lambda end: end <= value
+
+
 def clustered(rows: DataFrame, columns: Sequence[str], files: int, bits: int = BITS) -> DataFrame:
     """``rows`` dealt by ranges of ``interleaved`` over about ``files`` partitions, each sorted by it."""
     placed = rows.withColumn("_place", interleaved(rows, columns, bits))

@@ -103,10 +103,13 @@ def _span(delay: str) -> timedelta:
     return timedelta(**{unit.rstrip("s") + "s": int(n)})
 
 
-def drained(stream: DataFrame, out: str, checkpoint: str) -> None:
-    """Runs a stream to the end of what there is, into Parquet; called again with the same folders it goes on from there."""
-    query = stream.writeStream.format("parquet").outputMode("append").option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
+def drained(stream: DataFrame, out: str, checkpoint: str, once: bool = False) -> None:
+    """Runs a stream to the end of what there is, into Parquet; called again with the same folders it goes on from there.
+
+    ``once``: in one batch. State in processing time needs it, as it always asks for another batch.
+    """
+    writer = stream.writeStream.format("parquet").outputMode("append").option("path", out).option("checkpointLocation", checkpoint)
+    (writer.trigger(once=True) if once else writer.trigger(availableNow=True)).start().awaitTermination()
 
 
 def late_day_totals(events: DataFrame, key: str, time: str, amount: str, batch: str, batches: int, delay: str) -> DataFrame:
