@@ -1,4 +1,4 @@
-"""The templates of the registered license scan: full texts, standard headers and the usual notices.
+"""The templates of the registered license scan: full texts, standard headers and the ways to cite a license.
 
 Names are SPDX identifiers; what follows a ``#`` tells wordings of one license apart.
 """
@@ -43,20 +43,20 @@ def _versions(long: str, short: str, version: str) -> list[str]:
 #: Names under which notices cite a license.
 CITED = {
     "0BSD": ["Zero-Clause BSD License", "0BSD License", "BSD Zero Clause License"],
-    "AGPL-3.0": _versions("GNU Affero General Public License", "GNU AGPL", "3") + ["AGPL 3", "AGPL v3", "AGPL version 3", "AGPLv3 license"],
+    "AGPL-3.0": _versions("GNU Affero General Public License", "GNU AGPL", "3") + ["AGPL 3", "AGPL v3", "AGPL version 3", "AGPLv3"],
     "Apache-2.0": _versions("Apache License", "Apache", "2.0") + _versions("Apache Software License", "ASL", "2.0") + ["Apache 2 License", "Apache 2.0 License"],
     "BSD-2-Clause": ["BSD 2-Clause License", "2-Clause BSD License", "Simplified BSD License", "FreeBSD License", "two-clause BSD license"],
     "BSD-3-Clause": ["BSD 3-Clause License", "3-Clause BSD License", "New BSD License", "Modified BSD License", "three-clause BSD license"],
-    "BSL-1.0": _versions("Boost Software License", "Boost", "1.0"),
+    "BSL-1.0": _versions("Boost Software License", "BSL", "1.0"),
     "CC0-1.0": ["CC0 1.0", "CC0 1.0 Universal", "Creative Commons Zero v1.0", "Creative Commons CC0 1.0"],
-    "GPL-2.0": _versions("GNU General Public License", "GNU GPL", "2") + ["GPL 2", "GPL v2", "GPL version 2", "GPLv2 license"],
-    "GPL-3.0": _versions("GNU General Public License", "GNU GPL", "3") + ["GPL 3", "GPL v3", "GPL version 3", "GPLv3 license"],
+    "GPL-2.0": _versions("GNU General Public License", "GNU GPL", "2") + ["GPL 2", "GPL v2", "GPL version 2", "GPLv2"],
+    "GPL-3.0": _versions("GNU General Public License", "GNU GPL", "3") + ["GPL 3", "GPL v3", "GPL version 3", "GPLv3"],
     "ISC": ["ISC License", "ISC licence"],
-    "LGPL-2.1": _versions("GNU Lesser General Public License", "GNU LGPL", "2.1") + ["LGPL 2.1", "LGPL v2.1", "LGPL version 2.1", "LGPLv2.1 license"],
-    "LGPL-3.0": _versions("GNU Lesser General Public License", "GNU LGPL", "3") + ["LGPL 3", "LGPL v3", "LGPL version 3", "LGPLv3 license"],
+    "LGPL-2.1": _versions("GNU Lesser General Public License", "GNU LGPL", "2.1") + ["LGPL 2.1", "LGPL v2.1", "LGPL version 2.1", "LGPLv2.1"],
+    "LGPL-3.0": _versions("GNU Lesser General Public License", "GNU LGPL", "3") + ["LGPL 3", "LGPL v3", "LGPL version 3", "LGPLv3"],
     "MIT": ["MIT License", "MIT licence", "MIT open source license", "Expat License", "MIT X11 license"],
     "MPL-2.0": _versions("Mozilla Public License", "MPL", "2.0"),
-    "Unlicense": ["Unlicense license"],
+    "Unlicense": ["Unlicense license", "the Unlicense"],
     "Zlib": ["zlib License", "zlib libpng License"],
 } | {
     f"CC-{code.upper().replace(' ', '-')}-4.0": [f"CC {code} 4.0", f"CC-{code}-4.0 license", f"Creative Commons {name} 4.0", f"Creative Commons {name} 4.0 International"]
@@ -69,20 +69,19 @@ CITED = {
         ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"),
     )
 }
-_LEADS = ["under the {}", "under {}", "under a {}", "of the {}", "terms of the {}"] + [
-    f"{verb} under {article}{{}}" for verb in ("licensed", "released", "distributed", "available", "provided", "published", "covered") for article in ("the ", "")
-]
+#: Names that stand for a license where something says that it is meant.
+SHORT = {"0BSD": ["0BSD"], "CC0-1.0": ["CC0"], "ISC": ["ISC"], "MIT": ["MIT", "Expat"], "Unlicense": ["Unlicense"], "Zlib": ["zlib"]}
+_SAID = ("{} licensed", "{} style license", "licensed under {}", "licensed under the {}", "license is {}", "license identifier {}")
 
 _WORD = re.compile(r"[0-9a-z]+")
 
 
-def notices(name: str) -> list[str]:
-    """Wordings of 5 to 8 words that cite the license: at most four shingles, so that all count and versions stay apart."""
-    made = {" ".join(_WORD.findall(lead.format(n).lower())) for n in CITED.get(name, ()) for lead in _LEADS}
-    made |= {" ".join(_WORD.findall(f"SPDX-License-Identifier: {name}".lower()))}
-    fit = sorted((x for x in made if 5 <= len(x.split()) <= 8), key=lambda x: (len(x.split()), x))
+def citations(name: str) -> list[str]:
+    """Wordings that cite the license, of any number of words, less those that hold another."""
+    made = set(CITED.get(name, ())) | {said.format(n) for n in SHORT.get(name, ()) for said in _SAID} | {f"license identifier {name}"}
+    made = {" ".join(_WORD.findall(x.lower())) for x in made}
     least: list[str] = []
-    for x in fit:
+    for x in sorted(made, key=lambda x: (len(x.split()), x)):
         if not any(f" {y} " in f" {x} " for y in least):
             least.append(x)
     return least
@@ -93,5 +92,5 @@ def bank() -> dict[str, str]:
     folder = resources.files("brindle.llm") / "license_texts"
     out = {f"{f.name.removesuffix('.txt')}#text": f.read_text(encoding="utf-8") for f in folder.iterdir() if f.name.endswith(".txt")}
     out |= {k.replace("#", "#header") if "#" in k else f"{k}#header": t for k, t in HEADERS.items()}
-    out |= {f"{name}#notice{k}": t for name in CITED for k, t in enumerate(notices(name))}
+    out |= {f"{name}#citation{k}": t for name in CITED for k, t in enumerate(citations(name))}
     return dict(sorted(out.items()))

@@ -130,20 +130,27 @@ SELECT doc_id, coalesce(n, 0) AS n_licenses, coalesce(l, '') AS licenses FROM do
 
 
 def license_bank_scan(bank: dict[str, str]) -> str:
-    """Templates of ``bank`` by containment of 0.8 in windows; better matches in overlapping windows displace those they explain."""
+    """Templates of ``bank`` by containment of 0.8 in windows; better matches in overlapping windows displace those they explain.
+
+    Shingles have five words, or all of a template of fewer.
+    """
     values = ", ".join("('{}', '{}')".format(k, t.replace("'", "''")) for k, t in bank.items())
     words = r"list_filter(string_split_regex(lower({}), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
-    shingles = "SELECT {0}, array_to_string(w[i:i + 4], ' ') AS s, i - 1 AS pos FROM (SELECT {0}, w, unnest(range(1, len(w) - 3)) AS i FROM {1})"
+    shingles = "SELECT {0}, array_to_string(w[i:i + x - 1], ' ') AS s, i - 1 AS pos FROM (SELECT {0}, w, x, unnest(range(1, len(w) - x + 2)) AS i FROM {1})"
     return f"""
 WITH t(name, t) AS (VALUES {values}), tw AS (SELECT name, {words.format('t')} AS w FROM t),
-ts AS (SELECT DISTINCT name, s FROM ({shingles.format('name', 'tw')})), size AS (SELECT name, count(*) AS n FROM ts GROUP BY name),
-d AS (SELECT doc_id, {words.format("coalesce(text, '')")} AS w FROM documents), ds AS ({shingles.format('doc_id', 'd')}),
-met AS (SELECT DISTINCT doc_id, name, n, s, unnest([pos // n, pos // n - 1]) AS k FROM ds JOIN ts USING (s) JOIN size USING (name)),
-found AS (SELECT doc_id, name, n, k, k * n AS a, k * n + 2 * n AS z, count(*) AS c FROM met WHERE k >= 0 GROUP BY doc_id, name, n, k HAVING count(*) >= 0.8 * n - 1e-9),
+ts AS (SELECT DISTINCT name, s FROM ({shingles.format('name', '(SELECT *, least(5, len(w)) AS x FROM tw)')})), size AS (SELECT name, count(*) AS n FROM ts GROUP BY name),
+d AS (SELECT doc_id, {words.format("coalesce(text, '')")} AS w FROM documents), ds AS ({shingles.format('doc_id', '(SELECT *, unnest([1, 2, 3, 4, 5]) AS x FROM d) WHERE len(w) >= x')}),
+met AS (
+  SELECT doc_id, name, n, s, k, min(pos) AS p FROM (SELECT doc_id, name, n, s, pos, unnest([pos // n, pos // n - 1]) AS k FROM ds JOIN ts USING (s) JOIN size USING (name)) GROUP BY ALL),
+found AS (
+  SELECT doc_id, name, n, k, k * n AS a, k * n + 2 * n AS z, count(*) AS c, min(p) AS first, max(p) + any_value(1 + length(s) - length(replace(s, ' ', ''))) AS last
+  FROM met WHERE k >= 0 GROUP BY doc_id, name, n, k HAVING count(*) >= 0.8 * n - 1e-9),
 own AS (SELECT found.*, s FROM found JOIN met USING (doc_id, name, n, k)),
 worse AS (
   SELECT x.doc_id, x.name, x.k FROM own x JOIN own y ON x.doc_id = y.doc_id AND x.s = y.s AND y.a < x.z AND x.a < y.z AND (y.c > x.c OR (y.c = x.c AND y.n < x.n))
-  GROUP BY x.doc_id, x.name, x.k, x.c, y.name, y.k HAVING 2 * count(*) > x.c),
+  GROUP BY x.doc_id, x.name, x.k, x.c, y.name, y.k HAVING 2 * count(*) > x.c
+  UNION ALL SELECT x.doc_id, x.name, x.k FROM found x JOIN found y ON x.doc_id = y.doc_id WHERE x.last - x.first < 5 AND y.first <= x.first AND x.last <= y.last AND y.c > x.c),
 best AS (SELECT DISTINCT doc_id, string_split(name, '#')[1] AS license FROM found ANTI JOIN worse USING (doc_id, name, k)),
 listed AS (SELECT doc_id, count(*) AS n, string_agg(license, ',' ORDER BY license) AS l FROM best GROUP BY doc_id)
 SELECT doc_id, coalesce(n, 0) AS n_licenses, coalesce(l, '') AS licenses FROM documents LEFT JOIN listed USING (doc_id)
