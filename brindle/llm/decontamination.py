@@ -6,9 +6,11 @@ vocabulary, windows with a foreign word are ruled out by a running count, the
 others are looked up by a rolling hash, and each hash hit is verified word by
 word. Documents are scanned where they lie: no shuffle.
 
-The broadcast index is built only after the benchmark's words have been counted
-and stay within ``MAX_INDEX_WORDS``. Beyond it windows and documents meet by a
-shuffle on the window's hash instead (``scan_by_join``), with equal results.
+The broadcast index is built only after the benchmark's words and bytes have been
+counted and stay within ``MAX_INDEX_WORDS`` and ``MAX_INDEX_BYTES``. Beyond them windows
+and documents meet by a join on the window instead (``scan_by_join``), with equal
+results: windows of all lengths come from one pass, and those whose hash no test has
+are dropped before they move while the tests' hashes are ``MAX_HASHES`` at most.
 
 Defined results: null and empty texts have no words and are clean; items without
 words give no window; an item whose id is null makes hits but is not listed; an
@@ -27,11 +29,15 @@ import pyarrow as pa
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame
 
-from brindle.llm.common import NON_WORD, appended, let, lower_ascii, running, shaped, words_of
+from brindle.llm.common import NON_WORD, appended, let, lower_ascii, running, shaped, staged, words_of
 
 WINDOW = 10
 #: Words of all benchmark items together up to which the index is broadcast (some 250 bytes each in a worker).
 MAX_INDEX_WORDS = 500_000
+#: Bytes of all items together up to which they are collected, words or not.
+MAX_INDEX_BYTES = 64 << 20
+#: Distinct window hashes of the tests that the join path broadcasts, of 8 bytes and a length each.
+MAX_HASHES = 4_000_000
 
 FOUND = {"n_words": "bigint", "n_hit": "bigint", "items": "array<string>", "hits": "array<struct<start:bigint,end:bigint>>"}
 
@@ -98,16 +104,19 @@ class Index:
         return [(bounds[d + 1] - bounds[d] - 1, spans[d], sorted(items[d])) for d in range(len(texts))]
 
 
-def index_words(benchmark: DataFrame) -> int:
-    """An upper bound of the benchmark's words, counted before anything is collected."""
-    sizes = shaped(benchmark, ["text"]).select(F.sum(F.size(F.split(F.coalesce("text", F.lit("")), NON_WORD))).alias("n"))
-    return sizes.first()["n"] or 0
+def index_size(benchmark: DataFrame) -> tuple[int, int]:
+    """An upper bound of the benchmark's words, and its bytes, counted before anything is collected."""
+    text = F.coalesce("text", F.lit(""))
+    sizes = shaped(benchmark, ["text"]).select(F.sum(F.size(F.split(text, NON_WORD))).alias("n"), F.sum(F.octet_length(text)).alias("bytes"))
+    found = sizes.first()
+    return found["n"] or 0, found["bytes"] or 0
 
 
-def scan(docs: DataFrame, benchmark: DataFrame, max_index_words: int = MAX_INDEX_WORDS) -> DataFrame:
+def scan(docs: DataFrame, benchmark: DataFrame, max_index_words: int = MAX_INDEX_WORDS, max_index_bytes: int = MAX_INDEX_BYTES) -> DataFrame:
     """``docs`` plus ``n_words``, ``n_hit``, ``items`` and ``hits`` (spans of word numbers)."""
     docs = shaped(docs, ["text"], FOUND)
-    if index_words(benchmark) > max_index_words:
+    words, size = index_size(benchmark)
+    if words > max_index_words or size > max_index_bytes:
         return scan_by_join(docs, benchmark)
     rows = shaped(benchmark, ["item_id", "text"]).select(F.col("item_id").cast("string"), F.encode(F.coalesce("text", F.lit("")), "UTF-8")).collect()
     index = docs.sparkSession.sparkContext.broadcast(Index([(r[0], bytes(r[1])) for r in rows]))
@@ -128,28 +137,33 @@ def _words(text: str) -> F.Column:
     return F.filter(F.split(lower_ascii(F.coalesce(text, F.lit(""))), NON_WORD), lambda w: w != "")
 
 
-def scan_by_join(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) -> DataFrame:
-    """As ``scan``, for a benchmark too large to broadcast: windows meet by their hash.
+def scan_by_join(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, max_hashes: int = MAX_HASHES) -> DataFrame:
+    """As ``scan``, for a benchmark too large to broadcast: windows meet by their hash and are equal word by word.
 
     Distinct texts move once by a digest, to fold copies, and once more with their
-    rows at the end; in between a window is a hash, that digest and a word number.
-    Where hashes meet, the test's words are compared with the document's.
+    rows at the end; in between a window moves only where its hash is a test's. What
+    meets is written before it is gathered by document, so that the join of a window
+    that very many documents hold can be split.
     """
 
-    def windows(words: str, k: F.Column) -> F.Column:
-        return F.transform(F.sequence(F.lit(0), F.size(words) - k), lambda i: F.struct(F.xxhash64(F.concat_ws(" ", F.slice(words, i + 1, k))).alias("hash"), i.alias("start")))
+    def windows(words: str, k: int) -> F.Column:
+        one = lambda i: F.concat_ws(" ", F.slice(words, i + 1, F.lit(k)))
+        some = F.transform(F.sequence(F.lit(0), F.size(words) - k), lambda i: F.struct(F.lit(k).alias("k"), F.xxhash64(one(i)).alias("hash"), i.alias("start"), one(i).alias("window")))
+        return F.when(F.size(words) >= k, some).otherwise(F.expr("cast(array() as array<struct<k:int,hash:bigint,start:int,window:string>>)"))
 
     items = shaped(benchmark, ["item_id", "text"]).select(F.col("item_id").cast("string").alias("item"), _words("text").alias("w")).where(F.size("w") > 0)
-    items = items.withColumn("k", F.least(F.lit(width), F.size("w")))
-    tests = items.select("item", "k", "w", F.explode(windows("w", F.col("k"))).alias("x")).select("item", "k", "x.hash", F.slice("w", F.col("x.start") + 1, F.col("k")).alias("words")).distinct()
-    lengths = [r["k"] for r in tests.select("k").distinct().collect()]  # at most ``width``
+    own = F.coalesce(*[F.when(F.least(F.lit(width), F.size("w")) == k, windows("w", k)) for k in range(1, width + 1)])
+    tests = staged(items.select("item", F.explode(own).alias("x")).select("item", "x.k", "x.hash", "x.window").distinct(), "test-windows")
+    hashes = tests.select("k", "hash").distinct()
+    counted = hashes.groupBy("k").agg(F.count(F.lit(1)).alias("n")).collect()  # ``width`` rows at most
+    lengths = sorted(r["k"] for r in counted)
     keyed = docs.withColumn("_doc", F.md5(F.coalesce("text", F.lit(""))))
     told = keyed.select("_doc", "text").dropDuplicates(["_doc"]).select("_doc", _words("text").alias("w"))
-    every = docs.sparkSession.createDataFrame([], "_doc string, k int, hash bigint, start int")
-    for k in lengths:
-        every = every.union(told.where(F.size("w") >= k).select("_doc", F.lit(k).alias("k"), F.explode(windows("w", F.lit(k))).alias("x")).select("_doc", "k", "x.hash", "x.start"))
-    met = every.join(tests, ["k", "hash"]).groupBy("_doc").agg(F.collect_set(F.struct("start", "k", "item", "words")).alias("met"))
-    sure = "array_sort(filter(met, x -> slice(w, x.start + 1, x.k) = x.words))"
+    every = told.select("_doc", F.explode(F.flatten(F.array(*[windows("w", k) for k in lengths]))).alias("x")).select("_doc", "x.*") if lengths else docs.sparkSession.createDataFrame([], "_doc string, k int, hash bigint, start int, window string")
+    if sum(r["n"] for r in counted) <= max_hashes:
+        every = every.join(F.broadcast(hashes), ["k", "hash"], "left_semi")
+    pairs = staged(every.join(tests, ["k", "hash", "window"]).select("_doc", "start", "k", "item"), "test-hits")
+    met = pairs.groupBy("_doc").agg(F.collect_set(F.struct("start", "k")).alias("met"), F.array_sort(F.collect_set("item")).alias("items"))
     # spans begin where a window starts beyond all earlier ends, and end at the greatest end before the next begins
     spans = let(
         "g", running("transform(s, x -> x.start + x.k)", "greatest(a, x)"),
@@ -157,10 +171,9 @@ def scan_by_join(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) ->
             "transform(b, (i, n) -> named_struct('start', bigint(s[i].start), 'end', bigint(g[if(n + 1 < size(b), b[n + 1], size(s)) - 1])))"),
     )
     kind = "array<struct<start:bigint,end:bigint>>"
-    hits = let("s", f"if(met is null, cast(array() as array<struct<start:int,k:int,item:string,words:array<string>>>), {sure})", f"if(size(s) = 0, cast(array() as {kind}), {spans})")
-    names = "array_sort(array_distinct(filter(transform(filter(met, x -> slice(w, x.start + 1, x.k) = x.words), x -> x.item), n -> n is not null)))"
+    hits = let("s", "coalesce(array_sort(met), cast(array() as array<struct<start:int,k:int>>))", f"if(size(s) = 0, cast(array() as {kind}), {spans})")
     done = told.join(met, "_doc", "left").select(
-        "_doc", F.size("w").cast("bigint").alias("n_words"), F.expr(f"coalesce({names}, cast(array() as array<string>))").alias("items"), F.expr(hits).alias("hits")
+        "_doc", F.size("w").cast("bigint").alias("n_words"), F.expr("coalesce(items, cast(array() as array<string>))").alias("items"), F.expr(hits).alias("hits")
     )
     n_hit = F.aggregate("hits", F.lit(0).cast("bigint"), lambda s, x: s + x["end"] - x["start"])
     done = done.select("_doc", "n_words", n_hit.alias("n_hit"), "items", "hits")

@@ -528,6 +528,25 @@ def test_decontamination_equals_brute_force(spark):
         assert decontamination.scan(docs_of(spark, []), bench, max_index_words=limit).count() == 0
 
 
+@pytest.mark.parametrize("max_hashes", [0, 1000])
+def test_decontamination_by_join_of_a_window_that_all_have(spark, max_hashes):
+    hot, own = prose(1, 12), prose(2, 30)
+    rows = [(i, f"{prose(100 + i, i % 40)} {hot} {prose(200 + i, 9)}") for i in range(120)] + [(500, own), (501, " ".join(own.split()[5:14]))]
+    items = [(1, hot), (2, hot + " more"), (3, own), (4, "w1 w2")]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    got = decontamination.scan_by_join(docs_of(spark, rows).repartition(4), bench, max_hashes=max_hashes).collect()
+    assert sorted((r.doc_id, r.n_words, r.n_hit, r["items"]) for r in got) == sorted(brute_hits(rows, items))
+
+
+def test_decontamination_counts_bytes_before_it_collects(spark):
+    bench = spark.createDataFrame([(1, "... " * 5000), (2, "one two three")], "item_id bigint, text string")
+    words, size = decontamination.index_size(bench)
+    assert words < 10 and size > 20_000
+    rows = [(1, "so one two three"), (2, None)]
+    by = [sorted((r.doc_id, r.n_hit, r["items"]) for r in decontamination.scan(docs_of(spark, rows), bench, max_index_bytes=limit).collect()) for limit in (1 << 20, 1000)]
+    assert by[0] == by[1] == [(1, 3, ["2"]), (2, 0, [])]
+
+
 def test_decontamination_removes_spans_or_documents(spark):
     test = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
     bench = spark.createDataFrame([(1, test)], "item_id bigint, text string")
