@@ -15,7 +15,9 @@ its class (connected component of links) and its number of links.
    posterior P(J >= threshold | matches so far), from a uniform prior, falls
    under ``TOLERANCE``. A bucket of over ``CHUNK`` members is cut into chunks by a
    hash, and pairs of chunks are separate groups. A pair is judged in the first
-   band it shares only, so no two groups judge it twice. Groups emit the members
+   band it shares only, so no two groups judge it twice; members that share the
+   key of an earlier band are set apart as a whole, so that the cells examined
+   stay near the pairs that are new. Groups emit the members
    that still have a partner, never pairs.
 4. Those members' shingle sets, made again from their texts, meet in groups of
    their own, cut by the bytes of the sets and by members (``GROUP_BYTES``,
@@ -136,6 +138,42 @@ def survivors(sigs: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarra
     return i, j
 
 
+def apart(keys: np.ndarray, left: np.ndarray, right: np.ndarray | None) -> Iterator[tuple[np.ndarray, np.ndarray | None]]:
+    """Blocks of members (left and right, or one set) that hold each pair that shares no earlier band once, and few that share one.
+
+    The largest part that shares the key of a band leaves its own pairs out, and goes on against the
+    rest of the members. So a bucket whose members are nearly those of an earlier one is nearly free.
+    """
+    todo = [(left, right, 0)]
+    while todo:
+        a, b, k = todo.pop()
+        cells = len(a) * len(a if b is None else b)
+        if cells < (2 if b is None else 1) ** 2:
+            continue
+        if k == keys.shape[1] or cells < 4096:
+            yield a, b
+            continue
+        own = keys[a, k]
+        values, counts = np.unique(own, return_counts=True)
+        if b is None:
+            most = counts.argmax()
+            if 4 * counts[most] < len(a):
+                todo.append((a, None, k + 1))
+                continue
+            inside = own == values[most]
+            todo += [(a[inside], a[~inside], k + 1), (a[~inside], None, k)]
+            continue
+        other, many = np.unique(keys[b, k], return_counts=True)
+        common, i, j = np.intersect1d(values, other, assume_unique=True, return_indices=True)
+        worth = counts[i] * many[j]
+        if not len(common) or 8 * worth.max() < cells:
+            todo.append((a, b, k + 1))
+            continue
+        key = common[worth.argmax()]
+        inside = own == key
+        todo += [(a[inside], b[keys[b, k] != key], k + 1), (a[~inside], b, k)]
+
+
 def alive(band: int, own: bool, sides: list[int], sigs: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Blocks of surviving index pairs of a group, within it or between its two chunks.
 
@@ -143,21 +181,23 @@ def alive(band: int, own: bool, sides: list[int], sigs: np.ndarray) -> Iterator[
     """
     keys = band_keys(sigs)[:, :band]
     side = np.array(sides)
-    left, right = (np.arange(len(side)),) * 2 if own else (np.flatnonzero(side == 0), np.flatnonzero(side == 1))
-    step = max(1, BLOCK // max(1, len(right)))
-    for start in range(0, len(left), step):
-        some = left[start : start + step]
-        fresh = some[:, None] < right[None, :] if own else np.ones((len(some), len(right)), bool)
-        for b in range(min(band, 2)):
-            fresh &= keys[some, b][:, None] != keys[right, b][None, :]
-        i, j = np.nonzero(fresh)
-        i, j = some[i], right[j]
-        for b in range(2, band):
-            apart = keys[i, b] != keys[j, b]
-            i, j = i[apart], j[apart]
-        i, j = survivors(sigs, i, j)
-        if len(i):
-            yield i, j
+    left, right = (np.arange(len(side)), None) if own else (np.flatnonzero(side == 0), np.flatnonzero(side == 1))
+    for a, b in apart(keys, left, right):
+        alone, b = b is None, a if b is None else b
+        step = max(1, BLOCK // max(1, len(b)))
+        for start in range(0, len(a), step):
+            some = a[start : start + step]
+            fresh = some[:, None] < b[None, :] if alone else np.ones((len(some), len(b)), bool)
+            for k in range(min(band, 2)):
+                fresh &= keys[some, k][:, None] != keys[b, k][None, :]
+            i, j = np.nonzero(fresh)
+            i, j = some[i], b[j]
+            for k in range(2, band):
+                new = keys[i, k] != keys[j, k]
+                i, j = i[new], j[new]
+            i, j = survivors(sigs, i, j)
+            if len(i):
+                yield i, j
 
 
 def _prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -558,6 +558,25 @@ def test_decontamination_removes_spans_or_documents(spark):
 # ---- 7: Jaccard join ----
 
 
+def test_jaccard_buckets_that_are_nearly_equal_are_not_expanded_again():
+    """Of 1,500 near copies each pair is met once, in little more cells than there are pairs."""
+    r, n, cells, met = random.Random(1), 1500, 0, set()
+    base = [f"w{r.randrange(5000)}" for _ in range(300)]
+    texts = [" ".join(f"x{r.randrange(10**6)}" if k in changed else w for k, w in enumerate(base)) for changed in (r.sample(range(300), r.randrange(7)) for _ in range(n))]
+    sigs = np.array([jaccard_join.minhash(jaccard_join.shingles(t.encode())) for t in texts])
+    keys = jaccard_join.band_keys(sigs)
+    for band in range(jaccard_join.BANDS):
+        for value in np.unique(keys[:, band]):
+            some = np.flatnonzero(keys[:, band] == value)
+            for a, b in jaccard_join.apart(keys[some, :band], np.arange(len(some)), None):
+                cells += len(a) * (len(a) - 1) // 2 if b is None else len(a) * len(b)
+            for i, j in jaccard_join.alive(band, True, [0] * len(some), sigs[some]):
+                pairs = np.unique(np.sort(np.stack([some[i], some[j]]), 0), axis=1).T
+                assert len(pairs) == len(i)
+                met.update(x * n + y for x, y in pairs.tolist())
+    assert len(met) > 0.99 * n * (n - 1) / 2 and cells < 2 * n * (n - 1) / 2
+
+
 def test_jaccard_sql_equals_brute_force(spark):
     rows = [(i, t) for i, t in near_group(3, prose(5, 70), 30, 4, 0)] + [(90, "a b c"), (91, "A b, c"), (92, None), (93, "!"), (94, "a b c d e"), (95, prose(8, 500))]
     con = duckdb.connect()
