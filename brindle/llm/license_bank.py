@@ -80,6 +80,7 @@ def citations(name: str) -> list[str]:
     """Wordings that cite the license, of any number of words, less those that hold another."""
     made = set(CITED.get(name, ())) | {said.format(n) for n in SHORT.get(name, ()) for said in _SAID} | {f"license identifier {name}"}
     made = {" ".join(_WORD.findall(x.lower())) for x in made}
+    made = {y for x in made for y in ([x] if " " in x else [f"under {x}", f"under the {x}", f"{x} license", f"{x} licensed", f"license {x}"])}
     least: list[str] = []
     for x in sorted(made, key=lambda x: (len(x.split()), x)):
         if not any(f" {y} " in f" {x} " for y in least):

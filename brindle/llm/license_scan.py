@@ -1,8 +1,8 @@
 """License scans: MinHash bands over overlapping word windows, in DataFrame expressions only.
 
 A template is a wording of a license (its text, header or a citation), as five-word
-shingles of its lower-cased words; one of fewer words is one shingle of them all. The
-name up to a ``#`` is the license's. The registered query scans for the templates of
+shingles of its lower-cased words; one of three or four words as shingles of three, one
+of fewer as one shingle. The name up to a ``#`` is the license's. The registered query scans for the templates of
 ``license_bank``.
 
 A text's shingles, of each width that templates have, are cut into blocks of ``BLOCK``,
@@ -65,12 +65,20 @@ TEMPLATES = {
 }
 
 
-def _shingles(text: str, width: int = SHINGLE) -> str:
-    """SQL for the shingle hashes of a text, in order; an empty array under ``width`` words."""
-    at = ", ".join(f"w[i + {k}]" for k in range(width))
-    some = f"if(size(w) < {width} OR w[0] = '', cast(array() as array<bigint>), transform(sequence(0, size(w) - {width}), i -> xxhash64({at})))"
-    words = f"split(regexp_replace(lower({text}), r'^{NON_WORD}|{NON_WORD}\\z', ''), r'{NON_WORD}')"
-    return let("w", words, some)
+def width_of(words: int) -> int:
+    """Words of the shingles of a template of so many words."""
+    return SHINGLE if words >= SHINGLE else min(3, words)
+
+
+def _words(text: str) -> str:
+    """SQL for the words of a text; one empty word if there is none."""
+    return f"split(regexp_replace(lower({text}), r'^{NON_WORD}|{NON_WORD}\\z', ''), r'{NON_WORD}')"
+
+
+def _shingles(words: str, width: int = SHINGLE) -> str:
+    """SQL for the shingle hashes of an array of words, in order; an empty array under ``width`` words."""
+    at = ", ".join(f"{words}[i + {k}]" for k in range(width))
+    return f"if(size({words}) < {width} OR {words}[0] = '', cast(array() as array<bigint>), transform(sequence(0, size({words}) - {width}), i -> xxhash64({at})))"
 
 
 def _minima(v: str, bits: int = BITS) -> str:
@@ -97,11 +105,11 @@ def _verified(known: str, first: str, last: str, containment: float, width: int)
     return f"flatten(transform({known}, t -> flatten(transform(sequence(greatest(0, {first}), least({last}, (size(h) - 1) div t.n)), q -> {match}))))"
 
 
-def _matches(spark: SparkSession, templates: dict[str, str], width: int, text: str, containment: float) -> str:
-    """SQL for all matches of templates whose shingles have ``width`` words."""
+def _matches(spark: SparkSession, templates: dict[str, str], width: int, containment: float) -> str:
+    """SQL for all matches, in the array ``words``, of templates whose shingles have ``width`` words."""
     given = _quoted(json.dumps([{"name": k, "t": t} for k, t in templates.items()]))
     rows = spark.range(1, numPartitions=1).select(F.expr(f"inline(from_json({given}, 'array<struct<name:string,t:string>>'))"))
-    told = rows.select("name", F.expr(f"array_distinct({_shingles('t', width)})").alias("s")).select("name", "s", F.expr(_minima("s")).alias("b"), F.expr(_minima("s", FINE)).alias("fine")).collect()
+    told = rows.select("name", F.expr(f"array_distinct({let('words', _words('t'), _shingles('words', width))})").alias("s")).select("name", "s", F.expr(_minima("s")).alias("b"), F.expr(_minima("s", FINE)).alias("fine")).collect()
     parts: list[tuple[int, list]] = []  # (block size, templates)
     for r in sorted(told, key=lambda r: (len(r["s"]), r["name"])):
         n, size = len(r["s"]), BLOCK
@@ -126,7 +134,7 @@ def _matches(spark: SparkSession, templates: dict[str, str], width: int, text: s
         part = f"slice({below}, int(k) * {count} + 1, {count})"
         least = _minima(part, FINE) if size == BLOCK else _minima(f"flatten({part})")
         matches = let(f"v{size}", f"transform(sequence(0, (size({below}) - 1) div {count}), k -> {least})", matches)
-    return let("h", _shingles(f"coalesce(`{text}`, '')", width), f"if(size(h) = 0, cast(array() as array<{_MATCH}>), {matches})")
+    return let("h", _shingles("words", width), f"if(size(h) = 0, cast(array() as array<{_MATCH}>), {matches})")
 
 
 def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, text: str = "text", containment: float = CONTAINMENT) -> DataFrame:
@@ -134,12 +142,13 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, text: str = "te
     docs = shaped(docs, [text], ["licenses"])
     widths: dict[int, dict[str, str]] = {}
     for name, t in templates.items():
-        widths.setdefault(min(SHINGLE, len(words_of(t.encode()))), {})[name] = t
+        widths.setdefault(width_of(len(words_of(t.encode()))), {})[name] = t
     if 0 in widths:
         raise ValueError(f"templates without words: {sorted(widths[0])}")
     if not widths:
         return docs.withColumn("licenses", F.expr("cast(array() as array<struct<license:string,word:int,end:int>>)"))
-    every = f"concat({', '.join(_matches(docs.sparkSession, widths[k], k, text, containment) for k in sorted(widths))})"
+    found = [_matches(docs.sparkSession, widths[k], k, containment) for k in sorted(widths)]
+    every = let("words", _words(f"coalesce(`{text}`, '')"), f"concat({', '.join(found)})")
     better = """b.at < a.at + 2 * a.n and a.at < b.at + 2 * b.n and (size(b.m) > size(a.m) or (size(b.m) = size(a.m) and b.n < a.n))
         and 2 * size(array_intersect(a.m, b.m)) > size(a.m)
         or a.end - a.word < 5 and b.word <= a.word and a.end <= b.end and size(b.m) > size(a.m)"""

@@ -132,15 +132,15 @@ SELECT doc_id, coalesce(n, 0) AS n_licenses, coalesce(l, '') AS licenses FROM do
 def license_bank_scan(bank: dict[str, str]) -> str:
     """Templates of ``bank`` by containment of 0.8 in windows; better matches in overlapping windows displace those they explain.
 
-    Shingles have five words, or all of a template of fewer.
+    Shingles have five words, of a template of fewer three, or as many as it has.
     """
     values = ", ".join("('{}', '{}')".format(k, t.replace("'", "''")) for k, t in bank.items())
     words = r"list_filter(string_split_regex(lower({}), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
     shingles = "SELECT {0}, array_to_string(w[i:i + x - 1], ' ') AS s, i - 1 AS pos FROM (SELECT {0}, w, x, unnest(range(1, len(w) - x + 2)) AS i FROM {1})"
     return f"""
 WITH t(name, t) AS (VALUES {values}), tw AS (SELECT name, {words.format('t')} AS w FROM t),
-ts AS (SELECT DISTINCT name, s FROM ({shingles.format('name', '(SELECT *, least(5, len(w)) AS x FROM tw)')})), size AS (SELECT name, count(*) AS n FROM ts GROUP BY name),
-d AS (SELECT doc_id, {words.format("coalesce(text, '')")} AS w FROM documents), ds AS ({shingles.format('doc_id', '(SELECT *, unnest([1, 2, 3, 4, 5]) AS x FROM d) WHERE len(w) >= x')}),
+ts AS (SELECT DISTINCT name, s FROM ({shingles.format('name', '(SELECT *, CASE WHEN len(w) >= 5 THEN 5 ELSE least(3, len(w)) END AS x FROM tw)')})), size AS (SELECT name, count(*) AS n FROM ts GROUP BY name),
+d AS (SELECT doc_id, {words.format("coalesce(text, '')")} AS w FROM documents), ds AS ({shingles.format('doc_id', '(SELECT *, unnest([1, 2, 3, 5]) AS x FROM d) WHERE len(w) >= x')}),
 met AS (
   SELECT doc_id, name, n, s, k, min(pos) AS p FROM (SELECT doc_id, name, n, s, pos, unnest([pos // n, pos // n - 1]) AS k FROM ds JOIN ts USING (s) JOIN size USING (name)) GROUP BY ALL),
 found AS (
