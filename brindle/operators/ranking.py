@@ -15,6 +15,20 @@ def top_per_group(rows: DataFrame, by: Sequence[str], order: Sequence[Column], k
     return rows.withColumn(name, F.row_number().over(w)).where(F.col(name) <= k)
 
 
+def weighted_sample(rows: DataFrame, by: Sequence[str], key: str, weight: str, k: int, seed: str = "") -> DataFrame:
+    """Exactly ``k`` rows of each group (all of a smaller one), without replacement, by chances in proportion to ``weight``.
+
+    A row's number -ln(u) / weight, for u in (0, 1] from the digest of its ``key`` and the seed, is
+    exponential, and the least ``k`` are the sample: the same ones however rows are dealt, and groups
+    are cut to ``k`` rows before they move. Rows whose weight is null or not positive are never taken;
+    ties of the number go to the lesser key.
+    """
+    digest = F.md5(F.concat(F.col(key).cast("string"), F.lit(seed)))
+    u = (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 1) / float(1 << 52)
+    taken = rows.where(F.col(weight) > 0).withColumn("_e", -F.log(u) / F.col(weight))
+    return top_per_group(taken, by, [F.asc("_e"), F.asc(key)], k, "_k").drop("_e", "_k")
+
+
 #: Relative accuracy of the approximate quantiles that enclose exact ones; groups of up to twice as many rows are taken whole.
 ACCURACY = 10_000
 

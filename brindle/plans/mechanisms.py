@@ -6,7 +6,7 @@ import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
 from brindle.functions import longest_streak, register_tables
-from brindle.operators import clustered, globally_ordered
+from brindle.operators import clustered, globally_ordered, weighted_sample
 from brindle.plans.catalog import query
 from brindle.sources import scratch, table, with_segments
 from brindle.streaming import Upserts, upserted
@@ -107,3 +107,15 @@ def orders_in_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Numbers and running totals over all orders by date."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", F.floor("o_totalprice").alias("price"))
     return globally_ordered(orders, [F.asc("o_orderdate"), F.asc("o_orderkey")], "number", {"running": "price"}).select("o_orderkey", F.col("number").cast("bigint").alias("number"), "running")
+
+
+@query("""
+SELECT o_orderpriority, o_orderkey, o_totalprice FROM (
+  SELECT *, row_number() OVER (PARTITION BY o_orderpriority ORDER BY
+    -ln((CAST('0x' || md5(CAST(o_orderkey AS VARCHAR) || 'sample')[1:13] AS BIGINT) + 1) / 4503599627370496.0::DOUBLE) / o_totalprice, o_orderkey) AS k FROM orders WHERE o_totalprice > 0)
+WHERE k <= 40
+""")
+def orders_sampled_by_price(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forty orders of each priority, by chances in proportion to their price, the same ones on every run."""
+    orders = table(spark, sf_dir, "orders").select("o_orderpriority", "o_orderkey", "o_totalprice")
+    return weighted_sample(orders, ["o_orderpriority"], "o_orderkey", "o_totalprice", 40, "sample")

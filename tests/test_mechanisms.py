@@ -243,6 +243,16 @@ def test_sized_join_measures_text_not_its_files(spark, tmp_path):
     assert "broadcast" in plan(4_000_000).lower() and "broadcast" not in plan(2_000_000).lower()
 
 
+def test_weighted_sample_is_exact_and_follows_weights(spark):
+    rows = spark.range(6000).select((F.col("id") % 2).alias("g"), F.col("id").alias("k"), F.when(F.col("id") % 10 == 0, None).otherwise(F.when(F.col("id") % 4 < 2, 9.0).otherwise(1.0)).alias("w"))
+    take = lambda n, seed="": sorted(r.k for r in operators.weighted_sample(rows.repartition(n), ["g"], "k", "w", 300, seed).collect())
+    one = take(1)
+    assert len(one) == 600 and one == take(5) != take(1, "x") and all(k % 10 for k in one)
+    heavy = sum(k % 4 < 2 for k in one) / 600
+    assert 0.84 < heavy < 0.94  # nine tenths of the weight
+    assert operators.weighted_sample(rows.where("k < 4"), ["g"], "k", "w", 300).count() == 3
+
+
 def test_jaro():
     assert functions.jaro("martha", "marhta") == pytest.approx(0.944444, abs=1e-6)
     assert functions.jaro("", "") == 1.0 and functions.jaro("", "a") == 0.0 and functions.jaro(None, "a") is None
