@@ -161,12 +161,14 @@ def last_purchase_before_click(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT p_partkey, count(*) OVER (PARTITION BY p_size ORDER BY p_retailprice RANGE BETWEEN 0.5 PRECEDING AND 0.5 FOLLOWING) - 1 AS near FROM part
+SELECT a.p_partkey, b.p_partkey AS near_key FROM part a JOIN part b
+ON a.p_retailprice BETWEEN b.p_retailprice - 0.5 AND b.p_retailprice + 0.5 AND a.p_size = b.p_size
 """)
 def parts_of_similar_price(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How many other parts of its size each part is near to in price: a window, as pairs would grow with the square."""
-    near = "count(1) OVER (PARTITION BY p_size ORDER BY p_retailprice RANGE BETWEEN 0.5D PRECEDING AND 0.5D FOLLOWING) - 1"
-    return table(spark, sf_dir, "part").select("p_partkey", F.expr(near).alias("near"))
+    """All pairs, self pairs and both orders included; merged by key, as a broadcast would leave them to the few tasks that read a small table."""
+    part = table(spark, sf_dir, "part")
+    ranges = part.select(F.col("p_partkey").alias("near_key"), "p_size", (F.col("p_retailprice") - 0.5).alias("low"), (F.col("p_retailprice") + 0.5).alias("high"))
+    return range_join(part.select("p_partkey", "p_size", "p_retailprice"), ranges.hint("merge"), "p_retailprice", "low", "high", 1.0, ["p_size"]).select("p_partkey", "near_key")
 
 
 @query("""

@@ -48,5 +48,20 @@ def test_order_dates_reach_every_order_and_year(spark, data, db):
     assert len(got) == n and sorted(got["y"].unique()) == years and len(years) > 1
 
 
+def test_parts_of_similar_price_are_all_pairs(spark, tmp_path):
+    prices = [100.0, 100.5, 100.50001, 99.75, 100.25, 100.25, 101.0, -0.25, 0.25, -0.0, None, float("nan"), float("nan"), float("inf"), float("-inf"), 1e300, 1e300]
+    rows = [(k, size, v) for k, (size, v) in enumerate((size, v) for size in (1, 2, None) for v in prices)]
+    spark.createDataFrame(rows, "p_partkey bigint, p_size int, p_retailprice double").write.parquet(str(tmp_path / "part.parquet"))
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW part AS SELECT * FROM '{tmp_path}/part.parquet/*.parquet'")
+    made = entry.queries()["parts_of_similar_price"](spark, str(tmp_path))
+    got = sorted(map(tuple, made.select("p_partkey", "near_key").collect()))
+    near = lambda v, w: w - 0.5 <= v <= w + 0.5 or (v != v and w != w)
+    want = sorted((j, k) for j, s, v in rows for k, t, w in rows if None not in (s, v, w) and s == t and near(v, w))
+    assert got == want == sorted(con.sql(entry.oracle_sql()["parts_of_similar_price"]).fetchall())
+    assert (0, 1) in got and (0, 2) not in got and (3, 4) in got and (4, 5) in got and (0, 0) in got
+    assert "SortMergeJoin" in made._jdf.queryExecution().executedPlan().toString()  # pairs spread by key, however small the table
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
