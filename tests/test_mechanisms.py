@@ -151,6 +151,52 @@ def test_day_totals_go_on_after_a_restart(spark, tmp_path):
     assert got == [(0, 8, 1, 4), (1, 1, 3, 16), (1, 4, 1, 2), (2, 2, 2, 8), (2, 9, 1, 3)]
 
 
+def test_day_totals_keep_a_state_for_a_bucket_of_keys_and_not_for_each_key(spark, tmp_path):
+    own = streaming.with_rocks(spark)
+    rows = "u bigint, t timestamp, a bigint"
+    at = lambda d, h: datetime.datetime(2024, 1, d, h, tzinfo=datetime.UTC)
+    users = [2**60 + i for i in range(1500)]
+    batches = [
+        [(u, at(d, i % 24), i) for i, u in enumerate(users) for d in (3, 4)] + [(None, at(4, 1), 7), (None, at(4, 2), None), (5, None, 1), (6, at(4, 3), None)],
+        [(u, at(4, 23), 1) for u in users[::2]] + [(None, at(4, 5), 2), (users[0], at(2, 0), 100)],  # the last is behind the third of January, 23 o'clock
+        [(1, at(20, 0), 0)],
+    ]
+    out, checkpoint, timers = str(tmp_path / "out"), str(tmp_path / "checkpoint"), []
+    for b in batches:
+        spark.createDataFrame(b, rows).write.mode("append").parquet(str(tmp_path / "in"))
+        source = own.readStream.schema(rows).parquet(str(tmp_path / "in"))
+        totals = streaming.day_totals(source, "u", "t", "a", "1 day")
+        query = totals.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        query.awaitTermination()
+        timers += [p["stateOperators"][0]["customMetrics"]["numRegisteredTimers"] for p in query.recentProgress]
+    want = {}
+    for u, t, a in batches[0] + batches[1][:-1]:
+        if t is not None:
+            n, amount = want.get((u, t.day), (0, 0))
+            want[u, t.day] = n + 1, amount + (a or 0)
+    got = {(r.u, r.day_ms // 86_400_000 - 19_722): (r.n, r.amount) for r in spark.read.parquet(out).collect()}
+    assert got == want and spark.read.parquet(out).count() == len(want) == 3002
+    assert 0 < sum(timers) <= 300  # there are 3,003 days of users
+
+
+def test_day_totals_of_other_kinds_of_keys(spark, tmp_path):
+    own = streaming.with_rocks(spark)
+    at = lambda d, h: datetime.datetime(2024, 1, d, h)
+    keys = {"string": ["a", "", "b'\u00e9", None], "double": [0.5, float("inf"), None], "date": [datetime.date(2020, 1, d) for d in (1, 2)] + [None]}
+    for k, (kind, some) in enumerate(keys.items()):
+        rows, where = f"u {kind}, t timestamp_ntz, a bigint", lambda x: str(tmp_path / f"{k}-{x}")  # noqa: B023, E731
+        for b in ([(u, at(1, 2), 2) for u in some], [(u, at(1, 3), 3) for u in some for _ in range(2)], [(some[0], at(9, 0), 0)]):
+            spark.createDataFrame(b, rows).coalesce(1).write.mode("append").parquet(where("in"))
+            streaming.drained(streaming.day_totals(own.readStream.schema(rows).parquet(where("in")), "u", "t", "a", "1 day", buckets=1), where("out"), where("checkpoint"))
+        assert sorted((str(r.u), r.n, r.amount) for r in spark.read.parquet(where("out")).collect()) == sorted((str(u), 3, 8) for u in some)
+
+
+def test_state_has_no_more_stores_than_asked_for_or_than_the_caller_has(spark):
+    mine = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    stores = lambda n=None: int(streaming.with_rocks(spark, n).conf.get("spark.sql.shuffle.partitions"))
+    assert (stores(), stores(2), stores(mine + 1)) == (mine, 2, mine) and mine > 2
+
+
 def test_first_seen_forgets_after_its_time_to_live(spark, tmp_path):
     own = streaming.with_rocks(spark)
 
